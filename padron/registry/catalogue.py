@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from padron.registry import enrichment
+from padron.registry import cells, enrichment, jobs, quality, shaping, sheets
+from padron.registry.common import Query
 
-MODULES = (enrichment,)
+REGISTRIES = [m.query for m in (enrichment, shaping, cells, quality, sheets, jobs)]
 
 
-def queries() -> dict:
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+def queries() -> dict[str, Query]:
+    return {name: fn for r in REGISTRIES for name, fn in r.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
+    return {name: sql for r in REGISTRIES for name, sql in r.oracle.items()}
