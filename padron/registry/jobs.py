@@ -1,2 +1,209 @@
+"""Queries over the domain flows, from raw sheet grids to silver and gold tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from padron.functions.calendar import MONTHS
+from padron.operators.shape import select_required
+from padron.plans import cost_centres, employees, exams, income, internships, leaves, payroll
+from padron.registry import frames
+from padron.registry import sheet_frames as sheets
 from padron.registry.common import Registry
+from padron.registry.sheet_frames import cte
+from padron.session import col, shared_folder
+from padron.sources import sinks
+from padron.sources.sinks import review_frame
+
 query = Registry()
+
+OWN_OUTPUTS = ("Consolidado",)
+_MONTHS = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
+_INT = r"CASE WHEN regexp_matches({c}, '^[+-]?[0-9]+$') THEN CAST({c} AS BIGINT) END"
+_DOUBLE = r"CASE WHEN regexp_matches({c}, '^[+-]?[0-9]+(\.[0-9]*)?$') THEN CAST({c} AS DOUBLE) END"
+
+# ---- payroll -----------------------------------------------------------------------------------
+
+_PAYROLL = cte("payroll_rows", "payroll_kept", "payroll_silver")
+
+
+@query(_PAYROLL + "SELECT * EXCLUDE (fecha) FROM payroll_silver")
+def payroll_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return payroll.consolidate(sheets.payroll_sheets(spark, folder), OWN_OUTPUTS)[0]
+
+
+@query(
+    _PAYROLL
+    + f"""SELECT PERIODO, "AÑO", CAST(MES AS BIGINT) AS MES, {_MONTHS}[MES] AS NOMBRE_MES, trim(NOMBRES) AS NOMBRES,
+  "DNI/CEX", trim(SEXO) AS SEXO, fecha AS "F. NACIMIENTO", CAST("DIAS GOCE HABER(D)" AS BIGINT) AS "DIAS GOCE HABER(D)",
+  "HORAS EXTRAS 25%" FROM payroll_silver"""
+)
+def payroll_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """The hours column holds a bad value and stays text; the days column becomes a number."""
+    return review_frame(payroll.gold(payroll_silver(spark, folder))[0])
+
+
+@query(
+    _PAYROLL
+    + f"""SELECT PERIODO, CAST(MES AS BIGINT) AS MES, {_MONTHS}[MES] AS NOMBRE_MES, "AÑO", "DNI/CEX", trim(SEXO) AS SEXO,
+  fecha AS "F. NACIMIENTO", {_DOUBLE.format(c='"HORAS EXTRAS 25%"')} AS "HORAS EXTRAS 25%",
+  {_DOUBLE.format(c="NETO")} AS NETO FROM payroll_silver"""
+)
+def mining_payroll_gold(spark: SparkSession, folder: str) -> DataFrame:
+    return review_frame(payroll.mining_gold(payroll_silver(spark, folder))[0])
+
+
+@query(
+    _PAYROLL
+    + """SELECT 'NOMBRES' AS columna, 'nulo' AS regla, 'error' AS severidad, COUNT(*) AS cantidad, '' AS detalle
+FROM payroll_silver WHERE NOMBRES IS NULL
+UNION ALL SELECT 'SEXO', 'valores', 'aviso', COUNT(*), 'X' FROM payroll_silver WHERE trim(SEXO) NOT IN ('M', 'F')
+UNION ALL SELECT 'DIAS GOCE HABER(D)', 'minimo', 'aviso', COUNT(*), '0' FROM payroll_silver
+  WHERE CAST("DIAS GOCE HABER(D)" AS BIGINT) < 0
+UNION ALL SELECT 'PERIODO, DNI/CEX', 'clave', 'error', COUNT(*), '' FROM (
+  SELECT 1 FROM payroll_silver GROUP BY PERIODO, "DNI/CEX" HAVING COUNT(*) > 1) HAVING COUNT(*) > 0
+UNION ALL SELECT c, 'columna', 'error', 1, 'missing' FROM (VALUES ('CÓDIGO CORPORATIVO'), ('APELLIDO PATERNO'),
+  ('APELLIDO MATERNO'), ('TIPO DE DOCUMENTO'), ('ÁREA'), ('CENTRO DE COSTOS'), ('FECHA DE INGRESO'), ('FECHA CESE'),
+  ('MOTIVO CESE'), ('DIAS SUBSIDIO ENFERMEDAD'), ('# HRS EXTRAS SIMP.25%'), ('# HRS EXTRAS SIMP.35%'),
+  ('#HRS EXTRAS DOBLES'), ('#HRS SIMP.50%'), ('HRS SIMPLES AL 50%'), ('HORAS EXTRAS 35%'), ('HORAS EXTRAS 100%'),
+  ('LICENCIA GOCE HABER'), ('DIAS DIST.LIC.S.GH'), ('SUBS. POR ENFERMEDAD'), ('SUBS. POR ACCIDENTE')) AS v(c)"""
+)
+def payroll_findings(spark: SparkSession, folder: str) -> DataFrame:
+    return payroll.findings(payroll.gold(payroll_silver(spark, folder))[0])
+
+
+# ---- employee master ---------------------------------------------------------------------------
+
+_MASTER = cte("master_rows", "master_silver")
+
+
+@query(
+    _MASTER
+    + """SELECT doc AS "NUMERO DE DOC", nombre AS NOMBRE, ingreso AS "FECH_INGR.", modalidad AS "Modalidad de Contrato"
+FROM master_silver"""
+)
+def employee_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return employees.clean(sheets.master_sheets(spark, folder)).drop("file", "sheet", "row_idx")
+
+
+@query(
+    _MASTER
+    + """SELECT doc AS "NUMERO DE DOC", modalidad AS "Modalidad de Contrato",
+  CAST(CAST(try_strptime(ingreso, '%Y-%m-%d %H:%M:%S') AS DATE) AS VARCHAR) AS "FECH_INGR.",
+  CASE WHEN contains(modalidad, 'TERMINO DE CONVENIO') THEN 'practicantes' ELSE 'empleados' END AS salida
+FROM master_silver WHERE modalidad IS NOT NULL"""
+)
+def employee_gold(spark: SparkSession, folder: str) -> DataFrame:
+    staff, interns, _ = employees.gold(employees.clean(sheets.master_sheets(spark, folder)))
+    both = staff.withColumn("salida", F.lit("empleados")).unionByName(
+        interns.withColumn("salida", F.lit("practicantes"))
+    )
+    return review_frame(both)
+
+
+# ---- income ------------------------------------------------------------------------------------
+
+_INCOME = cte("income_rows", "income_employees")
+_EMPLOYEE_COLUMNS = """PERIODO, CAST("AÑO" AS BIGINT) AS "AÑO", CAST(MES AS BIGINT) AS MES"""
+
+
+@query(_INCOME + "SELECT * FROM income_employees")
+def income_employees_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return income.clean(income.read_sheet(sheets.income_sheets(spark, folder), "EMPLEADOS"))
+
+
+@query(
+    _INCOME
+    + f"""SELECT {_EMPLOYEE_COLUMNS}, CASE WHEN MES = '13' THEN '' ELSE {_MONTHS}[CAST(MES AS INTEGER)] END AS NOMBRE_MES,
+  DNI, "N° DOCUM.", substr("FECHA NACIMIENTO", 1, 10) AS "FECHA NACIMIENTO", SEXO, DEPARTAMENTO, PROVINCIA, DISTRITO, CARGO,
+  "ÁREA", "LUGAR DE TRABAJO", NULL::VARCHAR AS "FECHA INICIO", "WC/BC", "Tiempo de contrato",
+  CASE WHEN SERVICIO IS NULL OR SERVICIO = '' THEN 'Personal_Interno' ELSE SERVICIO END AS SERVICIO, REGIMEN
+FROM income_employees"""
+)
+def income_employees_gold(spark: SparkSession, folder: str) -> DataFrame:
+    return review_frame(income.employees_gold(income_employees_silver(spark, folder)))
+
+
+@query(
+    f"""SELECT '2024-' || lpad(CAST(m AS VARCHAR), 2, '0') AS PERIODO, 2024::BIGINT AS "AÑO", m::BIGINT AS MES,
+  CASE WHEN m BETWEEN 1 AND 12 THEN {_MONTHS}[m] ELSE '' END AS NOMBRE_MES, CAST(c_custkey AS VARCHAR) AS "Numero Documento",
+  'M' AS "Sexo", 'Practicante' AS "Cargo", c_mktsegment AS "Área", NULL::VARCHAR AS "Jefe Directo",
+  'Callao' AS "Lugar de Trabajo", CASE WHEN c_nationkey % 3 = 0 THEN 'POR DEFINIR' ELSE 'U' || c_nationkey END
+    AS "Universidad de Procedencia", 'PRE' AS "Modalidad"
+FROM (SELECT *, c_nationkey % 14 AS m FROM customer)"""
+)
+def income_interns_gold(spark: SparkSession, folder: str) -> DataFrame:
+    silver = income.clean(income.read_sheet(sheets.income_sheets(spark, folder), "PRACTICANTES"))
+    return income.interns_gold(silver)
+
+
+# ---- leave -------------------------------------------------------------------------------------
+
+
+@query(
+    cte("leave_rows")
+    + """SELECT periodo AS PERIODO, dni AS "DNI/CEX", 'P' AS "APELLIDO PATERNO", 'M' AS "APELLIDO MATERNO", 'N' AS NOMBRES,
+  motivo AS MOTIVO, tipo AS TIPO_LICENCIA FROM leave_rows
+WHERE dni IS NOT NULL AND periodo IS NOT NULL AND motivo IS NOT NULL"""
+)
+def leave_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return leaves.consolidate(sheets.leave_sheets(spark, folder))
+
+
+# ---- internships -------------------------------------------------------------------------------
+
+
+@query(
+    cte("control_rows", "control_kept")
+    + """SELECT o_orderkey || '.5' AS "N°", dni AS DNI, 'A' || o_custkey AS "APELLIDOS Y NOMBRES",
+  o_orderpriority AS CONDICION, ingreso AS "FECHA ING", renovacion AS "F. RENOVACION", 'S1' AS SEDE,
+  NULL::VARCHAR AS UNIVERSIDAD, 'J' AS "JEFE INMEDIATO", 'G' || (o_custkey % 3) AS GERENCIA FROM control_kept"""
+)
+def internship_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return review_frame(internships.clean(sheets.control_sheets(spark, folder)))
+
+
+# ---- exams -------------------------------------------------------------------------------------
+
+
+@query(
+    cte("exam_rows")
+    + """SELECT nombre AS NOMBRE, dni AS DNI, cese AS "FECHA DE CESE", causa AS "CAUSA DE SALIDA", cargo AS CARGO,
+  cc AS "NOMBRE DE CC" FROM exam_rows
+WHERE o_orderkey < coalesce((SELECT MIN(o_orderkey) FROM exam_rows WHERE nombre IS NULL), 9223372036854775807)"""
+)
+def exam_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return review_frame(exams.clean(sheets.exam_sheets(spark, folder)))
+
+
+# ---- stored flows ------------------------------------------------------------------------------
+
+
+@query(
+    frames.cte("cc_old", "cc_new", "cc_unified", "exam_silver", "exam", "exam_enriched")
+    + """SELECT NOMBRE, DNI, codigo_cc, status_match, copia FROM exam_enriched, (VALUES ('actual'), ('historico')) AS v(copia)"""
+)
+def exam_flow_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed exams stored, enriched from the stored copy, and both copies of the result read back."""
+    base = shared_folder(spark, "exams")
+    stored = sinks.write_current(exams.gold(frames.exam_silver(spark, folder))[0], f"{base}/gold/exams")
+    current, older = frames.cc_new(spark, folder), frames.cc_old(spark, folder)
+    enriched = exams.enrich(stored, exams.unified_catalogue(current, older, ("orden",)))
+    paths = sinks.write_versioned(enriched, f"{base}/gold", "exams_enriched")
+    copies = [spark.read.parquet(p).withColumn("copia", F.lit(c)) for c, p in paths.items()]
+    wanted = ["NOMBRE", "DNI", "codigo_cc", "status_match", "copia"]
+    return select_required(copies[0].unionByName(copies[1]), wanted)
+
+
+@query(
+    frames.cte("cc_old")
+    + """SELECT CC, "NOMBRE CC", copia FROM (
+  SELECT *, row_number() OVER (PARTITION BY CC ORDER BY orden) AS rn FROM cc_old),
+  (VALUES ('actual'), ('historico')) AS v(copia) WHERE rn = 1"""
+)
+def cost_centre_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    silver = frames.cc_old(spark, folder).withColumnRenamed("orden", "row_idx")
+    paths = cost_centres.run(silver, shared_folder(spark, "cost-centres"))
+    copies = [spark.read.parquet(p).withColumn("copia", F.lit(c)) for c, p in paths.items()]
+    return copies[0].unionByName(copies[1]).select(col("CC"), col("NOMBRE CC"), "copia")

@@ -67,7 +67,7 @@ def payroll_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = payroll_rows(spark, folder)
-    month = "cast(regexp_extract(file, '-(\\\\d\\\\d)', 1) AS int)"
+    month = "cast(nullif(regexp_extract(file, '-([0-9][0-9])', 1), '') AS int)"
     header = f"CASE WHEN file LIKE '%sin fecha%' OR {month} % 2 = 1 THEN {PAYROLL_ODD} ELSE {PAYROLL_EVEN} END"
     cells = [
         "n",
@@ -78,7 +78,7 @@ def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN impar = 1 THEN sexo ELSE neto END",
         "CASE WHEN impar = 0 THEN concepto END",
     ]
-    return grid(rows, 6, header.replace("'-(\\\\d\\\\d)'", "'-([0-9][0-9])'"), cells)
+    return grid(rows, 6, header, cells)
 
 
 # ---- employee master, from orders ------------------------------------------------------------------
