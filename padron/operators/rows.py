@@ -82,9 +82,14 @@ def drop_null_key(df: DataFrame, *names: str) -> DataFrame:
 
 
 def drop_empty_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
-    """Drops rows in which every column (but the ignored ones) is null."""
+    """Drops rows in which every column (but the ignored ones) is null.
+
+    The outcome is carried in a column the optimizer does not move. As a plain predicate over many renamed
+    columns it would make the optimizer's inference of further predicates grow exponentially.
+    """
     values = [col(c).cast("string") for c in df.columns if c not in ignore]
-    return df.filter(F.coalesce(*values).isNotNull())
+    filled = F.when(F.coalesce(*values).isNotNull(), F.spark_partition_id())
+    return df.withColumn("_filled", filled).filter(F.col("_filled").isNotNull()).drop("_filled")
 
 
 def is_data_row(first_cell: Column) -> Column:

@@ -1,7 +1,8 @@
 """Raw sheet grids derived from the given tables, in Spark, and the same rows as plain SQL tables.
 
-Grids have few files, so that one file holds a large part of all rows. The SQL side describes the cells by
-name instead of position; what a grid operator must produce is then a plain query over it.
+Grids have few files, so that one file holds a large part of all rows. They are stored before use, as raw
+sheets are in a real run. The SQL side describes the cells by name instead of position; what a grid operator
+must produce is then a plain query over it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron.registry.frames import table
+from padron.session import shared_folder
+from padron.sources.grid import read_grid
 
 
 def grid(rows: DataFrame, header_row: int, header: Sequence[str | None] | str, cells: Sequence[str]) -> DataFrame:
@@ -26,6 +29,13 @@ def grid(rows: DataFrame, header_row: int, header: Sequence[str | None] | str, c
     return data.unionByName(headers)
 
 
+def stored(grid_table: DataFrame, name: str) -> DataFrame:
+    """The grid as a raw-layer table: written to the shared folder and read back."""
+    path = shared_folder(grid_table.sparkSession, f"raw-{name}")
+    grid_table.write.parquet(path)
+    return read_grid(grid_table.sparkSession, path)
+
+
 # ---- conversations: bare grid without header ---------------------------------------------------------
 
 
@@ -78,7 +88,7 @@ def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN impar = 1 THEN sexo ELSE neto END",
         "CASE WHEN impar = 0 THEN concepto END",
     ]
-    return grid(rows, 6, header, cells)
+    return stored(grid(rows, 6, header, cells), "payroll")
 
 
 # ---- employee master, from orders ------------------------------------------------------------------
@@ -95,7 +105,8 @@ def master_sheets(spark: SparkSession, folder: str) -> DataFrame:
            WHEN 2 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS ingreso""",
         "CASE WHEN o_orderpriority = '5-LOW' THEN 'TERMINO DE CONVENIO' WHEN o_orderpriority <> '2-HIGH' THEN o_orderpriority END AS modalidad",
     )
-    return grid(rows, 10, MASTER_HEADER, ["doc", "nombre", "ingreso", "modalidad", "NULL", "'z'"])
+    cells = ["doc", "nombre", "ingreso", "modalidad", "NULL", "'z'"]
+    return stored(grid(rows, 10, MASTER_HEADER, cells), "master")
 
 
 # ---- internship control, from orders ----------------------------------------------------------------
@@ -122,7 +133,7 @@ def control_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "NULL", "concat(o_orderkey, '.50')", "dni", "concat(' A', o_custkey, ' ')", "o_orderpriority", "'x'", "ingreso",
         "concat(cast(35000 + o_custkey % 1000 AS string), '.0')", "'S1'", "NULL", "'J'", "concat('G', o_custkey % 3)",
     ]
-    return grid(rows, 4, CONTROL_HEADER, cells)
+    return stored(grid(rows, 4, CONTROL_HEADER, cells), "control")
 
 
 # ---- income relation, from orders and customer --------------------------------------------------------
@@ -161,9 +172,8 @@ def income_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "NULL", "'Callao'", "CASE WHEN c_nationkey % 3 = 0 THEN NULL ELSE concat('U', c_nationkey) END", "'PRE'",
         "'#N/A'",
     ]
-    return grid(people, 2, EMPLOYEE_INCOME_HEADER, employees).unionByName(
-        grid(students, 2, INTERN_INCOME_HEADER, intern_values)
-    )
+    staff = grid(people, 2, EMPLOYEE_INCOME_HEADER, employees)
+    return stored(staff.unionByName(grid(students, 2, INTERN_INCOME_HEADER, intern_values)), "income")
 
 
 # ---- leave, from lineitem ---------------------------------------------------------------------------
@@ -188,9 +198,9 @@ def leave_sheets(spark: SparkSession, folder: str) -> DataFrame:
     )
     paid = lines.filter("sheet = 'LICENCIA CON GOCE'")
     unpaid = lines.filter("sheet = 'LICENCIA SIN GOCE'")
-    return grid(paid, 2, PAID_HEADER, ["dni", "'relleno'", "periodo", "'P'", "'M'", "'N'", "motivo"]).unionByName(
-        grid(unpaid, 2, UNPAID_HEADER, ["dni", "periodo", "'P'", "'M'", "'N'", "motivo", "'obs'"])
-    )
+    with_pay = grid(paid, 2, PAID_HEADER, ["dni", "'relleno'", "periodo", "'P'", "'M'", "'N'", "motivo"])
+    without = grid(unpaid, 2, UNPAID_HEADER, ["dni", "periodo", "'P'", "'M'", "'N'", "motivo", "'obs'"])
+    return stored(with_pay.unionByName(without), "leave")
 
 
 # ---- retirement exams, from orders -------------------------------------------------------------------
@@ -208,7 +218,8 @@ def exam_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderstatus AS causa", "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS cargo",
         "CASE o_orderkey % 4 WHEN 0 THEN '#N/D' WHEN 1 THEN NULL WHEN 2 THEN '4501.50' ELSE ' C1 ' END AS cc",
     )
-    return grid(rows, 3, EXAM_HEADER, ["nombre", "dni", "cese", "causa", "cargo", "cc", "'x'", "'y'"])
+    cells = ["nombre", "dni", "cese", "causa", "cargo", "cc", "'x'", "'y'"]
+    return stored(grid(rows, 3, EXAM_HEADER, cells), "exams")
 
 
 # ---- the same rows for the checking engine -----------------------------------------------------------
