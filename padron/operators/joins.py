@@ -1,6 +1,6 @@
 """Left joins against lookups that are unique by key, safe for hot keys on the left.
 
-A lookup is broadcast only after its row count has been checked against a bound. Beyond the bound the
+A lookup is broadcast only after its rows and bytes have been checked against bounds. Beyond the bound the
 join shuffles, and rows of hot keys are spread over salts, with only the lookup rows of those keys
 repeated. Every left row is kept, whatever the path.
 """
@@ -11,24 +11,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from padron.session import col
 
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_SHARE = 0.001
 SALTS = 256
 
 
-def bounded_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """The table as a local relation when it has at most ``max_rows`` rows, otherwise None.
+def bounded_copy(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """The table as a local relation when it is within both bounds, otherwise None.
 
-    Reads at most ``max_rows + 1`` rows to the driver. The copy is never recomputed, so the check is
-    also the only evaluation of a small lookup.
+    Rows and bytes are measured on the cluster first, so nothing larger than the bounds is ever collected.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
+    if max_rows <= 0:
         return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
+    head = df.limit(max_rows + 1)
+    size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
+    if size[0] > max_rows or size[1] > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """Approximate width of a row: text by its length, lists by their items, anything else as 16 bytes."""
+    width = F.lit(16)
+    for f in schema.fields:
+        c = col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            text = F.octet_length(F.array_join(c.cast("array<string>"), ""))
+            width = width + F.coalesce(text + F.size(c) * 8, F.lit(0))
+        else:
+            width = width + 16
+    return width.cast("bigint")
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:

@@ -7,7 +7,7 @@ must produce is then a plain query over it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +29,24 @@ def grid(rows: DataFrame, header_row: int, header: Sequence[str | None] | str, c
     return data.unionByName(headers)
 
 
-def stored(grid_table: DataFrame, name: str) -> DataFrame:
-    """The grid as a raw-layer table: written to the shared folder and read back."""
-    path = shared_folder(grid_table.sparkSession, f"raw-{name}")
-    grid_table.write.parquet(path)
-    return read_grid(grid_table.sparkSession, path)
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(name: str):
+    """Writes a derived grid to the shared folder once per application, and reads it from there."""
+
+    def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def read(spark: SparkSession, folder: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, folder, name)
+            if key not in _STORED:
+                path = shared_folder(spark, f"raw-{name}")
+                build(spark, folder).write.parquet(path)
+                _STORED[key] = path
+            return read_grid(spark, _STORED[key])
+
+        return read
+
+    return wrap
 
 
 # ---- conversations: bare grid without header ---------------------------------------------------------
@@ -75,6 +88,7 @@ def payroll_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@stored("payroll")
 def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = payroll_rows(spark, folder)
     month = "cast(nullif(regexp_extract(file, '-([0-9][0-9])', 1), '') AS int)"
@@ -88,7 +102,7 @@ def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN impar = 1 THEN sexo ELSE neto END",
         "CASE WHEN impar = 0 THEN concepto END",
     ]
-    return stored(grid(rows, 6, header, cells), "payroll")
+    return grid(rows, 6, header, cells)
 
 
 # ---- employee master, from orders ------------------------------------------------------------------
@@ -96,6 +110,7 @@ def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
 MASTER_HEADER = ("NUMERO DE DOC", "NOMBRE", "FECH_INGR.", "Modalidad de Contrato", None, "IGNORADA")
 
 
+@stored("master")
 def master_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
         "concat('bd_', o_orderstatus, '.xlsx') AS file", "'BD' AS sheet", "o_orderkey + 11 AS row_idx",
@@ -106,7 +121,7 @@ def master_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderpriority = '5-LOW' THEN 'TERMINO DE CONVENIO' WHEN o_orderpriority <> '2-HIGH' THEN o_orderpriority END AS modalidad",
     )
     cells = ["doc", "nombre", "ingreso", "modalidad", "NULL", "'z'"]
-    return stored(grid(rows, 10, MASTER_HEADER, cells), "master")
+    return grid(rows, 10, MASTER_HEADER, cells)
 
 
 # ---- internship control, from orders ----------------------------------------------------------------
@@ -117,6 +132,7 @@ CONTROL_HEADER = (
 )
 
 
+@stored("control")
 def control_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
         "concat('control_', o_orderstatus, '.xlsx') AS file", "'Practicantes' AS sheet", "o_orderkey + 5 AS row_idx",
@@ -133,7 +149,7 @@ def control_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "NULL", "concat(o_orderkey, '.50')", "dni", "concat(' A', o_custkey, ' ')", "o_orderpriority", "'x'", "ingreso",
         "concat(cast(35000 + o_custkey % 1000 AS string), '.0')", "'S1'", "NULL", "'J'", "concat('G', o_custkey % 3)",
     ]
-    return stored(grid(rows, 4, CONTROL_HEADER, cells), "control")
+    return grid(rows, 4, CONTROL_HEADER, cells)
 
 
 # ---- income relation, from orders and customer --------------------------------------------------------
@@ -149,6 +165,7 @@ INTERN_INCOME_HEADER = (
 )
 
 
+@stored("income")
 def income_sheets(spark: SparkSession, folder: str) -> DataFrame:
     people = table(spark, folder, "orders").selectExpr(
         "'Relacion.xlsx' AS file", "'EMPLEADOS' AS sheet", "o_orderkey + 3 AS row_idx", "*",
@@ -173,7 +190,7 @@ def income_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "'#N/A'",
     ]
     staff = grid(people, 2, EMPLOYEE_INCOME_HEADER, employees)
-    return stored(staff.unionByName(grid(students, 2, INTERN_INCOME_HEADER, intern_values)), "income")
+    return staff.unionByName(grid(students, 2, INTERN_INCOME_HEADER, intern_values))
 
 
 # ---- leave, from lineitem ---------------------------------------------------------------------------
@@ -186,6 +203,7 @@ UNPAID_HEADER = (
 )
 
 
+@stored("leave")
 def leave_sheets(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").selectExpr(
         "'Licencias.xlsx' AS file",
@@ -200,7 +218,7 @@ def leave_sheets(spark: SparkSession, folder: str) -> DataFrame:
     unpaid = lines.filter("sheet = 'LICENCIA SIN GOCE'")
     with_pay = grid(paid, 2, PAID_HEADER, ["dni", "'relleno'", "periodo", "'P'", "'M'", "'N'", "motivo"])
     without = grid(unpaid, 2, UNPAID_HEADER, ["dni", "periodo", "'P'", "'M'", "'N'", "motivo", "'obs'"])
-    return stored(with_pay.unionByName(without), "leave")
+    return with_pay.unionByName(without)
 
 
 # ---- retirement exams, from orders -------------------------------------------------------------------
@@ -208,6 +226,7 @@ def leave_sheets(spark: SparkSession, folder: str) -> DataFrame:
 EXAM_HEADER = ("NOMBRE", "DNI", "FECHA DE CESE", "CAUSA DE SALIDA", "CARGO", "NOMBRE DE CC", None, "NOTA")
 
 
+@stored("exams")
 def exam_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
         "'examenes.xlsx' AS file", "'DATA' AS sheet", "o_orderkey + 4 AS row_idx",
@@ -219,7 +238,7 @@ def exam_sheets(spark: SparkSession, folder: str) -> DataFrame:
         "CASE o_orderkey % 4 WHEN 0 THEN '#N/D' WHEN 1 THEN NULL WHEN 2 THEN '4501.50' ELSE ' C1 ' END AS cc",
     )
     cells = ["nombre", "dni", "cese", "causa", "cargo", "cc", "'x'", "'y'"]
-    return stored(grid(rows, 3, EXAM_HEADER, cells), "exams")
+    return grid(rows, 3, EXAM_HEADER, cells)
 
 
 # ---- the same rows for the checking engine -----------------------------------------------------------

@@ -22,9 +22,21 @@ def run_stamp() -> str:
 def write_current(
     df: DataFrame, path: str, compression: str = CODEC, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Overwrites one Parquet table and returns it as stored."""
+    """Overwrites one Parquet table and returns it as stored.
+
+    A partitioned table is rebalanced by its partition columns first: few files per partition, and a
+    partition that holds much of the data is split over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[col(c) for c in partition_by])
     df.write.mode("overwrite").option("compression", compression).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(_stored_schema(df, partition_by)).parquet(path)
+
+
+def _stored_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    """The written columns with partition columns last and under their own type, not an inferred one."""
+    inner = [f for f in df.schema.fields if f.name not in partition_by]
+    return T.StructType([*inner, *[df.schema[c] for c in partition_by]])
 
 
 def write_versioned(
