@@ -29,7 +29,12 @@ DATE_LAYOUTS = (
     ("d.M.yyyy", r"^\d{1,2}\.\d{1,2}\.\d{4}$"),
 )
 
+ANY_LAYOUT_SHAPE = r"^\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}$"
+
 DATETIME_LAYOUT = "yyyy-MM-dd HH:mm:ss"
+# Shapes are tested before parsing: a failed parse costs far more than a pattern.
+DATETIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 INTEGER_SHAPE = r"^[+-]?[0-9]+$"
 NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -40,17 +45,20 @@ SERIAL_MAX = 2958465
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of whitespace; Spark's plain trim only knows the space character."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Trim every kind of whitespace; Spark's plain trim only knows the space character.
+
+    Trimming by a character set is slow, and most cells have nothing to trim: a pattern finds those that do.
+    """
+    return F.when(c.rlike(r"(?U)^\s|\s\z"), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | (strip(c) == "")
+    return ~has_text(c)
 
 
 def has_text(c: Column) -> Column:
     """Not null and not only whitespace; null counts as blank, so the result is never null."""
-    return F.coalesce(strip(c) != "", F.lit(False))
+    return F.coalesce(c.rlike(r"(?U)\S"), F.lit(False))
 
 
 def one_line(c: Column) -> Column:
@@ -121,20 +129,21 @@ def slash_date_to_datetime_text(c: Column) -> Column:
 
 def datetime_text_to_date(c: Column, date_only: bool = False) -> Column:
     """'YYYY-MM-DD HH:MM:SS' to date, anything else to null; ``date_only`` also admits bare dates."""
-    value = F.try_to_timestamp(c, F.lit(DATETIME_LAYOUT)).cast("date")
-    return F.coalesce(value, F.try_to_date(c, "yyyy-MM-dd")) if date_only else value
+    value = F.when(c.rlike(DATETIME_SHAPE), F.try_to_timestamp(c, F.lit(DATETIME_LAYOUT)).cast("date"))
+    return value.when(c.rlike(DATE_SHAPE), F.try_to_date(c, "yyyy-MM-dd")) if date_only else value
 
 
 def fractional_datetime_text_to_date(c: Column) -> Column:
     """As above, with optional fractions of a second of any length up to nanoseconds."""
-    whole = F.regexp_extract(c, r"^(.{19})(\.\d{1,9})?$", 1)
-    return F.try_to_timestamp(whole, F.lit(DATETIME_LAYOUT)).cast("date")
+    whole = c.rlike(DATETIME_SHAPE[:-1] + r"(\.\d{1,9})?$")
+    return F.when(whole, F.try_to_timestamp(F.substring(c, 1, 19), F.lit(DATETIME_LAYOUT)).cast("date"))
 
 
 def layout_date(c: Column) -> Column:
     """First of the known text layouts that fits and names a real date."""
     text = strip(c)
-    return F.coalesce(*[F.when(text.rlike(shape), F.try_to_date(text, layout)) for layout, shape in DATE_LAYOUTS])
+    found = F.coalesce(*[F.when(text.rlike(shape), F.try_to_date(text, layout)) for layout, shape in DATE_LAYOUTS])
+    return F.when(text.rlike(ANY_LAYOUT_SHAPE), found)
 
 
 def serial_date(c: Column) -> Column:

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from padron.functions import cells
 from padron.functions.calendar import period_from_name
-from padron.operators.joins import bounded_copy, lookup_join
+from padron.operators.joins import BROADCAST_BYTES, bounded_copy, lookup_join
 
 GRID_COLUMNS = ("file", "sheet", "row_idx")
 # More columns than any sheet can have; a header set beyond it means the header row is wrong.
 MAX_COLUMNS = 16_384
+# Width of one cell position in a header lookup.
+POSITION_BYTES = 8
 # Blanks a payroll header may contain, and the width within which it is read.
 HEADER_GAP = 3
 GAP_HEADER_CELLS = 199
@@ -164,7 +166,10 @@ def promote_header(
         "file", "sheet", F.array(*[position(n) for n in names]).alias("_at"), F.size("names").alias("_width")
     )
     body = grid.filter(F.col("row_idx") > rule.row)
-    placed = lookup_join(body, places, ["file", "sheet"]).filter(F.col("_at").isNotNull())
+    if small is not None and small.count() * len(names) * POSITION_BYTES <= BROADCAST_BYTES:
+        placed = body.join(F.broadcast(places), ["file", "sheet"])
+    else:
+        placed = lookup_join(body, places, ["file", "sheet"]).filter(F.col("_at").isNotNull())
     picked = [F.get("cells", F.get("_at", F.lit(i))).alias(n) for i, n in enumerate(names)]
     row_cells = F.slice("cells", F.lit(rule.start_col), F.greatest(F.col("_width") - rule.start_col + 1, F.lit(0)))
     table = placed.select(*keep, *picked, row_cells.alias("_row"))
