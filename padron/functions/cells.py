@@ -37,6 +37,10 @@ DATETIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 INTEGER_SHAPE = r"^[+-]?[0-9]+$"
 NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Decimals by what follows the point: zeros alone, or digits and then zeros.
+PLAIN_DECIMAL = r"^([+-]?[0-9]+)(?:\.0*|(\.[0-9]*[1-9])0*)$"
+# Numbers that need conversion: more than six decimals, no digit before the point, or an exponent.
+OTHER_DECIMAL = r"(?U)^\s*[+-]?([0-9]+\.[0-9]{7,}|\.[0-9]+|[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+)\s*$"
 
 # Day zero of spreadsheet serial dates, and the serials of 0001-01-01 and 9999-12-31.
 SERIAL_EPOCH = "1899-12-30"
@@ -105,15 +109,18 @@ def strip_dot_zero(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """A double as plain text: six decimals at most, no trailing zeros, no lone point."""
-    return F.regexp_replace(F.format_string("%f", c), r"\.?0+$", "")
+    """A double as plain text: six decimals at most, no trailing zeros, no lone point, no negative zero."""
+    return F.regexp_replace(F.format_string("%f", c + F.lit(0.0)), r"\.?0+$", "")
 
 
 def number_cell_text(c: Column) -> Column:
-    """Canonical text for a cell that holds a fractional number; anything else is trimmed."""
-    text = strip(c)
-    fractional = text.rlike(NUMBER_SHAPE) & text.rlike(r"[.eE]")
-    return F.when(fractional, number_text(text.try_cast("double"))).otherwise(text)
+    """Canonical text for a cell that holds a fractional number; anything else is trimmed.
+
+    Plain decimals only lose trailing zeros, which needs no number; the rare other forms are converted.
+    """
+    plain = F.regexp_replace(strip(c), PLAIN_DECIMAL, "$1$2")
+    fractional = F.when(c.rlike(OTHER_DECIMAL), number_text(c.try_cast("double"))).otherwise(plain)
+    return F.when(c.contains(".") | c.contains("e") | c.contains("E"), fractional).otherwise(strip(c))
 
 
 def datetime_text(c: Column) -> Column:

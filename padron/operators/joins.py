@@ -27,14 +27,18 @@ def bounded_copy(
     """The table as a local relation when it is within both bounds, otherwise None.
 
     Rows and bytes are measured on the cluster first, so nothing larger than the bounds is ever collected.
+    The head of the table is kept between the two steps, so it is evaluated once.
     """
     if max_rows <= 0:
         return None
-    head = df.limit(max_rows + 1)
-    size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
-    if size[0] > max_rows or size[1] > max_bytes:
-        return None
-    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
+    head = df.limit(max_rows + 1).persist()
+    try:
+        rows, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
+        if rows > max_rows or size > max_bytes:
+            return None
+        return df.sparkSession.createDataFrame(head.toArrow(), schema=df.schema)
+    finally:
+        head.unpersist()
 
 
 def _row_bytes(schema: T.StructType) -> Column:

@@ -160,7 +160,7 @@ def promote_header(
 
     def position(name: str) -> Column:
         from_end = F.array_position(F.reverse("names"), name).cast("int")
-        return F.when(from_end > 0, F.size("names") - from_end)
+        return F.when(from_end > 0, F.size("names") - from_end + 1)
 
     places = layout.select(
         "file", "sheet", F.array(*[position(n) for n in names]).alias("_at"), F.size("names").alias("_width")
@@ -170,7 +170,8 @@ def promote_header(
         placed = body.join(F.broadcast(places), ["file", "sheet"])
     else:
         placed = lookup_join(body, places, ["file", "sheet"]).filter(F.col("_at").isNotNull())
-    picked = [F.get("cells", F.get("_at", F.lit(i))).alias(n) for i, n in enumerate(names)]
+    # Unlike an index, element access is not copied into every later use of the column.
+    picked = [F.try_element_at("cells", F.get("_at", F.lit(i))).alias(n) for i, n in enumerate(names)]
     row_cells = F.slice("cells", F.lit(rule.start_col), F.greatest(F.col("_width") - rule.start_col + 1, F.lit(0)))
     table = placed.select(*keep, *picked, row_cells.alias("_row"))
     return table, names

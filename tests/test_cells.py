@@ -36,8 +36,11 @@ def test_imputations(column):
 
 
 def test_number_text(column):
-    assert column(cells.number_text, [12.0, 100.0, 0.5, 1.25, -3.1, 0.0], "double") == ["12", "100", "0.5", "1.25", "-3.1", "0"]
-    assert column(cells.number_cell_text, [" 12.0 ", "7", "1e2", "a.0", "", None]) == ["12", "7", "100", "a.0", "", None]
+    assert column(cells.number_text, [12.0, 100.0, 0.5, 1.25, -3.1, -0.0, 1e20], "double") == ["12", "100", "0.5", "1.25", "-3.1", "0", "1" + "0" * 20]
+    values = [" 12.0 ", "7", "1e2", "a.0", "", None, "1.500", "-0.10", "100", "5.", ".5", "0.1234567", "10.050", "1.2.0"]
+    assert column(cells.number_cell_text, values) == [
+        "12", "7", "100", "a.0", "", None, "1.5", "-0.1", "100", "5", "0.5", "0.123457", "10.05", "1.2.0",
+    ]
 
 
 def test_strip_dot_zero_only_at_the_end(column):
