@@ -70,6 +70,8 @@ def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto") ->
     The result is defined as the table joined three times to its own calculations by document number. With
     unique documents that is a projection (rows without a document get nulls), which needs no shuffle.
     'auto' checks uniqueness and joins only when documents repeat; 'projection' and 'join' force one form.
+    A document held n times fans out to n**4 rows in the joined form. 'counted' gives the same result with
+    equal rows merged: a ``repeticiones`` column says how often the joined form repeats each row.
     """
     lacking = shape.missing_columns(employees, [KEY, BORN, HIRED, ENDED, MODALITY])
     if lacking:
@@ -81,27 +83,32 @@ def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto") ->
     if mode == "projection":
         has_key = col(KEY).isNotNull()
         return employees.withColumns({name: F.when(has_key, c) for name, c in computed.items()})
-    return _joined_flags(employees, computed)
+    return _joined_flags(employees, computed, counted=mode == "counted")
 
 
-def _joined_flags(employees: DataFrame, computed: dict[str, Column]) -> DataFrame:
+def _joined_flags(employees: DataFrame, computed: dict[str, Column], counted: bool) -> DataFrame:
     """The three joins, with equal calculations of a repeated document merged and counted beforehand.
 
-    A document held n times yields the n**4 rows of the plain joins; they appear only in the last step, each
-    row repeating in its own task.
+    Copies appear only in the last step, where each row repeats in its own task.
     """
     service, ages, alerts = list(computed)[:1], list(computed)[1:5], list(computed)[5:]
     known = employees.filter(col(KEY).isNotNull()).withColumns(computed)
-    result = employees
+    result, times = employees, []
     for i, names in enumerate((service, ages, alerts)):
         side = known.groupBy(col(KEY), *[col(n) for n in names]).agg(F.count(F.lit(1)).alias(f"_times{i}"))
         result = result.join(side, KEY, "left")
-    times = F.coalesce(F.col("_times0") * F.col("_times1") * F.col("_times2"), F.lit(1)).cast("int")
-    expanded = result.withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
-    return expanded.select(*[col(c) for c in [*employees.columns, *computed]])
-
-
-def run(grid: DataFrame, base: str, sheet: str | None = None, as_of: str | None = None) -> dict[str, object]:
+        times.append(F.coalesce(F.col(f"_times{i}"), F.lit(1).cast("bigint")))
+    columns = [col(c) for c in [*employees.columns, *computed]]
+    if counted:
+        return result.select(*columns, (times[0] * times[1] * times[2]).alias("repeticiones"))
+    for repeat in times:
+        result = result.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), repeat)))
+    return result.select(*columns)
+
+
+def run(
+    grid: DataFrame, base: str, sheet: str | None = None, as_of: str | None = None, mode: str = "auto"
+) -> dict[str, object]:
     """Silver, both gold tables and the flags table, each stored; returns their paths."""
     silver = sinks.write_current(clean(grid, sheet), f"{base}/silver/bd_silver")
     employees, interns, _ = gold(silver)
@@ -111,7 +118,7 @@ def run(grid: DataFrame, base: str, sheet: str | None = None, as_of: str | None
     paths |= sinks.write_split(branches, f"{base}/gold", stamp)
     if "bd_empleados_gold" in paths:
         stored = grid.sparkSession.read.parquet(paths["bd_empleados_gold"]["actual"])
-        flagged = flags(stored, as_of)
+        flagged = flags(stored, as_of, mode)
         paths["flags"] = sinks.write_versioned(flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp)
     return paths
 

@@ -10,13 +10,14 @@ from padron.operators import quality, rows, shape
 from padron.operators.aggregates import condition_profile, ordered_text
 from padron.operators.joins import lookup_join
 from padron.plans.tables import LEAVE_OUTPUTS, LEAVE_SHEETS, LEAVES
-from padron.session import col
+from padron.session import col, shared_folder
 from padron.sources import grid as grids
 from padron.sources import sinks
 
 HEADER = grids.HeaderRule(row=2, stop="skip_blank")
 DOCUMENT, PERIOD, REASON, KIND = "DNI/CEX", "PERIODO", "MOTIVO", "TIPO_LICENCIA"
 JOIN_KEY = (DOCUMENT, PERIOD)
+FAILED = "leave records do not meet their specification"
 
 
 def read_sheet(grid: DataFrame, sheet: str, kind: str) -> DataFrame | None:
@@ -42,7 +43,7 @@ def consolidate(grid: DataFrame, check: str = "raise") -> DataFrame:
         raise grids.SheetError("no leave sheet could be processed")
     silver, _ = shape.select_in_spec_order(shape.union_by_name(present), LEAVES)
     if check == "raise":
-        quality.raise_if_any(findings(silver), "leave records do not meet their specification")
+        quality.raise_if_any(findings(silver), FAILED)
     return silver
 
 
@@ -65,7 +66,11 @@ def coverage(enriched: DataFrame) -> DataFrame:
 
 
 def run(grid: DataFrame, payroll: DataFrame, base: str) -> dict[str, str]:
-    leaves = sinks.write_current(consolidate(grid), f"{base}/silver/licencias_consolidadas")
+    """The sheets are read once into a staging table; it is checked there and published only when it passes."""
+    spark = grid.sparkSession
+    staged = sinks.write_current(consolidate(grid, check="report"), shared_folder(spark, "leaves-staging"))
+    quality.raise_if_any(findings(staged), FAILED)
+    leaves = sinks.write_current(staged, f"{base}/silver/licencias_consolidadas")
     path = f"{base}/gold/actual/nomina_licencias_gold"
     sinks.write_current(enrich(payroll, leaves), path, partition_by=[PERIOD])
     return {"silver": f"{base}/silver/licencias_consolidadas", "gold": path}

@@ -80,6 +80,8 @@ def test_repeated_documents_fan_out_like_the_plain_joins(spark):
     people = [("1", None, date(2015, 1, 1), None, "a"), ("1", date(1935, 1, 1), None, None, "b"), ("2", None, None, None, "c"), (None, date(1935, 1, 1), None, None, "d")]
     out = employees.flags(spark.createDataFrame(people, columns), "2000-01-01")
     assert out.count() == 16 + 1 + 1
+    merged = employees.flags(spark.createDataFrame(people, columns), "2000-01-01", mode="counted")
+    assert merged.selectExpr("sum(repeticiones)").first()[0] == 18 and merged.count() < 18
     unknown = out.filter("`NUMERO DE DOC` IS NULL").first()
     assert unknown["tiempo_servicio_texto"] is None and unknown["cumple_65_esteaño"] is None
 
@@ -191,6 +193,13 @@ def test_leave_checks_block(grid_of):
     assert leaves.consolidate(bad.filter("sheet LIKE '%SIN%'")).count() == 1
 
 
+def test_leave_flow_publishes_nothing_when_checks_fail(spark, grid_of, tmp_path):
+    pay, _ = payroll.gold(payroll.consolidate(_payroll(grid_of))[0])
+    with pytest.raises(QualityError):
+        leaves.run(_leaves(grid_of, NOMBRES=None), pay, str(tmp_path))
+    assert not (tmp_path / "silver").exists()
+
+
 # ---- income, internships, exams ------------------------------------------------------------------
 
 
