@@ -29,16 +29,17 @@ def ordered_text(
     Equal values are counted before they meet, with map-side combine, so a crowded key ships one row per
     distinct value. All kinds come from one grouping.
     """
+    copies = F.array_join(F.array_repeat(F.col("_value"), F.col("_times")), separator)
     counted = (
         df.filter(col(kind).isin(*outputs) & col(value).isNotNull())
         .groupBy(*[col(k) for k in keys], col(kind).alias("_kind"), col(value).alias("_value"))
         .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        .withColumn("_text", F.when(F.col("_times") == 1, F.col("_value")).otherwise(copies))
     )
 
     def text_of(name: str) -> Column:
-        entries = F.array_sort(F.collect_list(F.when(F.col("_kind") == name, F.struct("_value", "_times"))))
-        repeated = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["_value"], e["_times"])))
-        return F.when(F.size(entries) > 0, F.array_join(repeated, separator))
+        entries = F.sort_array(F.collect_list(F.when(F.col("_kind") == name, F.struct("_value", "_text"))))
+        return F.when(F.size(entries) > 0, F.array_join(entries["_text"], separator))
 
     return counted.groupBy(*[col(k) for k in keys]).agg(*[text_of(k).alias(name) for k, name in outputs.items()])
 
