@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+SHARED = "spark.padron.shared_folder"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -29,11 +30,25 @@ def build_session(app: str = "padron", master: str | None = None, **extra: str)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder; local temp only where none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "padron")
+    """A fresh path below the folder that the driver and all executors share.
+
+    The folder is named by ``spark.checkpoint.dir``, or by ``spark.padron.shared_folder`` where that is unset.
+    Without either there is no safe place for intermediate tables, so this raises.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not base:
+        raise RuntimeError(f"set spark.checkpoint.dir or {SHARED} to a folder that all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """Names a temporary shared folder for a session in one JVM that has none, as in tests and local runs."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not named and re.match(r"local(\[|$)", spark.sparkContext.master):
+        spark.conf.set(SHARED, f"file://{tempfile.mkdtemp(prefix='padron-')}")
+    return spark
+
+
 def col(name: str) -> Column:
     """Column by its exact name: sheet headers carry dots, slashes, '#' and '%'."""
     return F.col(quoted(name))
