@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm import mixing, pieces, rules, topk, toxicity
+from padron.llm import line_dedup, mixing, near_duplicates, pieces, rules, topk, toxicity
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings")
     return topk.top_k(vectors, is_query=F.col("vec_id") % 20 == 0)
@@ -23,6 +27,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read(spark, folder, "documents"), width=4)
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -45,6 +53,33 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP1_SQL = r"""
+WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+l AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line,
+         unnest(list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT))) AS h
+  FROM s
+), e AS (
+  SELECT *, CAST((h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 3 = 0 AS BIGINT) AS last FROM l
+), c AS (
+  SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+  FROM e
+), t AS (
+  SELECT doc_id, chunk, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body,
+         count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS solid
+  FROM c GROUP BY doc_id, chunk
+), r AS (
+  SELECT *, solid >= 2 AND row_number() OVER (PARTITION BY body, solid >= 2 ORDER BY doc_id, start) > 1 AS gone FROM t
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       CAST(coalesce(k.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(body, chr(10) ORDER BY start) FILTER (NOT gone) AS text, sum(n) AS n_lines,
+         coalesce(sum(n) FILTER (gone), 0) AS n_removed
+  FROM r GROUP BY doc_id
+) k USING (doc_id)
+"""
+
 OP2_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS cells
@@ -61,13 +96,15 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_topk": op2_topk,
     "op4_quality_rules": op4_quality_rules,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_mixing": op6_mixing,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {"op2_topk": OP2_SQL}
+ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL}
 
 
 def queries() -> dict[str, Query]:
