@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm import line_dedup, mixing, near_duplicates, pieces, rules, topk, toxicity
+from padron.llm import line_dedup, mixing, near_duplicates, pieces, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, is_query=F.col("vec_id") % 20 == 0)
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_texts(read(spark, folder, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(read(spark, folder, "documents"), read(spark, folder, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
@@ -98,6 +102,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_topk": op2_topk,
+    "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_mixing": op6_mixing,
