@@ -1,27 +1,42 @@
-"""A training corpus from raw documents: each stage's rows are stored and read again by the next."""
+"""A training corpus from raw documents, in five stages; each stage's rows are stored and read again by the next."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm import mixing, pieces, toxicity
+from padron.llm import line_dedup, mixing, near_duplicates, pieces, toxicity
 from padron.llm.common import read, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, learned from the labelled rows outside the held-out fold, doesn't reject."""
-    labels = read(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
-    scored = toxicity.keep(docs, model)
-    return scored.select(COLUMNS)
+    """Documents whose probability of being toxic is under one half.
+
+    The model is learned from the labelled rows of the raw documents outside the held-out fold.
+    """
+    labels = read(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit(read(spark, sf_dir, "documents"), labels)
+    return toxicity.keep(docs.select(COLUMNS), model)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the chunks of lines that an earlier place already has; ``n_chars`` follows the text."""
+    cut = line_dedup.line_dedup(docs.select(COLUMNS))
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(COLUMNS)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates (five words, 0.8)."""
+    groups = near_duplicates.near_duplicates(docs)
+    gone = groups.filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source near its target number of words: a document is repeated as often as the mix takes it."""
-    return mixing.repeat(mixing.mix(docs), COLUMNS)
+    return mixing.repeat(mixing.mix(docs.select(COLUMNS)), COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,14 +46,17 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("near_dedup", without_near_duplicates),
     ("mixing", mixed),
     ("encoding", encoded),
 ]
-#: The encoding can't be said in SQL; tests hold the stages against brute force.
+#: SQL can't say what the model, the signatures or the encoding do; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -20,7 +20,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from padron.llm.common import texts
 
@@ -283,9 +282,10 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, words, parts in _encoded(batches, vocabulary(model)):
             lists = [[i for p in own for i in words.known[p].ids] + [words.end] for own in parts]
+            plain = [_plain(words, own) for own in parts]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(x) for x in lists], pa.int64()), pa.array(lists, pa.list_(pa.int32())),
-                 pa.array([words.decode(x) for x in lists], pa.string())],
+                 pa.array(plain, pa.string())],
                 names=[id_col, "n_tokens", "ids", "decoded"],
             )
 
@@ -308,9 +308,7 @@ def digests(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: st
                 spelled = b" ".join([*(p.spelled for p in found), end])
                 count.append(spelled.count(b" ") + 1)
                 of_ids.append(hashlib.sha256(spelled).hexdigest())
-                # Parts decode one by one: none ends within a character's bytes. The text's first space goes.
-                plain = "".join([p.text for p in found])
-                of_text.append(hashlib.sha256((plain[1:] if plain[:1] == " " else plain).encode()).hexdigest())
+                of_text.append(hashlib.sha256(_plain(words, own).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(count, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -320,6 +318,12 @@ def digests(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: st
     return docs.select(id_col, text_col).mapInArrow(work, schema)
 
 
+def _plain(words: Vocabulary, parts: list[str]) -> str:
+    """The decoded text. Parts decode one by one, as none ends within a character's bytes; its first space goes."""
+    text = "".join([words.known[p].text for p in parts])
+    return text[1:] if text[:1] == " " else text
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[tuple[pa.Array, Vocabulary, list[list[str]]]]:
     """Groups of rows of a few MB: their ids, the vocabulary that knows all their parts, and the parts of each text."""
     for batch in batches:
@@ -340,11 +344,3 @@ def path_of(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-
-def encoded_column(docs: DataFrame, model: str) -> DataFrame:
-    """All columns of ``docs`` (names that clash are replaced) and ``n_tokens, ids_sha256, decoded_sha256``."""
-    new = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = [c for c in docs.columns if c not in new]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text"))
-    return digests(packed, model, id_col="row").select("row.*", *new)

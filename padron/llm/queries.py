@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from padron.llm import line_dedup, mixing, near_duplicates, pieces, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
@@ -108,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL}
 
