@@ -30,6 +30,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map that :func:`narrowed` sends to every task: half a megabyte, whatever the tables.
+MAP_BITS = 1 << 22
+
+
+def narrowed(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among that of ``ids``, ahead of a join that decides it.
+
+    Saves shuffling texts that the join would drop. A map of fixed size can let other rows pass, all of them when
+    there are very many ids, but never drops one that belongs.
+    """
+    place = F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(MAP_BITS))
+    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    bits = ids.select(place.alias("_place")).groupBy(F.expr("_place div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    placed = df.withColumn("_place", place).withColumn("_word", F.expr("_place div 64"))
+    return placed.join(F.broadcast(bits), "_word").filter(F.col("_bits").bitwiseAND(bit) != 0).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

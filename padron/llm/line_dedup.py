@@ -91,7 +91,7 @@ def _spans(lines: Column, stops: Column, min_lines: int) -> Column:
     solid = F.filter(spans, lambda s: F.size(F.filter(_slice(lines, s["start"], s["stop"]), lambda x: x.rlike(SOLID))) >= min_lines)
     return F.transform(
         solid,
-        lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.xxhash64(_joined(lines, s["start"], s["stop"])).alias("hash")),
+        lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), _chunk_hash(_joined(lines, s["start"], s["stop"])).alias("hash")),
     )
 
 
@@ -99,6 +99,10 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("bigint")
 
 
+def _chunk_hash(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def _slice(lines: Column, start: Column, stop: Column) -> Column:
     return F.slice(lines, start, stop - start + 1)
 

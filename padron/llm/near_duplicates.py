@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from padron.llm.common import chunks, mix, shingle_hashes, stored, text_bytes, word_hashes
+from padron.llm.common import chunks, mix, narrowed, shingle_hashes, stored, text_bytes, word_hashes
 from padron.llm.components import components
 
 WIDTH = 5
@@ -185,9 +185,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int,
     of_b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
     likely = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: _likely(it, percent), "a bigint, b bigint")
     likely = stored(likely, "near-likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
     sets = stored(
-        texts.join(wanted, "id", "left_semi").mapInArrow(lambda it: _full_sets(it, width), "id bigint, shingles binary"), "near-sets"
+        narrowed(texts, wanted, "id").join(wanted, "id", "left_semi").mapInArrow(lambda it: _full_sets(it, width), "id bigint, shingles binary"), "near-sets"
     )
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("fa")), "a")
     full = full.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("fb")), "b")

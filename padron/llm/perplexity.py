@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import mix, stored, texts
+from padron.llm.common import mix, narrowed, stored, texts
 
 VOCABULARY = 50_000
 FREQUENT = 65_536
@@ -324,7 +324,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE)
     trusted = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     rows = docs.select("doc_id", "lang", "text")
-    model = train(rows.join(trusted.filter(fold != 0), "doc_id", "left_semi"))
+    learned = trusted.filter(fold != 0)
+    model = train(stored(narrowed(rows, learned, "doc_id").join(learned, "doc_id", "left_semi").select("text"), "perplexity-trusted"))
     scored = stored(score(rows, model), "perplexity-scores")
     held = scored.join(trusted.filter(fold == 0), "doc_id", "left_semi").filter("perplexity is not null")
     cut = F.percentile_approx("perplexity", quantile, 10_000)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from padron.llm import line_dedup, mixing, near_duplicates, pieces, rules, topk, toxicity, wrappers
+from padron.llm import line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,10 +41,18 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(read(spark, folder, "documents"), pieces.path_of())
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(read(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
@@ -107,7 +115,9 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_mixing": op6_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
     "pipeline": corpus_pipeline.run,
 }
