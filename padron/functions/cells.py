@@ -41,6 +41,8 @@ NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_DECIMAL = r"^([+-]?[0-9]+)(?:\.0*|(\.[0-9]*[1-9])0*)$"
 # Numbers that need conversion: more than six decimals, no digit before the point, or an exponent.
 OTHER_DECIMAL = r"(?U)^\s*[+-]?([0-9]+\.[0-9]{7,}|\.[0-9]+|[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+)\s*$"
+# Numbers with an exponent, which have to be written out.
+EXPONENT = r"(?U)^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)[eE][+-]?[0-9]+\s*$"
 
 # Day zero of spreadsheet serial dates, and the serials of 0001-01-01 and 9999-12-31.
 SERIAL_EPOCH = "1899-12-30"
@@ -123,6 +125,12 @@ def number_cell_text(c: Column) -> Column:
     return F.when(c.contains(".") | c.contains("e") | c.contains("E"), fractional).otherwise(strip(c))
 
 
+def printed_number_text(c: Column) -> Column:
+    """As above without rounding: a number keeps all digits it is printed with, less trailing zeros."""
+    plain = F.regexp_replace(strip(c), PLAIN_DECIMAL, "$1$2")
+    return F.when(c.rlike(EXPONENT), number_text(c.try_cast("double"))).otherwise(plain)
+
+
 def datetime_text(c: Column) -> Column:
     return F.date_format(c, DATETIME_LAYOUT)
 

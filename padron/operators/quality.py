@@ -12,9 +12,12 @@ from padron.functions import cells
 from padron.operators.aggregates import condition_profile, duplicate_keys, invalid_values, null_profile, shares
 from padron.session import col
 from padron.sources.contracts import HEADER_END_BLANKS, SheetContract, SourceContract
+from padron.sources.grid import base_name
 from padron.sources.specs import TableSpec
 
 SHOWN_FINDINGS = 200
+# Stands for "no limit" in a slice.
+UNBOUNDED = 2**31 - 1
 FINDING = "columna string, regla string, severidad string, cantidad bigint, detalle string"
 
 
@@ -45,7 +48,7 @@ def check_sources(grid: DataFrame, contract: SourceContract) -> DataFrame:
     files, sheets = files.filter(accepted), sheets.filter(accepted)
 
     if contract.file_name_pattern:
-        misnamed = files.filter(~F.col("file").rlike(contract.file_name_pattern))
+        misnamed = files.filter(~base_name(F.col("file")).rlike(contract.file_name_pattern))
         findings.append(finding(misnamed, "file_name", F.lit(contract.file_name_pattern)))
 
     if contract.must_exist:
@@ -95,7 +98,7 @@ def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContra
                 "cells": F.coalesce("cells", F.array().cast("array<string>")),
                 "row": by_sheet(lambda c: F.lit(c.header_row)),
                 "start": by_sheet(lambda c: F.lit(c.start_col)),
-                "width": by_sheet(lambda c: F.lit(c.max_cells + 1)),
+                "width": by_sheet(lambda c: F.lit(c.max_cells + 1 if c.max_cells else UNBOUNDED)),
                 "required": by_sheet(names),
             }
         )

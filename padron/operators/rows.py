@@ -92,9 +92,9 @@ def drop_empty_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     return df.withColumn("_filled", filled).filter(F.col("_filled").isNotNull()).drop("_filled")
 
 
-def is_data_row(first_cell: Column) -> Column:
-    """Neither an empty row nor a footer: the first cell is set, and is not a long text."""
-    footer = ~cells.looks_numeric(first_cell) & (F.length(first_cell) > FOOTER_LENGTH)
+def is_data_row(first_cell: Column, footer_length: int = FOOTER_LENGTH) -> Column:
+    """Neither an empty row nor a footer: the first cell is set, and is not a text longer than ``footer_length``."""
+    footer = ~cells.looks_numeric(first_cell) & (F.length(first_cell) > footer_length)
     return F.coalesce(first_cell.isNotNull() & ~footer, F.lit(False))
 
 

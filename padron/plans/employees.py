@@ -32,21 +32,26 @@ FLAGS = (
 
 
 def clean(grid: DataFrame, sheet: str | None = None, stop_rule: str = "first_blank_key") -> DataFrame:
-    """Silver text table. ``stop_rule='none'`` keeps every non-empty row instead of stopping at a blank key."""
+    """Silver text table; each sheet ends at the first blank in its own document column.
+
+    ``stop_rule='none'`` keeps every non-empty row instead.
+    """
     if sheet is not None:
         grid = grids.pick_sheet(grid, sheet)
-    table, names = grids.promote_header(grid, HEADER)
-    keys = [n for n in names if "NUMERO" in n.upper() and "DOC" in n.upper()]
-    if not keys:
-        raise grids.SheetError("no document number column in the header")
+    table, names = grids.promote_header(grid, HEADER, key=_is_document)
     if stop_rule == "none":
         kept = table.filter(~grids.row_is_blank())
         return kept.select(*grids.GRID_COLUMNS, *[cells.null_words_to_null(col(n)).alias(n) for n in names])
-    kept = rows.stop_at_first(table, cells.is_blank(col(keys[0])))
+    kept = rows.stop_at_first(table, cells.is_blank(F.col("_key")))
     tidy = [cells.null_words_to_null(cells.slash_date_to_datetime_text(col(n))).alias(n) for n in names]
     return kept.select(*grids.GRID_COLUMNS, *tidy)
 
 
+def _is_document(header: Column) -> Column:
+    """Whether a header names the document number, which files spell differently."""
+    return F.upper(header).contains("NUMERO") & F.upper(header).contains("DOC")
+
+
 def gold(silver: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """(employees, interns, missing columns): known columns, dates typed, split by contract type."""
     known, missing = shape.select_known(silver, EMPLOYEES)

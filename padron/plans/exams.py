@@ -27,15 +27,15 @@ CATALOGUE_NAMES = {
 
 
 def clean(grid: DataFrame, strict_dates: bool = False) -> DataFrame:
-    """Silver: rows up to the first blank first cell, errors and blanks normalised.
+    """Silver: rows up to the first blank first cell of their sheet, errors and blanks normalised, digits kept.
 
     Dates are read with or without a time; ``strict_dates`` admits only the form with a time.
     """
     table, names = grids.promote_header(grids.pick_sheet(grid, SHEET), HEADER)
-    kept = rows.stop_at_first(table, cells.is_blank(col(names[0])))
+    kept = rows.stop_at_first(table, cells.is_blank(F.get("_row", F.lit(0))))
 
     def tidy(name: str):
-        text = cells.number_cell_text(cells.error_cell_to_null(col(name)))
+        text = cells.printed_number_text(cells.error_cell_to_null(col(name)))
         if name in EXAM_DATES:
             return cells.datetime_text_to_date(text, date_only=not strict_dates)
         if name == "DNI":

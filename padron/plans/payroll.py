@@ -19,11 +19,13 @@ KEY = "DNI/CEX"
 CODEC = "zstd"
 
 
-def consolidate(grid: DataFrame, own_outputs: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def consolidate(
+    grid: DataFrame, own_outputs: tuple[str, ...] = (), footer_length: int = rows.FOOTER_LENGTH
+) -> tuple[DataFrame, DataFrame]:
     """(silver text table, rejected files). Columns are matched by name over all files, values by position."""
     usable = grids.usable_files(grid, own_outputs)
     body, rejected = grids.with_period(usable, SHEET)
-    data = body.filter((F.col("row_idx") <= HEADER.row) | rows.is_data_row(F.get("cells", F.lit(0))))
+    data = body.filter((F.col("row_idx") <= HEADER.row) | rows.is_data_row(F.get("cells", F.lit(0)), footer_length))
     table, names = grids.promote_header(data, HEADER, keep=("PERIODO",))
     names = [n for n in names if n not in ("PERIODO", "AÑO", "MES")]
     if KEY in names:

@@ -1,7 +1,7 @@
 """Raw sheet grids derived from the given tables, in Spark, and the same rows as plain SQL tables.
 
-Grids have few files, so that one file holds a large part of all rows. They are stored before use, as raw
-sheets are in a real run. The SQL side describes the cells by name instead of position; what a grid operator
+Grids have many files, mostly one a month; a row that ends its sheet is in one of them, so the rest of the table
+passes through. They are stored before use, as raw sheets are in a real run. The SQL side describes the cells by name instead of position; what a grid operator
 must produce is then a plain query over it.
 """
 
@@ -17,6 +17,15 @@ from padron.session import shared_folder
 from padron.sources.grid import read_grid
 
 
+# The files of one month have a row that ends the sheet.
+CUT_MONTH = "date_format(o_orderdate, 'yyyy-MM') = '1995-03'"
+# Rows left out after the 100th row of two files: more than the run that ends a sheet, and just fewer.
+CONTROL_GAP = (
+    "CASE WHEN o_orderkey {div} 500 = 3 AND o_orderkey % 500 >= 100 THEN 2000"
+    " WHEN o_orderkey {div} 500 = 4 AND o_orderkey % 500 >= 100 THEN 900 ELSE 0 END"
+)
+
+
 def grid(rows: DataFrame, header_row: int, header: Sequence[str | None] | str, cells: Sequence[str]) -> DataFrame:
     """Data rows plus one header row per sheet; ``header`` is a list of names or an expression over file and sheet."""
     data = rows.selectExpr("file", "sheet", "row_idx", f"cast(array({', '.join(cells)}) AS array<string>) AS cells")
@@ -73,7 +82,7 @@ def payroll_rows(spark: SparkSession, folder: str) -> DataFrame:
            WHEN date_format(o_orderdate, 'yyyy-MM') = '1996-03' THEN 'Consolidado 1996-03.xlsx'
            ELSE concat('Planilla ', date_format(o_orderdate, 'yyyy-MM'), ' Empleados.xlsx') END AS file""",
         "CASE WHEN date_format(o_orderdate, 'yyyy-MM') = '1997-05' THEN 'Hoja1' ELSE 'Planilla' END AS sheet",
-        "o_orderkey + 7 AS row_idx", "month(o_orderdate) % 2 AS impar",
+        "o_orderkey + 7 AS row_idx", "CASE WHEN year(o_orderdate) = 2001 THEN 1 ELSE month(o_orderdate) % 2 END AS impar",
         """CASE WHEN o_orderkey % 89 = 3 THEN 'Total general de la planilla' WHEN o_orderkey % 83 = 2 THEN NULL
            ELSE cast(o_orderkey AS string) END AS n""",
         "CASE WHEN o_orderkey % 59 = 4 THEN NULL ELSE cast(o_custkey AS string) END AS dni",
@@ -113,8 +122,8 @@ MASTER_HEADER = ("NUMERO DE DOC", "NOMBRE", "FECH_INGR.", "Modalidad de Contrato
 @stored("master")
 def master_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
-        "concat('bd_', o_orderstatus, '.xlsx') AS file", "'BD' AS sheet", "o_orderkey + 11 AS row_idx",
-        "CASE WHEN o_orderkey % 12000 BETWEEN 11000 AND 11003 THEN ' ' ELSE concat(' ', o_orderkey) END AS doc",
+        "concat('bd_', date_format(o_orderdate, 'yyyy-MM'), '.xlsx') AS file", "'BD' AS sheet", "o_orderkey + 11 AS row_idx",
+        f"CASE WHEN {CUT_MONTH} AND o_orderkey % 5 = 2 THEN ' ' ELSE concat(' ', o_orderkey) END AS doc",
         "CASE o_orderkey % 6 WHEN 0 THEN 'None' WHEN 1 THEN 'nan' WHEN 2 THEN NULL ELSE concat('N', o_custkey, ' ') END AS nombre",
         """CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'd/M/yyyy') WHEN 1 THEN '31/02/2024'
            WHEN 2 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS ingreso""",
@@ -135,11 +144,9 @@ CONTROL_HEADER = (
 @stored("control")
 def control_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
-        "concat('control_', o_orderstatus, '.xlsx') AS file", "'Practicantes' AS sheet", "o_orderkey + 5 AS row_idx",
-        """CASE WHEN o_orderkey < 20 OR o_orderkey % 13 = 0 THEN '  '
-           WHEN o_orderstatus = 'P' AND o_orderkey % 10000 BETWEEN 4000 AND 5500 THEN NULL
-           WHEN o_orderstatus = 'O' AND o_orderkey % 10000 BETWEEN 4000 AND 4900 THEN NULL
-           ELSE concat(o_orderkey, '.0') END AS dni""",
+        "concat('control_', o_orderkey div 500, '.xlsx') AS file", "'Practicantes' AS sheet",
+        f"o_orderkey % 500 + 5 + {CONTROL_GAP.format(div='div')} AS row_idx",
+        "CASE WHEN o_orderkey < 20 OR o_orderkey % 53 = 0 THEN '  ' ELSE concat(o_orderkey, '.0') END AS dni",
         "o_orderkey", "o_custkey", "o_orderpriority",
         """CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')
            WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 2 THEN date_format(o_orderdate, 'dd.MM.yyyy')
@@ -168,8 +175,8 @@ INTERN_INCOME_HEADER = (
 @stored("income")
 def income_sheets(spark: SparkSession, folder: str) -> DataFrame:
     people = table(spark, folder, "orders").selectExpr(
-        "'Relacion.xlsx' AS file", "'EMPLEADOS' AS sheet", "o_orderkey + 3 AS row_idx", "*",
-        "o_orderkey BETWEEN 14000 AND 14001 AS vacia",
+        "concat('Relacion ', date_format(o_orderdate, 'yyyy-MM'), '.xlsx') AS file", "'EMPLEADOS' AS sheet",
+        "o_orderkey + 3 AS row_idx", "*", f"{CUT_MONTH} AND o_orderkey % 5 = 2 AS vacia",
     )
     values = [
         "cast(year(o_orderdate) AS string)",
@@ -229,8 +236,9 @@ EXAM_HEADER = ("NOMBRE", "DNI", "FECHA DE CESE", "CAUSA DE SALIDA", "CARGO", "NO
 @stored("exams")
 def exam_sheets(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").selectExpr(
-        "'examenes.xlsx' AS file", "'DATA' AS sheet", "o_orderkey + 4 AS row_idx",
-        "CASE WHEN o_orderkey % 14000 = 13000 THEN NULL ELSE concat('P', o_custkey, ' ') END AS nombre",
+        "concat('examenes ', date_format(o_orderdate, 'yyyy-MM'), '.xlsx') AS file", "'DATA' AS sheet",
+        "o_orderkey + 4 AS row_idx",
+        f"CASE WHEN {CUT_MONTH} AND o_orderkey % 5 = 2 THEN NULL ELSE concat('P', o_custkey, ' ') END AS nombre",
         "CASE WHEN o_orderkey % 2 = 0 THEN concat(o_orderkey, '.0') ELSE cast(o_orderkey AS string) END AS dni",
         """CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')
            WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 2 THEN '#N/A' WHEN 3 THEN NULL ELSE 'pronto' END AS cese""",
@@ -250,7 +258,7 @@ SQL = {
     CASE WHEN length(text) % 5 = 0 THEN NULL ELSE text END AS texto
   FROM conversations""",
     "payroll_rows": """
-  SELECT strftime(o_orderdate, '%Y-%m') AS ym, month(o_orderdate) % 2 AS impar,
+  SELECT strftime(o_orderdate, '%Y-%m') AS ym, CASE WHEN year(o_orderdate) = 2001 THEN 1 ELSE month(o_orderdate) % 2 END AS impar,
     CASE WHEN year(o_orderdate) = 2001 THEN 'Planilla sin fecha.xlsx'
       WHEN strftime(o_orderdate, '%Y-%m') = '1996-02' THEN '~$Planilla 1996-02 Empleados.xlsx'
       WHEN strftime(o_orderdate, '%Y-%m') = '1996-03' THEN 'Consolidado 1996-03.xlsx'
@@ -281,8 +289,8 @@ SQL = {
     CASE WHEN impar = 0 THEN concepto END AS CONCEPTO, CASE WHEN impar = 0 THEN nacimiento END AS fecha
   FROM payroll_kept""",
     "master_rows": """
-  SELECT 'bd_' || o_orderstatus || '.xlsx' AS file, o_orderkey + 11 AS row_idx,
-    CASE WHEN o_orderkey % 12000 BETWEEN 11000 AND 11003 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS doc,
+  SELECT 'bd_' || strftime(o_orderdate, '%Y-%m') || '.xlsx' AS file, o_orderkey + 11 AS row_idx,
+    CASE WHEN strftime(o_orderdate, '%Y-%m') = '1995-03' AND o_orderkey % 5 = 2 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS doc,
     CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 'N' || o_custkey END AS nombre,
     CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') WHEN 1 THEN '31/02/2024'
       WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS ingreso,
@@ -294,11 +302,8 @@ SQL = {
   LEFT JOIN (SELECT file, MIN(row_idx) AS cut FROM master_rows WHERE doc = '' GROUP BY file) c ON m.file = c.file
   WHERE cut IS NULL OR row_idx < cut""",
     "control_rows": """
-  SELECT o_orderstatus AS file, o_orderkey + 5 AS row_idx,
-    CASE WHEN o_orderkey < 20 OR o_orderkey % 13 = 0 THEN NULL
-      WHEN o_orderstatus = 'P' AND o_orderkey % 10000 BETWEEN 4000 AND 5500 THEN NULL
-      WHEN o_orderstatus = 'O' AND o_orderkey % 10000 BETWEEN 4000 AND 4900 THEN NULL
-      ELSE CAST(o_orderkey AS VARCHAR) END AS dni,
+  SELECT o_orderkey // 500 AS file, o_orderkey % 500 + 5 + """ + CONTROL_GAP.format(div="//") + """ AS row_idx,
+    CASE WHEN o_orderkey < 20 OR o_orderkey % 53 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS dni,
     o_orderkey, o_custkey, o_orderpriority,
     CASE WHEN o_orderkey % 5 < 3 THEN strftime(o_orderdate, '%Y-%m-%d')
       WHEN o_orderkey % 5 = 3 THEN CAST(DATE '1899-12-30' + CAST(34700 + o_orderkey % 2000 AS INTEGER) AS VARCHAR) END
@@ -313,7 +318,9 @@ SQL = {
     WHERE row_idx - before > 1000 GROUP BY file) c ON k.file = c.file
   WHERE dni IS NOT NULL AND (cut IS NULL OR row_idx < cut)""",
     "income_rows": """
-  SELECT * FROM orders WHERE o_orderkey < 14000""",
+  SELECT * FROM orders WHERE strftime(o_orderdate, '%Y-%m') <> '1995-03' OR o_orderkey < (
+    SELECT coalesce(MIN(o_orderkey), 9223372036854775807) FROM orders
+    WHERE strftime(o_orderdate, '%Y-%m') = '1995-03' AND o_orderkey % 5 = 2)""",
     "income_employees": """
   SELECT year(o_orderdate) || '-' || lpad(mes, 2, '0') AS PERIODO, CAST(year(o_orderdate) AS VARCHAR) AS "AÑO", mes AS MES,
     CAST(o_custkey AS VARCHAR) AS DNI, 'D' || o_custkey AS "N° DOCUM.",
@@ -332,7 +339,8 @@ SQL = {
     CASE WHEN l_linenumber IN (3, 4) AND l_returnflag = 'N' THEN NULL ELSE l_returnflag || '-' || l_linenumber END AS motivo
   FROM lineitem""",
     "exam_rows": """
-  SELECT o_orderkey, CASE WHEN o_orderkey % 14000 = 13000 THEN NULL ELSE 'P' || o_custkey END AS nombre,
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS file,
+    CASE WHEN strftime(o_orderdate, '%Y-%m') = '1995-03' AND o_orderkey % 5 = 2 THEN NULL ELSE 'P' || o_custkey END AS nombre,
     CAST(o_orderkey AS VARCHAR) AS dni,
     CASE WHEN o_orderkey % 5 < 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS cese, o_orderstatus AS causa,
     CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END AS cargo,

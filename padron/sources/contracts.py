@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
 from padron.sources.specs import TableSpec, spec_from_json
 
-# Spreadsheet file extensions, the widest header read, and the blanks that end it.
+# Spreadsheet file extensions, and the blanks that end a header.
 EXTENSIONS = (".xls", ".xlsm", ".xlsx")
-MAX_HEADER_CELLS = 250
 HEADER_END_BLANKS = 3
 
 
@@ -20,7 +19,8 @@ class SheetContract:
     header_row: int
     start_col: int = 1
     required: tuple[str, ...] = ()
-    max_cells: int = MAX_HEADER_CELLS
+    #: Header cells read at most; None for all of them.
+    max_cells: int | None = None
 
 
 @dataclass(frozen=True)
@@ -55,33 +55,57 @@ def column_number(letters: str) -> int:
     return number
 
 
+@dataclass(frozen=True)
+class RequiredRule:
+    """Where a sheet's required columns come from: a list, or a schema document read in one of several modes."""
+
+    listed: tuple[str, ...] = ()
+    mode: str = ""
+    schema: str = ""
+    sheet: str | None = None
+    excluded: frozenset[str] = frozenset()
+
+    @classmethod
+    def parse(cls, source: Any) -> RequiredRule:
+        rule = {"required_columns": source} if isinstance(source, (list, tuple)) else dict(source or {})
+        names = (str(c).strip() for c in rule.get("required_columns") or ())
+        return cls(
+            listed=tuple(n for n in names if n),
+            mode=str(rule.get("extract", "")).strip().lower(),
+            schema=str(rule.get("schema_path", "")),
+            sheet=rule.get("sheet_name"),
+            excluded=frozenset(_key(c) for c in rule.get("exclude_columns", ())),
+        )
+
+
+def _flagged(flag: str, value: bool) -> Callable[[Mapping[str, Any], RequiredRule], Iterable[str]]:
+    return lambda doc, _: [c["name"] for c in doc.get("columns", ()) if c.get(flag) is value]
+
+
+def _declared(nullable_too: bool) -> Callable[[Mapping[str, Any], RequiredRule], Iterable[str]]:
+    def names(doc: Mapping[str, Any], rule: RequiredRule) -> Iterable[str]:
+        spec: TableSpec = spec_from_json(doc, "required", rule.sheet if rule.sheet in doc.get("hojas", {}) else None)
+        return [f.name for f in spec.fields if nullable_too or not f.nullable]
+
+    return names
+
+
+#: How each mode draws names from a schema document.
+EXTRACTORS: dict[str, Callable[[Mapping[str, Any], RequiredRule], Iterable[str]]] = {
+    "required_columns_array": lambda doc, _: doc.get("required_columns", ()),
+    "columns_required_true": _flagged("required", True),
+    "columns_non_nullable": _flagged("nullable", False),
+    "schema_keys": _declared(nullable_too=True),
+    "schema_non_nullable": _declared(nullable_too=False),
+}
+
+
 def required_columns(source: Any, schemas: Mapping[str, Mapping[str, Any]]) -> tuple[str, ...]:
-    """The required list of one sheet: explicit, or drawn from a schema by one of five modes less exclusions."""
-    if isinstance(source, (list, tuple)):
-        return tuple(str(c).strip() for c in source if str(c).strip())
-    source = source or {}
-    if source.get("required_columns"):
-        return tuple(str(c).strip() for c in source["required_columns"] if str(c).strip())
-    mode = str(source.get("extract", "")).strip().lower()
-    document = schemas.get(str(source.get("schema_path", "")))
-    if not mode or document is None:
-        return ()
-    excluded = {_key(c) for c in source.get("exclude_columns", ())}
-    return tuple(c for c in _schema_columns(document, mode, source.get("sheet_name")) if _key(c) not in excluded)
-
-
-def _schema_columns(document: Mapping[str, Any], mode: str, sheet: str | None) -> list[str]:
-    if mode == "required_columns_array":
-        return list(document.get("required_columns", ()))
-    listed = {"columns_required_true": "required", "columns_non_nullable": "nullable"}
-    if mode in listed:
-        flag, wanted = listed[mode], mode == "columns_required_true"
-        return [c["name"] for c in document.get("columns", ()) if c.get(flag) is wanted]
-    if mode in ("schema_keys", "schema_non_nullable"):
-        use_sheet = sheet if sheet in document.get("hojas", {}) else None
-        spec: TableSpec = spec_from_json(document, "required", use_sheet)
-        return [f.name for f in spec.fields if mode == "schema_keys" or not f.nullable]
-    return []
+    """The required columns of one sheet; none for an unknown mode or schema."""
+    rule = RequiredRule.parse(source)
+    extract, document = EXTRACTORS.get(rule.mode), schemas.get(rule.schema)
+    drawn = extract(document, rule) if extract and document is not None and not rule.listed else ()
+    return rule.listed or tuple(c for c in drawn if _key(c) not in rule.excluded)
 
 
 def _key(name: Any) -> str:
@@ -101,7 +125,7 @@ def contract_from_json(
                 header_row=int(start.get("row_index_1_based", 1)),
                 start_col=column_number(str(start.get("column_letter", "A"))),
                 required=required_columns(meta.get("required_columns_source"), schemas or {}),
-                max_cells=int(meta.get("max_scan_cols", MAX_HEADER_CELLS)),
+                max_cells=int(meta["max_scan_cols"]) if meta.get("max_scan_cols") else None,
             )
         )
     return SourceContract(

@@ -7,7 +7,7 @@ then pick cells by position, so files with drifting headers share one projection
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +20,12 @@ from padron.operators.joins import BROADCAST_BYTES, bounded_copy, lookup_join
 GRID_COLUMNS = ("file", "sheet", "row_idx")
 # More columns than any sheet can have; a header set beyond it means the header row is wrong.
 MAX_COLUMNS = 16_384
+# Absent headers an error message names; it gives their number as well.
+SHOWN_HEADERS = 50
 # Width of one cell position in a header lookup.
 POSITION_BYTES = 8
-# Blanks a payroll header may contain, and the width within which it is read.
+# Fixed value: blanks a payroll header may contain.
 HEADER_GAP = 3
-GAP_HEADER_CELLS = 199
 # Fixed value: prefix of lock files left by open workbooks.
 LOCK_PREFIX = "~$"
 
@@ -57,12 +58,16 @@ def read_grid(spark: SparkSession, path: str, pattern: str | None = None) -> Dat
 
 def usable_files(grid: DataFrame, own_outputs: Sequence[str] = ()) -> DataFrame:
     """Without lock files and the job's own earlier outputs, both known by prefix."""
-    name = F.substring_index(F.regexp_replace("file", r"\\", "/"), "/", -1)
     for prefix in (LOCK_PREFIX, *own_outputs):
-        grid = grid.filter(~name.startswith(prefix))
+        grid = grid.filter(~base_name(F.col("file")).startswith(prefix))
     return grid
 
 
+def base_name(file: Column) -> Column:
+    """The last part of a path written with either kind of slash."""
+    return F.substring_index(F.regexp_replace(file, r"\\", "/"), "/", -1)
+
+
 def pick_sheet(grid: DataFrame, sheet: str, required: bool = True) -> DataFrame:
     """Rows of one sheet; when required, its absence from the whole input is an error."""
     rows = grid.filter(F.col("sheet") == sheet)
@@ -76,7 +81,7 @@ def with_period(grid: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
 
     Files without a period or without the sheet are rejected and reported; no good file at all is an error.
     """
-    periods = period_from_name(F.col("file"))
+    periods = period_from_name(base_name(F.col("file")))
     known = grid.withColumn("PERIODO", periods)
     rows = known.filter((F.col("sheet") == sheet) & F.col("PERIODO").isNotNull())
     files = (
@@ -109,7 +114,7 @@ def header_layout(grid: DataFrame, rule: HeaderRule) -> DataFrame:
     elif rule.stop == "gap":
         blanks = F.filter(F.sequence(F.lit(0), F.size("names") - 1), lambda i: F.get("names", i).isNull())
         beyond = F.get(blanks, F.lit(HEADER_GAP))
-        last = F.least(F.coalesce(beyond, F.size("names")), F.lit(GAP_HEADER_CELLS))
+        last = F.coalesce(beyond, F.size("names"))
     else:
         raise ValueError(f"unknown header rule: {rule.stop}")
     return named.withColumn("names", F.slice("names", F.lit(1), last.cast("int")))
@@ -142,28 +147,39 @@ def promote_header(
     rule: HeaderRule,
     targets: Sequence[str] | None = None,
     keep: Sequence[str] = GRID_COLUMNS,
+    key: Callable[[Column], Column] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Data rows below the header as named text columns, and the names.
 
     Without ``targets`` the columns are all headers found, a file without one giving null. With ``targets``
     only those are read and every sheet must have them. When a name repeats, its last column counts.
-    ``width`` is the end of the sheet's header, for rules that look at whole rows.
+    ``width`` is the end of the sheet's header, for rules that look at whole rows. ``key`` is a test of header
+    names: the cell below each sheet's first column that passes it becomes ``_key``, wherever that column is and
+    whatever it is called there; every sheet must have one.
     """
     layout = header_layout(grid, rule)
     small = bounded_copy(layout)
     layout = layout if small is None else small
     if targets is not None:
-        absent = missing_headers(layout, targets).limit(50).collect()
-        if absent:
-            raise SheetError("missing headers: " + "; ".join(f"{r.file}/{r.sheet}: {r.column}" for r in absent))
+        _raise_for(missing_headers(layout, targets), "missing headers")
+    if key is not None:
+        keyless = layout.filter(~F.exists("names", lambda n: F.coalesce(key(n), F.lit(False))))
+        _raise_for(keyless.select("file", "sheet", F.lit("no key column").alias("column")), "no key column")
     names = list(targets) if targets is not None else column_names(layout)
 
     def position(name: str) -> Column:
         from_end = F.array_position(F.reverse("names"), name).cast("int")
         return F.when(from_end > 0, F.size("names") - from_end + 1)
 
+    at_key = F.lit(None).cast("int")
+    if key is not None:
+        at_key = F.array_position(F.transform("names", lambda n: F.coalesce(key(n), F.lit(False))), True).cast("int")
     places = layout.select(
-        "file", "sheet", F.array(*[position(n) for n in names]).alias("_at"), F.size("names").alias("_width")
+        "file",
+        "sheet",
+        F.array(*[position(n) for n in names]).alias("_at"),
+        F.size("names").alias("_width"),
+        at_key.alias("_key_at"),
     )
     body = grid.filter(F.col("row_idx") > rule.row)
     if small is not None and small.count() * len(names) * POSITION_BYTES <= BROADCAST_BYTES:
@@ -173,10 +189,19 @@ def promote_header(
     # Unlike an index, element access is not copied into every later use of the column.
     picked = [F.try_element_at("cells", F.get("_at", F.lit(i))).alias(n) for i, n in enumerate(names)]
     row_cells = F.slice("cells", F.lit(rule.start_col), F.greatest(F.col("_width") - rule.start_col + 1, F.lit(0)))
-    table = placed.select(*keep, *picked, row_cells.alias("_row"))
+    own_key = [] if key is None else [F.try_element_at("cells", F.col("_key_at")).alias("_key")]
+    table = placed.select(*keep, *picked, row_cells.alias("_row"), *own_key)
     return table, names
 
 
+def _raise_for(absent: DataFrame, title: str) -> None:
+    """An error that names the first absent headers and says how many there are in all."""
+    shown = absent.orderBy("file", "sheet", "column").limit(SHOWN_HEADERS).collect()
+    if shown:
+        listed = "; ".join(f"{r.file}/{r.sheet}: {r.column}" for r in shown)
+        raise SheetError(f"{title} ({absent.count()} in total): {listed}")
+
+
 def row_is_blank() -> Column:
     """True when no cell under the sheet's header holds text."""
     return F.forall("_row", cells.is_blank)
