@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import texts
+from padron.llm.common import narrowed, stored, texts
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -103,7 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, lexicon: int = LEXICON) -> Model:
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+    rows = narrowed(docs.select("doc_id", "text"), known, "doc_id").join(known, "doc_id").select("text", "toxic")
+    rows = stored(rows, "toxicity-labelled")
     counts = (
         rows.mapInArrow(_token_counts, "token string, toxic bigint, clean bigint, clean_words bigint")
         .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "clean_words")])

@@ -19,6 +19,7 @@ BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_SHARE = 0.001
 SALTS = 256
+SALT_COLUMNS = 8
 
 
 def bounded_copy(
@@ -26,19 +27,15 @@ def bounded_copy(
 ) -> DataFrame | None:
     """The table as a local relation when it is within both bounds, otherwise None.
 
-    Rows and bytes are measured on the cluster first, so nothing larger than the bounds is ever collected.
-    The head of the table is kept between the two steps, so it is evaluated once.
+    Rows and bytes are summed on the cluster first, and rows move only when both fit: nothing that is larger than
+    the bounds meets in one task, however wide its rows are.
     """
     if max_rows <= 0:
         return None
-    head = df.limit(max_rows + 1).persist()
-    try:
-        rows, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
-        if rows > max_rows or size > max_bytes:
-            return None
-        return df.sparkSession.createDataFrame(head.toArrow(), schema=df.schema)
-    finally:
-        head.unpersist()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
+    if rows > max_rows or size > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -93,7 +90,9 @@ def lookup_join(
 
     hashes = hot_key_hashes(left, on)
     is_hot = _key_hash(on).isin(*hashes) if hashes else F.lit(False)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in left.columns]), F.lit(SALTS))
+    # The first few plain columns tell rows of one key apart well enough, and any type may be among the others.
+    plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)][:SALT_COLUMNS]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in plain]), F.lit(SALTS))
     # Rows with an unknown key match nothing; they are spread too, so that they do not meet in one task.
     salted = left.withColumn("_salt", F.when(is_hot | ~_all_known(on), spread).otherwise(F.lit(0).cast("bigint")))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +18,6 @@ from padron.sources.grid import base_name
 from padron.sources.specs import TableSpec
 
 SHOWN_FINDINGS = 200
-# Stands for "no limit" in a slice.
-UNBOUNDED = 2**31 - 1
 FINDING = "columna string, regla string, severidad string, cantidad bigint, detalle string"
 
 
@@ -89,7 +89,10 @@ def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContra
     def names(c: SheetContract) -> Column:
         return F.array(*[F.lit(r) for r in c.required]).cast("array<string>")
 
-    header_rows = grid.filter(F.col("row_idx") == by_sheet(lambda c: F.lit(c.header_row)))
+    # Pairs of sheet and row as plain comparisons, which the scan can prune by.
+    header_rows = grid.filter(
+        reduce(or_, [(F.col("sheet") == c.sheet) & (F.col("row_idx") == c.header_row) for c in contracts])
+    )
     return (
         sheets.filter(F.col("sheet").isin(*[c.sheet for c in contracts]))
         .join(header_rows.select("file", "sheet", "cells"), ["file", "sheet"], "left")
@@ -98,7 +101,7 @@ def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContra
                 "cells": F.coalesce("cells", F.array().cast("array<string>")),
                 "row": by_sheet(lambda c: F.lit(c.header_row)),
                 "start": by_sheet(lambda c: F.lit(c.start_col)),
-                "width": by_sheet(lambda c: F.lit(c.max_cells + 1 if c.max_cells else UNBOUNDED)),
+                "width": by_sheet(lambda c: F.lit(c.max_cells + 1 if c.max_cells else None)).cast("int"),
                 "required": by_sheet(names),
             }
         )
@@ -107,7 +110,7 @@ def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContra
 
 def _header_names() -> Column:
     """Non-blank header cells from the start column, up to three blanks in a row after the first name."""
-    scanned = F.slice("cells", F.col("start"), F.col("width"))
+    scanned = F.slice("cells", F.col("start"), F.coalesce("width", F.size("cells") + 1))
     start = F.struct(F.array().cast("array<string>").alias("names"), F.lit(0).alias("blanks"))
 
     def step(state: Column, cell: Column) -> Column:

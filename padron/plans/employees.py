@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from padron.functions import calendar, cells
 from padron.operators import quality, rows, shape
 from padron.operators.aggregates import duplicate_keys
+from padron.operators.joins import lookup_join
 from padron.plans.tables import EMPLOYEES, INTERN_MODALITY
 from padron.session import col
 from padron.sources import grid as grids
@@ -74,41 +75,43 @@ def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto") ->
 
     The result is defined as the table joined three times to its own calculations by document number. With
     unique documents that is a projection (rows without a document get nulls), which needs no shuffle.
-    'auto' checks uniqueness and joins only when documents repeat; 'projection' and 'join' force one form.
-    A document held n times fans out to n**4 rows in the joined form. 'counted' gives the same result with
-    equal rows merged: a ``repeticiones`` column says how often the joined form repeats each row.
+    A document held n times would fan out to n**4 rows; 'counted' gives the same result with equal rows merged:
+    a ``repeticiones`` column says how often the joined form repeats each row. 'auto' checks uniqueness and
+    counts only when documents repeat; 'projection' and 'counted' force one form.
     """
     lacking = shape.missing_columns(employees, [KEY, BORN, HIRED, ENDED, MODALITY])
     if lacking:
         raise ValueError(f"missing columns: {lacking}")
     if mode == "auto":
         known = employees.filter(col(KEY).isNotNull())
-        mode = "projection" if duplicate_keys(known, [KEY]).isEmpty() else "join"
+        mode = "projection" if duplicate_keys(known, [KEY]).isEmpty() else "counted"
     computed = flag_columns(calendar.as_of_date(as_of))
     if mode == "projection":
         has_key = col(KEY).isNotNull()
         return employees.withColumns({name: F.when(has_key, c) for name, c in computed.items()})
-    return _joined_flags(employees, computed, counted=mode == "counted")
+    return _counted_flags(employees, computed)
 
 
-def _joined_flags(employees: DataFrame, computed: dict[str, Column], counted: bool) -> DataFrame:
-    """The three joins, with equal calculations of a repeated document merged and counted beforehand.
+def _counted_flags(employees: DataFrame, computed: dict[str, Column]) -> DataFrame:
+    """The three joins with equal calculations of a document merged and counted beforehand.
 
-    Copies appear only in the last step, where each row repeats in its own task.
+    A document's calculations become one lookup row of three short lists: texts of whole years and months, and
+    combinations of flags. The lookup spreads hot documents, and rows without a document, over many tasks.
     """
-    service, ages, alerts = list(computed)[:1], list(computed)[1:5], list(computed)[5:]
+    parts = (list(computed)[:1], list(computed)[1:5], list(computed)[5:])
     known = employees.filter(col(KEY).isNotNull()).withColumns(computed)
-    result, times = employees, []
-    for i, names in enumerate((service, ages, alerts)):
-        side = known.groupBy(col(KEY), *[col(n) for n in names]).agg(F.count(F.lit(1)).alias(f"_times{i}"))
-        result = result.join(side, KEY, "left")
-        times.append(F.coalesce(F.col(f"_times{i}"), F.lit(1).cast("bigint")))
-    columns = [col(c) for c in [*employees.columns, *computed]]
-    if counted:
-        return result.select(*columns, (times[0] * times[1] * times[2]).alias("repeticiones"))
-    for repeat in times:
-        result = result.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), repeat)))
-    return result.select(*columns)
+    lookup = None
+    for i, names in enumerate(parts):
+        side = known.groupBy(col(KEY), *[col(n) for n in names]).agg(F.count(F.lit(1)).alias("_times"))
+        lists = side.groupBy(col(KEY)).agg(F.collect_list(F.struct(*[col(n) for n in names], "_times")).alias(f"_side{i}"))
+        lookup = lists if lookup is None else lookup.join(lists, KEY)
+    result = lookup_join(employees, lookup, [KEY], check_size=False)
+    times = F.lit(1).cast("bigint")
+    for i in range(len(parts)):
+        result = result.withColumn(f"_p{i}", F.explode_outer(f"_side{i}"))
+        times = times * F.coalesce(F.col(f"_p{i}._times"), F.lit(1).cast("bigint"))
+    picked = [F.col(f"_p{i}").getField(n).alias(n) for i, names in enumerate(parts) for n in names]
+    return result.select(*[col(c) for c in employees.columns], *picked, times.alias("repeticiones"))
 
 
 def run(
