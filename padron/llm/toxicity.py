@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import narrowed, stored, texts
+from padron.llm.common import texts
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -29,6 +29,8 @@ PREFIXES = (4, 5)
 PRIOR_TEXTS = 100.0
 MIN_Z = 3.0
 MIN_TOXIC = 3
+#: The most labelled rows a model is fitted on: with 16 bytes each, the bound on what their join broadcasts.
+LABELLED = 200_000
 #: The most entries a lexicon has, those of the highest z: the bound on what is sent to every executor.
 LEXICON = 20_000
 #: What a word outside the lexicon takes from the running score.
@@ -95,16 +97,17 @@ def segments(places: list[int], values: list[float], drift: float = DRIFT) -> li
     return [(int(a), int(b), high - low) for a, b, low, high in kept]
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, lexicon: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, lexicon: int = LEXICON) -> Model:
     """The model from the labelled rows given; ``labels`` has doc_id and toxic (0/1, anything else is unlabelled).
 
-    Token counts and the table cover all labelled rows. Without toxic or without clean rows every probability is
+    At most ``labelled`` labelled rows are used, chosen by a hash of the id, so that their ids fit in every task; token
+    counts and the table cover all of those. Without toxic or without clean rows every probability is
     the share of toxic rows (0 if there are no labels).
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = narrowed(docs.select("doc_id", "text"), known, "doc_id").join(known, "doc_id").select("text", "toxic")
-    rows = stored(rows, "toxicity-labelled")
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
     counts = (
         rows.mapInArrow(_token_counts, "token string, toxic bigint, clean bigint, clean_words bigint")
         .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "clean_words")])
