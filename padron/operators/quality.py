@@ -77,6 +77,19 @@ def check_sources(grid: DataFrame, contract: SourceContract) -> DataFrame:
     return report
 
 
+def preflight(grid: DataFrame, *contracts: SourceContract | None) -> None:
+    """Stops a job before it writes anything: no source files, or any breach of its contracts, all at once."""
+    given = [c for c in contracts if c is not None]
+    if not given:
+        return
+    if grid.isEmpty():
+        raise QualityError("no source files given")
+    report = check_sources(grid, given[0]).withColumn("contract", F.lit(given[0].id))
+    for c in given[1:]:
+        report = report.unionByName(check_sources(grid, c).withColumn("contract", F.lit(c.id)))
+    raise_if_any(report.distinct(), "sources do not meet their contract")
+
+
 def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContract]) -> DataFrame:
     """Sheets under contract with their header row (null when the sheet is too short) and its rules."""
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from padron.functions import cells
 from padron.operators.joins import lookup_join
-from padron.session import col
+from padron.session import col, shared_folder
 from padron.sources.specs import FilterSpec
 
 SHEET = ("file", "sheet")
@@ -71,6 +71,24 @@ def stop_after_blank_run(
     return keep_before(df.filter(has_key), blank_run_cuts(df, has_key, limit, keys, order), keys, order)
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Rows with their place in a total order, counted from 1.
+
+    Rows are dealt by ranges of the order and numbered inside each; the ranges' sizes, one row each, give the
+    offsets. Between the two steps the rows are stored, so that both see the same ranges.
+    """
+    spark = df.sparkSession
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    path = shared_folder(spark, "numbered")
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path).withColumn("_range", F.shiftright("_at", 33))
+    sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.join(F.broadcast(offsets), "_range").withColumn(name, inside + F.col("_before") + 1).drop("_range", "_at", "_before")
+
+
 def drop_blank_key(df: DataFrame, key: Column) -> DataFrame:
     return df.filter(cells.has_text(key))
 
@@ -84,8 +102,9 @@ def drop_null_key(df: DataFrame, *names: str) -> DataFrame:
 def drop_empty_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """Drops rows in which every column (but the ignored ones) is null.
 
-    The outcome is carried in a column the optimizer does not move. As a plain predicate over many renamed
-    columns it would make the optimizer's inference of further predicates grow exponentially.
+    The outcome is carried in a column the optimizer does not move. As a predicate over many renamed columns, be it
+    a coalesce or a test of an array, it would make the optimizer's inference of further predicates grow
+    exponentially (measured: planning the income flow then takes minutes).
     """
     values = [col(c).cast("string") for c in df.columns if c not in ignore]
     filled = F.when(F.coalesce(*values).isNotNull(), F.spark_partition_id())

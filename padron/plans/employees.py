@@ -13,6 +13,7 @@ from padron.plans.tables import EMPLOYEES, INTERN_MODALITY
 from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 
 HEADER = grids.HeaderRule(row=10)
 KEY, HIRED, ENDED, BORN, MODALITY = (
@@ -115,9 +116,15 @@ def _counted_flags(employees: DataFrame, computed: dict[str, Column]) -> DataFra
 
 
 def run(
-    grid: DataFrame, base: str, sheet: str | None = None, as_of: str | None = None, mode: str = "auto"
+    grid: DataFrame,
+    base: str,
+    sheet: str | None = None,
+    as_of: str | None = None,
+    mode: str = "auto",
+    contract: SourceContract | None = None,
 ) -> dict[str, object]:
-    """Silver, both gold tables and the flags table, each stored; returns their paths."""
+    """Checked sources, silver, both gold tables, the flags table and its summary, each stored; returns their paths."""
+    quality.preflight(grid, contract)
     silver = sinks.write_current(clean(grid, sheet), f"{base}/silver/bd_silver")
     employees, interns, _ = gold(silver)
     stamp = sinks.run_stamp()
@@ -128,6 +135,9 @@ def run(
         stored = grid.sparkSession.read.parquet(paths["bd_empleados_gold"]["actual"])
         flagged = flags(stored, as_of, mode)
         paths["flags"] = sinks.write_versioned(flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp)
+        done = grid.sparkSession.read.parquet(paths["flags"]["actual"])
+        paths["reportes"] = sinks.write_reports({"resumen": summary(done)}, base, "empleados")
+        sinks.missing_outputs(grid.sparkSession, {**paths["flags"], **paths["reportes"]})
     return paths
 
 

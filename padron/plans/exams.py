@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions import calendar, cells
-from padron.operators import catalog, rows, shape
+from padron.operators import catalog, quality, rows, shape
 from padron.operators.aggregates import shares
 from padron.operators.joins import BROADCAST_ROWS
 from padron.plans.tables import COST_CENTRES, EXAM_DATES, EXAMS
 from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 
 SHEET = "DATA"
 HEADER = grids.HeaderRule(row=3)
 CODE = "NOMBRE DE CC"
+# The order of the enriched table: by name, then by what tells people of one name apart.
+ORDER = ("NOMBRE", "DNI", "FECHA DE CESE", "codigo_cc_original")
 # Catalogue columns and the names they take in the enriched table.
 CATALOGUE_NAMES = {
     "CC": "codigo_cc",
@@ -78,18 +81,37 @@ def enrich(exams: DataFrame, catalogue: DataFrame, max_rows: int = BROADCAST_ROW
     return joined.withColumnRenamed(CODE, "codigo_cc_original")
 
 
+def order_of(enriched: DataFrame) -> list[Column]:
+    return [col(c).asc_nulls_last() for c in ORDER if c in enriched.columns]
+
+
 def status_summary(enriched: DataFrame) -> DataFrame:
     return shares(enriched, "status_match")
 
 
-def run(grid: DataFrame, current: DataFrame, older: DataFrame, base: str) -> dict[str, object]:
+def run(
+    grid: DataFrame,
+    current: DataFrame,
+    older: DataFrame,
+    base: str,
+    contract: SourceContract | None = None,
+    order: tuple[str, ...] = (),
+) -> dict[str, object]:
+    """Checked sources, silver, gold, enriched gold with its status summary; every output is looked up at the end."""
+    quality.preflight(grid, contract)
     stamp = sinks.run_stamp()
     silver = sinks.write_current(clean(grid), f"{base}/silver/examenes_retiro_silver")
     typed, _ = gold(silver)
     paths: dict[str, object] = {"silver": f"{base}/silver/examenes_retiro_silver"}
     paths["gold"] = sinks.write_versioned(typed, f"{base}/gold", "examenes_retiro_gold", stamp)
-    stored = grid.sparkSession.read.parquet(paths["gold"]["actual"])
+    spark = grid.sparkSession
+    stored = spark.read.parquet(paths["gold"]["actual"])
     sinks.write_review(stored, f"{base}/gold/revision/examenes_retiro_gold")
-    enriched = enrich(stored, unified_catalogue(current, older)).orderBy(F.col("NOMBRE").asc_nulls_last())
-    paths["enriched"] = sinks.write_versioned(enriched, f"{base}/gold", "examenes_retiro_gold_enriquecido", stamp)
+    enriched = enrich(stored, unified_catalogue(current, older, order))
+    paths["enriched"] = sinks.write_versioned(
+        enriched.orderBy(*order_of(enriched)), f"{base}/gold", "examenes_retiro_gold_enriquecido", stamp
+    )
+    done = spark.read.parquet(paths["enriched"]["actual"])
+    paths["reportes"] = sinks.write_reports({"estado": status_summary(done)}, base, "examenes")
+    sinks.missing_outputs(spark, {"silver": paths["silver"], **paths["gold"], **paths["reportes"]})
     return paths

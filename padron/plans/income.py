@@ -12,6 +12,7 @@ from padron.plans.tables import INCOME_EMPLOYEES, INCOME_INTERNS
 from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 
 HEADERS = {
     "EMPLEADOS": grids.HeaderRule(row=2, start_col=2),
@@ -67,13 +68,20 @@ def reports(before: DataFrame, after: DataFrame, gold: DataFrame) -> dict[str, D
     return out
 
 
-def run(grid: DataFrame, base: str) -> dict[str, object]:
+def run(grid: DataFrame, base: str, contract: SourceContract | None = None) -> dict[str, object]:
+    """Checked sources; per sheet silver, gold, and the reports on both."""
+    quality.preflight(grid, contract)
     paths: dict[str, object] = {}
     stamp = sinks.run_stamp()
     for sheet, to_gold in (("EMPLEADOS", employees_gold), ("PRACTICANTES", interns_gold)):
         path = f"{base}/silver/relacion_ingresos_{sheet.lower()}"
-        silver = sinks.write_current(clean(read_sheet(grid, sheet)), path)
+        raw = read_sheet(grid, sheet)
+        silver = sinks.write_current(clean(raw), path)
         paths[f"silver_{sheet.lower()}"] = path
         name = f"relacion_ingresos_{sheet.lower()}_gold"
         paths[name] = sinks.write_versioned(to_gold(silver), f"{base}/gold", name, stamp)
+        gold = grid.sparkSession.read.parquet(paths[name]["actual"])
+        flow = f"ingresos_{sheet.lower()}"
+        paths[f"reportes_{sheet.lower()}"] = sinks.write_reports(reports(raw, silver, gold), base, flow)
+        sinks.missing_outputs(grid.sparkSession, {"silver": path, **paths[name], **paths[f"reportes_{sheet.lower()}"]})
     return paths

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions import calendar, cells
@@ -12,6 +12,7 @@ from padron.plans.tables import INTERNSHIPS
 from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 
 SHEET = "Practicantes"
 HEADER = grids.HeaderRule(row=4, stop="skip_blank", one_line=True)
@@ -57,7 +58,13 @@ def tenure(silver: DataFrame) -> DataFrame:
 
 
 def gold(silver: DataFrame) -> DataFrame:
-    return tenure(silver).orderBy(F.col("Fecha_Ingreso").desc_nulls_last())
+    done = tenure(silver)
+    return done.orderBy(*order_of(done))
+
+
+def order_of(gold_table: DataFrame) -> list[Column]:
+    """Latest start first; documents tell people of one day, or of an unknown one, apart."""
+    return [F.col("Fecha_Ingreso").desc_nulls_last(), F.col("DNI").asc_nulls_last()]
 
 
 def flag_counts(gold_table: DataFrame) -> DataFrame:
@@ -69,8 +76,14 @@ def findings(silver: DataFrame) -> list[str]:
     return quality.schema_findings(silver, INTERNSHIPS)
 
 
-def run(grid: DataFrame, base: str) -> dict[str, str]:
+def run(grid: DataFrame, base: str, contract: SourceContract | None = None) -> dict[str, str]:
+    """Checked sources, silver with its schema remarks, gold with its flag counts."""
+    quality.preflight(grid, contract)
     silver = sinks.write_current(clean(grid), f"{base}/silver/control_practicantes_silver")
     path = f"{base}/gold/actual/control_practicantes_gold"
-    sinks.write_current(gold(silver), path)
-    return {"silver": f"{base}/silver/control_practicantes_silver", "gold": path}
+    stored = sinks.write_current(gold(silver), path)
+    remarks = grid.sparkSession.createDataFrame([(f,) for f in findings(silver)], "observacion string")
+    reports = sinks.write_reports({"indicadores": flag_counts(stored), "esquema": remarks}, base, "practicantes")
+    paths = {"silver": f"{base}/silver/control_practicantes_silver", "gold": path, **reports}
+    sinks.missing_outputs(grid.sparkSession, paths)
+    return paths

@@ -10,9 +10,10 @@ from padron.operators import quality, rows, shape
 from padron.operators.aggregates import condition_profile, ordered_text
 from padron.operators.joins import lookup_join
 from padron.plans.tables import LEAVE_OUTPUTS, LEAVE_SHEETS, LEAVES
-from padron.session import col, shared_folder
+from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 
 HEADER = grids.HeaderRule(row=2, stop="skip_blank")
 DOCUMENT, PERIOD, REASON, KIND = "DNI/CEX", "PERIODO", "MOTIVO", "TIPO_LICENCIA"
@@ -65,12 +66,27 @@ def coverage(enriched: DataFrame) -> DataFrame:
     return condition_profile(enriched, {name: F.col(name).isNotNull() for name in LEAVE_OUTPUTS.values()})
 
 
-def run(grid: DataFrame, payroll: DataFrame, base: str) -> dict[str, str]:
-    """The sheets are read once into a staging table; it is checked there and published only when it passes."""
-    spark = grid.sparkSession
-    staged = sinks.write_current(consolidate(grid, check="report"), shared_folder(spark, "leaves-staging"))
-    quality.raise_if_any(findings(staged), FAILED)
-    leaves = sinks.write_current(staged, f"{base}/silver/licencias_consolidadas")
+def run(
+    grid: DataFrame, payroll: DataFrame, base: str, contract: SourceContract | None = None, payroll_unique: bool = False
+) -> dict[str, str]:
+    """Checked sources; the sheets are read once into a table beside the published one.
+
+    All rules look at that table. If it passes, it takes the published name without being written again; if not,
+    its findings stay as a report and the published table as it was. ``payroll_unique`` is the outcome of payroll's
+    own key rule.
+    """
+    quality.preflight(grid, contract)
+    spark, silver = grid.sparkSession, f"{base}/silver/licencias_consolidadas"
+    beside = sinks.beside_path(silver)
+    staged = sinks.write_current(consolidate(grid, check="report"), beside)
+    sinks.write_reports({"hallazgos": findings(staged)}, base, "licencias")
+    report = spark.read.parquet(f"{base}/reportes/licencias/hallazgos")
+    quality.raise_if_any(report, FAILED)
+    sinks.publish(spark, beside, silver)
+    leaves = spark.read.schema(staged.schema).parquet(silver)
     path = f"{base}/gold/actual/nomina_licencias_gold"
-    sinks.write_current(enrich(payroll, leaves), path, partition_by=[PERIOD])
-    return {"silver": f"{base}/silver/licencias_consolidadas", "gold": path}
+    gold = sinks.write_current(enrich(payroll, leaves, payroll_unique), path, partition_by=[PERIOD])
+    paths = {"silver": silver, "gold": path, "hallazgos": f"{base}/reportes/licencias/hallazgos"}
+    paths |= sinks.write_reports({"cobertura": coverage(gold)}, base, "licencias")
+    sinks.missing_outputs(spark, paths)
+    return paths

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from padron.functions import calendar, cells
 from padron.operators import quality, rows, shape
@@ -10,8 +11,8 @@ from padron.plans.tables import MINING_PAYROLL, PAYROLL
 from padron.session import col
 from padron.sources import grid as grids
 from padron.sources import sinks
+from padron.sources.contracts import SourceContract
 from padron.sources.specs import TableSpec
-from pyspark.sql import functions as F
 
 SHEET = "Planilla"
 HEADER = grids.HeaderRule(row=6, stop="gap")
@@ -70,10 +71,28 @@ def findings(gold_table: DataFrame, extras: bool = False) -> DataFrame:
     return quality.constraint_findings(gold_table, PAYROLL, extras=extras)
 
 
-def run(grid: DataFrame, base: str, mining: bool = False, own_outputs: tuple[str, ...] = ()) -> dict[str, str]:
+def run(
+    grid: DataFrame,
+    base: str,
+    mining: bool = False,
+    own_outputs: tuple[str, ...] = (),
+    contract: SourceContract | None = None,
+) -> dict[str, str]:
+    """Checked sources, silver with its rejected files, gold with its constraint report and casting notes."""
+    quality.preflight(grids.usable_files(grid, own_outputs), contract)
     name = "nomina_regimen_minero" if mining else "nomina"
-    silver, _ = consolidate(grid, own_outputs)
+    silver, rejected = consolidate(grid, own_outputs)
     stored = sinks.write_current(silver, f"{base}/silver/{name}_silver", CODEC, ["PERIODO"])
-    typed, _ = mining_gold(stored) if mining else gold(stored)
-    sinks.write_current(typed, f"{base}/gold/actual/{name}_gold", partition_by=["PERIODO"])
-    return {"silver": f"{base}/silver/{name}_silver", "gold": f"{base}/gold/actual/{name}_gold"}
+    typed, notes = mining_gold(stored) if mining else gold(stored)
+    done = sinks.write_current(typed, f"{base}/gold/actual/{name}_gold", partition_by=["PERIODO"])
+    spec = MINING_PAYROLL if mining else PAYROLL
+    noted = [(kind, column) for kind, columns in notes.items() for column in columns]
+    reports = {
+        "rechazados": rejected,
+        "hallazgos": quality.constraint_findings(done, spec),
+        "notas": grid.sparkSession.createDataFrame(noted, "nota string, columna string"),
+    }
+    paths = {"silver": f"{base}/silver/{name}_silver", "gold": f"{base}/gold/actual/{name}_gold"}
+    paths |= sinks.write_reports(reports, base, name)
+    sinks.missing_outputs(grid.sparkSession, paths)
+    return paths

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron.functions.calendar import MONTHS
+from padron.operators import quality
+from padron.operators.aggregates import null_profile
+from padron.operators.rows import numbered
 from padron.operators.shape import select_required
 from padron.plans import cost_centres, employees, exams, income, internships, leaves, payroll
+from padron.plans.tables import INTERNSHIPS
 from padron.registry import frames
 from padron.registry import sheet_frames as sheets
 from padron.registry.common import Registry
 from padron.registry.sheet_frames import cte
 from padron.session import col, shared_folder
 from padron.sources import sinks
+from padron.sources.contracts import SheetContract, SourceContract
 from padron.sources.sinks import review_frame
 
 query = Registry()
@@ -164,6 +171,63 @@ def internship_silver(spark: SparkSession, folder: str) -> DataFrame:
     return review_frame(internships.clean(sheets.control_sheets(spark, folder)))
 
 
+@query(
+    """SELECT 'missing column' AS motivo, 'APELLIDOS Y NOMBRES' AS columna, COUNT(*) AS filas FROM orders
+UNION ALL SELECT 'unexpected column', 'EXTRA', COUNT(*) FROM orders
+UNION ALL SELECT 'nulls', 'UNIVERSIDAD', COUNT(*) FROM orders WHERE o_orderkey % 3 = 0"""
+)
+def schema_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Schema remarks on a stored table: a declared column that is absent, an undeclared one, and one with nulls."""
+    silver = frames.table(spark, folder, "orders").select(
+        *[F.lit("x").alias(c) for c in INTERNSHIPS.columns if c not in ("APELLIDOS Y NOMBRES", "UNIVERSIDAD")],
+        F.when(F.col("o_orderkey") % 3 != 0, F.lit("U")).alias("UNIVERSIDAD"),
+        F.lit("x").alias("EXTRA"),
+    )
+    lacking = [c for c in INTERNSHIPS.columns if c not in silver.columns]
+    surplus = [c for c in silver.columns if c not in INTERNSHIPS.columns]
+    count = F.count(F.lit(1)).alias("filas")
+    parts = [
+        silver.agg(count).select(F.lit(reason).alias("motivo"), F.lit(c).alias("columna"), "filas")
+        for reason, names in (("missing column", lacking), ("unexpected column", surplus)) for c in names
+    ]
+    nulls = null_profile(silver).filter("nulos > 0").select(F.lit("nulls").alias("motivo"), "columna", F.col("nulos").alias("filas"))
+    return reduce(DataFrame.unionByName, parts).unionByName(nulls)
+
+
+@query(
+    cte("control_rows")
+    + """SELECT 'control' AS contract, 'control_' || file || '.xlsx' AS file, 'Practicantes' AS sheet, 'missing_columns' AS rule,
+  'NO ESTA' AS detail FROM (SELECT DISTINCT file FROM control_rows)
+UNION ALL SELECT 'control', 'control_' || file || '.xlsx', 'Resumen', 'missing_sheet', 'Resumen'
+FROM (SELECT DISTINCT file FROM control_rows)"""
+)
+def preflight_report(spark: SparkSession, folder: str) -> DataFrame:
+    """All breaches of many files at once, as the job's error lists them before anything is written."""
+    contract = SourceContract(
+        "control",
+        "Control",
+        (SheetContract("Practicantes", 4, 2, ("DNI", "NO ESTA")),),
+        required_sheets=("Practicantes", "Resumen"),
+    )
+    grid = sheets.control_sheets(spark, folder)
+    try:
+        quality.preflight(grid, contract)
+    except quality.QualityError as stopped:
+        assert "missing_sheet" in str(stopped) and "missing_columns" in str(stopped)
+    return quality.check_sources(grid, contract).withColumn("contract", F.lit(contract.id))
+
+
+@query(
+    frames.cte("interns", "interns_days", "interns_parts", "interns_flags", "interns_phrase")
+    + """SELECT DNI, "FECHA ING" AS "Fecha_Ingreso", CAST(row_number() OVER (ORDER BY "FECHA ING" DESC NULLS LAST, DNI NULLS LAST) AS BIGINT)
+  AS puesto FROM interns_phrase"""
+)
+def internship_sorted_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each row in the order in which the gold table is stored; the date is a date."""
+    gold = internships.tenure(frames.interns(spark, folder))
+    return numbered(gold, internships.order_of(gold), "puesto").select("DNI", "Fecha_Ingreso", "puesto")
+
+
 # ---- exams -------------------------------------------------------------------------------------
 
 
@@ -197,6 +261,93 @@ def exam_flow_outputs(spark: SparkSession, folder: str) -> DataFrame:
     return select_required(copies[0].unionByName(copies[1]), wanted)
 
 
+@query(
+    frames.cte("cc_old", "cc_new", "cc_unified", "exam_silver", "exam", "exam_enriched")
+    + """SELECT NOMBRE, DNI, CAST("FECHA DE CESE" AS DATE) AS "FECHA DE CESE", CAST(row_number() OVER (
+  ORDER BY NOMBRE NULLS LAST, DNI NULLS LAST, "FECHA DE CESE" NULLS LAST, codigo_cc_original NULLS LAST) AS BIGINT) AS puesto
+FROM exam_enriched"""
+)
+def exam_sorted_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each row in the order in which the enriched table is stored; the date is a date."""
+    typed, _ = exams.gold(frames.exam_silver(spark, folder))
+    current, older = frames.cc_new(spark, folder), frames.cc_old(spark, folder)
+    enriched = exams.enrich(typed, exams.unified_catalogue(current, older, ("orden",)))
+    return numbered(enriched, exams.order_of(enriched), "puesto").select("NOMBRE", "DNI", col("FECHA DE CESE"), "puesto")
+
+
+_EXAM_RUN = cte("exam_rows") + """, kept AS (SELECT * FROM exam_rows WHERE file <> '1995-03'
+  OR o_orderkey < coalesce((SELECT MIN(o_orderkey) FROM exam_rows WHERE nombre IS NULL), 9223372036854775807)),
+enriched_run AS (SELECT * FROM kept)"""
+
+
+@query(
+    _EXAM_RUN
+    + """SELECT tabla, filas FROM (SELECT 'silver' AS tabla, COUNT(*) AS filas FROM kept
+UNION ALL SELECT 'historico', (SELECT COUNT(*) FROM enriched_run) UNION ALL SELECT 'actual', (SELECT COUNT(*) FROM enriched_run)
+UNION ALL SELECT 'estado', (SELECT COUNT(*) FROM enriched_run))"""
+)
+def exam_run_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of what a whole run stores; the summary's counts add up to the enriched table."""
+    grid, base = sheets.exam_sheets(spark, folder), shared_folder(spark, "exam-run")
+    paths = exams.run(grid, frames.cc_new(spark, folder), frames.cc_old(spark, folder), base, order=("orden",))
+    read, count = spark.read.parquet, F.count(F.lit(1)).alias("filas")
+    parts = [
+        read(paths["silver"]).agg(count).select(F.lit("silver").alias("tabla"), "filas"),
+        *[read(paths["enriched"][c]).agg(count).select(F.lit(c).alias("tabla"), "filas") for c in ("historico", "actual")],
+        read(paths["reportes"]["estado"]).agg(F.sum("cantidad").alias("filas")).select(F.lit("estado").alias("tabla"), "filas"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    _PAYROLL
+    + """SELECT 'rechazados' AS reporte, file AS clave, CASE WHEN regexp_matches(file, '\\d{4}-\\d{2}') THEN 'sin hoja Planilla'
+  ELSE 'sin periodo' END AS detalle, 1::BIGINT AS cantidad
+FROM (SELECT DISTINCT file, sheet FROM payroll_rows WHERE NOT starts_with(file, '~$') AND NOT starts_with(file, 'Consolidado'))
+WHERE NOT regexp_matches(file, '\\d{4}-\\d{2}') OR sheet <> 'Planilla'
+UNION ALL SELECT 'notas', 'HORAS EXTRAS 25%', 'kept_as_text', 1
+UNION ALL SELECT 'gold', 'filas', '', COUNT(*) FROM payroll_silver
+UNION ALL SELECT 'hallazgos', 'NOMBRES', 'nulo', COUNT(*) FROM payroll_silver WHERE NOMBRES IS NULL"""
+)
+def payroll_run_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole payroll run read back: rejected files, casting notes, constraint report and rows of gold."""
+    paths = payroll.run(sheets.payroll_sheets(spark, folder), shared_folder(spark, "payroll-run"), own_outputs=OWN_OUTPUTS)
+    read, one = spark.read.parquet, F.lit(1).cast("bigint")
+
+    def rows(df: DataFrame, report: str, key, detail, count=one) -> DataFrame:
+        return df.select(F.lit(report).alias("reporte"), key.alias("clave"), detail.alias("detalle"), count.alias("cantidad"))
+
+    found = read(paths["hallazgos"]).filter("columna = 'NOMBRES' AND regla = 'nulo'")
+    total = read(paths["gold"]).agg(F.count(F.lit(1)).alias("n"))
+    notes = read(paths["notas"]).filter("nota = 'kept_as_text'")
+    parts = [
+        rows(read(paths["rechazados"]), "rechazados", F.col("file"), F.col("motivo")),
+        rows(notes, "notas", F.col("columna"), F.col("nota")),
+        rows(found, "hallazgos", F.col("columna"), F.col("regla"), F.col("cantidad")),
+        rows(total, "gold", F.lit("filas"), F.lit(""), F.col("n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    _INCOME
+    + """SELECT 'filas_salida' AS medida, COUNT(*) AS valor FROM income_employees
+UNION ALL SELECT 'periodos', COUNT(DISTINCT PERIODO) FROM income_employees WHERE PERIODO IS NOT NULL
+UNION ALL SELECT 'universidades', COUNT(*) FROM customer"""
+)
+def income_run_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole income run read back: rows after cleaning, periods, and interns by university."""
+    paths = income.run(sheets.income_sheets(spark, folder), shared_folder(spark, "income-run"))
+    read = spark.read.parquet
+    staff, students = paths["reportes_empleados"], paths["reportes_practicantes"]
+    parts = [
+        read(staff["etapa"]).filter("medida = 'filas_salida'").select("medida", "valor"),
+        read(staff["periodos"]).filter("PERIODO IS NOT NULL").agg(F.count(F.lit(1)).alias("valor")).select(F.lit("periodos").alias("medida"), "valor"),
+        read(students["universidades"]).agg(F.sum("cantidad").alias("valor")).select(F.lit("universidades").alias("medida"), "valor"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     frames.cte("cc_old")
     + """SELECT CC, "NOMBRE CC", copia FROM (

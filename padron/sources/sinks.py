@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
@@ -22,15 +23,67 @@ def run_stamp() -> str:
 def write_current(
     df: DataFrame, path: str, compression: str = CODEC, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Overwrites one Parquet table and returns it as stored.
+    """Replaces one Parquet table and returns it as stored; until the new one is complete, the old one stays.
 
     A partitioned table is rebalanced by its partition columns first: few files per partition, and a
     partition that holds much of the data is split over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *[col(c) for c in partition_by])
-    df.write.mode("overwrite").option("compression", compression).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(_stored_schema(df, partition_by)).parquet(path)
+    spark, beside = df.sparkSession, beside_path(path)
+    df.write.option("compression", compression).partitionBy(*partition_by).parquet(beside)
+    publish(spark, beside, path)
+    return spark.read.schema(_stored_schema(df, partition_by)).parquet(path)
+
+
+def beside_path(path: str) -> str:
+    """A fresh name in the folder of ``path``, for a table that is published there later."""
+    return f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Puts a complete table under its stable name by renaming; its predecessor goes only once the new one is there.
+
+    A run that fails before leaves the predecessor as it was. If the renaming itself fails, the predecessor is
+    put back.
+    """
+    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    had = _rename(spark, path, old)
+    try:
+        if not _rename(spark, written, path):
+            raise FileNotFoundError(f"nothing to publish at {written}")
+    except Exception:
+        if had:
+            _rename(spark, old, path)
+        raise
+    if had:
+        _file_system(spark, old).delete(_hadoop_path(spark, old), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> bool:
+    """Whether ``old`` was there and now is ``new``."""
+    files = _file_system(spark, old)
+    if not files.exists(_hadoop_path(spark, old)):
+        return False
+    if not files.rename(_hadoop_path(spark, old), _hadoop_path(spark, new)):
+        raise OSError(f"cannot rename {old} to {new}")
+    return True
+
+
+def write_reports(reports: Mapping[str, DataFrame], base: str, flow: str) -> dict[str, str]:
+    """Each report as a table under ``reportes/<flow>``; returns the paths by name."""
+    paths = {name: f"{base}/reportes/{flow}/{name}" for name in reports}
+    for name, df in reports.items():
+        write_current(df, paths[name])
+    return paths
 
 
 def _stored_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
@@ -49,8 +102,9 @@ def write_versioned(
 ) -> dict[str, str]:
     """``historico/<name>/run_ts=…`` for this run, and the same rows under ``actual/<name>``.
 
-    The plan runs once: the dated copy is written first and the stable copy is made from it, so both agree
-    and a failed run leaves the previous stable copy in place.
+    The plan runs once: the dated copy is written first and the stable copy is made from it, so both agree.
+    The stable copy is written beside the previous one and takes its name when complete, so a failed run leaves
+    the previous one in place.
     """
     dated = f"{base}/historico/{name}/run_ts={run_ts or run_stamp()}"
     stable = f"{base}/actual/{name}"
