@@ -7,9 +7,10 @@
 4. Survivors are verified on their full sets.
 
 A bucket's members are compared with its smallest node first. Members that the links found so far have joined need
-no comparison among themselves, since only components are asked for; where a bucket still holds several components,
-its next 7, 56, ... members are compared with all members of the other components, until every pair of the bucket
-across components has been. So no link between components is lost, and a group of copies costs a pair a member.
+no comparison among themselves, since only components are asked for. Where a bucket still holds several components,
+8, 64, ... of its members, those of the largest components first, are compared with all members of other components,
+until every pair of the bucket across components has been. So no link between components is lost, and a group of
+copies costs a few pairs a member.
 """
 
 from __future__ import annotations
@@ -142,25 +143,41 @@ def _links(texts: DataFrame, nodes: DataFrame, bands: DataFrame, width: int, per
     )
     shared = stored(bands.join(buckets, "band"), "near-shared")
     pairs = shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    edges = stored(_verified(pairs.distinct(), texts, nodes, width, percent), "near-edges")
-    groups = stored(components(edges, "near-components"), "near-groups")
-    compared = 1
+    likely = _likely_pairs(pairs.distinct(), nodes, percent)
+    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
+    groups = _groups(_verified(likely, _sets_of(texts, wanted, width), percent))
+    open_, sets, compared = shared.select("band", "node", "members"), None, 1
     while True:
-        named = shared.filter(F.col("members") > compared).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        # Groups only grow, so a bucket that lies in one group needs no look again.
+        named = (
+            open_.filter(F.col("members") > compared).join(groups, "node", "left")
+            .select("band", "node", "members", F.coalesce("component", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size"))
+        )
         several = named.groupBy("band").agg(F.min("group").alias("_l"), F.max("group").alias("_h")).filter("_l != _h").select("band")
-        open_ = stored(named.join(several, "band").select("band", "node", "group"), "near-open")
+        open_ = stored(named.join(several, "band"), "near-open")
         if open_.isEmpty():
-            return groups
-        order = Window.partitionBy("band").orderBy("node")
-        leads = open_.withColumn("_n", F.row_number().over(order)).filter((F.col("_n") <= compared * LEADERS) & (F.col("_n") > compared))
-        leads = leads.select("band", F.col("node").alias("a"), F.col("group").alias("_g"))
-        pairs = open_.join(leads, "band").filter("a < node and group != _g").select("a", F.col("node").alias("b"))
+            return groups.select("node", "component")
+        if sets is None:
+            sets = _sets_of(texts, stored(open_.select(F.col("node").alias("id")).distinct(), "near-wanted"), width)
         compared *= LEADERS
-        found = stored(_verified(pairs.distinct(), texts, nodes, width, percent), "near-edges")
+        # Members of the largest groups lead: each has only those to meet who have not found a group, or another one.
+        order = Window.partitionBy("band").orderBy(F.desc("size"), "node")
+        leads = open_.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= compared)
+        leads = leads.select("band", F.col("node").alias("_a"), F.col("group").alias("_g"))
+        met = open_.join(leads, "band").filter("group != _g")
+        pairs = met.select(F.least("_a", "node").alias("a"), F.greatest("_a", "node").alias("b")).distinct()
+        found = stored(_verified(_likely_pairs(pairs, nodes, percent), sets, percent), "near-edges")
+        open_ = open_.select("band", "node", "members")
         if not found.isEmpty():
             # What is known is carried on as one link per node.
-            edges = found.unionAll(groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-            groups = stored(components(edges, "near-components"), "near-groups")
+            groups = _groups(found.unionAll(groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
+def _groups(edges: DataFrame) -> DataFrame:
+    """``node, component, size`` of the nodes with a link."""
+    found = stored(components(edges, "near-components"), "near-groups")
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return stored(found.join(sizes, "component"), "near-sizes")
 
 
 def least_agreements(size: int, percent: int, miss: float = MISS) -> list[int]:
@@ -179,16 +196,22 @@ def least_agreements(size: int, percent: int, miss: float = MISS) -> list[int]:
     return out
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: judged by signature batches, the survivors by their full sets."""
+def _likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those whose signatures leave enough similarity possible."""
     of_a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     of_b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    likely = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: _likely(it, percent), "a bigint, b bigint")
-    likely = stored(likely, "near-likely")
-    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
-    sets = stored(
-        narrowed(texts, wanted, "id").join(wanted, "id", "left_semi").mapInArrow(lambda it: _full_sets(it, width), "id bigint, shingles binary"), "near-sets"
-    )
+    both = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb")
+    return stored(both.mapInArrow(lambda it: _likely(it, percent), "a bigint, b bigint"), "near-likely")
+
+
+def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``id, shingles`` of the wanted ids, from their whole texts."""
+    rows = narrowed(texts, wanted, "id").join(wanted, "id", "left_semi")
+    return stored(rows.mapInArrow(lambda it: _full_sets(it, width), "id bigint, shingles binary"), "near-sets")
+
+
+def _verified(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are similar enough on their full sets."""
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("fa")), "a")
     full = full.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("fb")), "b")
     return full.select("a", "b", "fa", "fb").mapInArrow(lambda it: _similar(it, percent), "a bigint, b bigint")
