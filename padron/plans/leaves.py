@@ -81,7 +81,11 @@ def run(
     staged = sinks.write_current(consolidate(grid, check="report"), beside)
     sinks.write_reports({"hallazgos": findings(staged)}, base, "licencias")
     report = spark.read.parquet(f"{base}/reportes/licencias/hallazgos")
-    quality.raise_if_any(report, FAILED)
+    try:
+        quality.raise_if_any(report, FAILED)
+    except quality.QualityError:
+        sinks.discard(spark, beside)
+        raise
     sinks.publish(spark, beside, silver)
     leaves = spark.read.schema(staged.schema).parquet(silver)
     path = f"{base}/gold/actual/nomina_licencias_gold"

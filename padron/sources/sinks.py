@@ -57,7 +57,12 @@ def publish(spark: SparkSession, written: str, path: str) -> None:
             _rename(spark, old, path)
         raise
     if had:
-        _file_system(spark, old).delete(_hadoop_path(spark, old), True)
+        discard(spark, old)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table that was written beside its place and is not needed."""
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -198,7 +198,8 @@ def test_leave_flow_publishes_nothing_when_checks_fail(spark, grid_of, tmp_path)
     pay, _ = payroll.gold(payroll.consolidate(_payroll(grid_of))[0])
     with pytest.raises(QualityError):
         leaves.run(_leaves(grid_of, NOMBRES=None), pay, str(tmp_path))
-    assert not (tmp_path / "silver").exists()
+    assert not [p for p in (tmp_path / "silver").iterdir() if not p.name.startswith(".")]
+    assert spark.read.parquet(str(tmp_path / "reportes" / "licencias" / "hallazgos")).count() > 0
 
 
 # ---- income, internships, exams ------------------------------------------------------------------

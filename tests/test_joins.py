@@ -51,3 +51,11 @@ def test_bounds_on_rows_and_bytes(spark):
     lists = spark.range(2).select(F.sequence(F.lit(1), F.lit(1000)).alias("a"))
     assert joins.bounded_copy(lists, 10, max_bytes=4000) is None
     assert joins.bounded_copy(lists, 10).collect() == lists.collect()
+
+
+def test_few_but_very_wide_rows_take_the_shuffle_path(spark):
+    wide = spark.createDataFrame([(str(i), "x" * 200_000) for i in range(20)], "k string, v string")
+    assert joins.bounded_copy(wide, max_bytes=1_000_000) is None
+    left = spark.createDataFrame([(str(i % 30), {"a": i}) for i in range(90)], "k string, m map<string,int>")
+    joined = joins.lookup_join(left, wide, ["k"], max_rows=0)
+    assert joined.filter("v IS NOT NULL").count() == 60

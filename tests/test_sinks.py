@@ -53,3 +53,38 @@ def test_shared_folder_is_the_cluster_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert a.startswith(base) and a != b
+
+
+def test_a_failed_write_keeps_the_previous_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_current(spark.range(3), path)
+    bad = spark.range(5).selectExpr("CASE WHEN id = 4 THEN raise_error('no') ELSE id END AS id")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_current(bad, path)
+    with pytest.raises(FileNotFoundError):
+        sinks.publish(spark, str(tmp_path / "absent"), path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.write_current(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    assert not list(tmp_path.glob("t.old-*"))
+
+
+def test_without_a_shared_folder_there_is_an_error():
+    from padron.session import SHARED, use_local_folder
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Context:
+        master = "spark://cluster:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match=SHARED):
+        shared_folder(use_local_folder(Session()), "x")
+    Session.sparkContext.master = "local[4]"
+    assert "padron-" in shared_folder(use_local_folder(Session()), "x")
+    Session.sparkContext.master, Session.conf = "local-cluster[3,2,1024]", Conf()
+    with pytest.raises(RuntimeError):
+        shared_folder(use_local_folder(Session()), "x")
