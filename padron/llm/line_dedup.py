@@ -34,6 +34,8 @@ def line_dedup(docs: DataFrame, *, divisor: int = DIVISOR, min_lines: int = MIN_
     found = found.select("doc_id", "c.start", "c.stop", "c.hash")
     place = F.struct("doc_id", "start")
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    # Stored, so that the join below deals out both sides itself and can split the rows of a chunk that very many share.
+    repeated = stored(repeated, "lines-repeated")
     marks = (
         found.join(repeated, "hash")
         .select("doc_id", F.struct("start", "stop", "hash", (place == F.col("first")).alias("first")).alias("mark"))
