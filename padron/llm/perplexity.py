@@ -324,7 +324,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE)
     trusted = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     rows = docs.select("doc_id", "lang", "text")
-    learned = trusted.filter(fold != 0)
+    # The same join at every size: ids of trusted rows grow with the corpus, so they are not broadcast while they are few.
+    learned = trusted.filter(fold != 0).hint("merge")
     model = train(stored(narrowed(rows, learned, "doc_id").join(learned, "doc_id", "left_semi").select("text"), "perplexity-trusted"))
     scored = stored(score(rows, model), "perplexity-scores")
     held = scored.join(trusted.filter(fold == 0), "doc_id", "left_semi").filter("perplexity is not null")
