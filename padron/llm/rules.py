@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import SPACE_BYTES, in_order, stored, text_bytes, texts
+from padron.llm.common import SPACE_BYTES, stored, texts
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
