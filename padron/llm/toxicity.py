@@ -28,6 +28,8 @@ PREFIXES = (4, 5)
 #: Weight of the prior, in texts.
 PRIOR_TEXTS = 100.0
 MIN_Z = 3.0
+#: With very many texts even a slight lean is significant; an entry must also be so much likelier in toxic ones (log-odds).
+MIN_GAP = 1.5
 MIN_TOXIC = 3
 #: The most labelled rows a model is fitted on: with 16 bytes each, the bound on what their join broadcasts.
 LABELLED = 200_000
@@ -126,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, lexicon
     z = gap / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     entries = (
         counts.filter(f"token is not null and toxic >= {MIN_TOXIC}")
-        .select("token", "clean", gap.alias("gap"), z.alias("z")).filter(f"z >= {MIN_Z}")
+        .select("token", "clean", gap.alias("gap"), z.alias("z")).filter(f"z >= {MIN_Z} and gap >= {MIN_GAP}")
         .orderBy(F.desc("z"), "token").limit(lexicon).collect()
     )
     model = Model({r["token"]: round(r["gap"], 6) for r in entries}, 1.0)
