@@ -47,12 +47,15 @@ def ordered_text(
 # ---- group counts ------------------------------------------------------------------------------
 
 
-def shares(df: DataFrame, by: str, count: str = "cantidad", share: str = "porcentaje") -> DataFrame:
-    """Rows per value with percent of all rows, most frequent first.
+def shares(
+    df: DataFrame, by: str, count: str = "cantidad", share: str = "porcentaje", weight: str | None = None
+) -> DataFrame:
+    """Rows per value with percent of all rows, most frequent first; ``weight`` says how many rows a row stands for.
 
     The total is a scalar over the grouped counts, so no window gathers the groups in one task.
     """
-    counts = df.groupBy(col(by)).agg(F.count(F.lit(1)).alias(count))
+    rows = F.sum(col(weight)) if weight else F.count(F.lit(1))
+    counts = df.groupBy(col(by)).agg(rows.alias(count))
     total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(share, percent(F.col(count), total)).orderBy(F.desc(count), col(by).asc_nulls_last())
 
@@ -73,11 +76,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "cantidad")
 
 
 def _rows_from(
-    df: DataFrame, measures: Mapping[str, Mapping[str, Column]], label: str, total: str | None = None
+    df: DataFrame,
+    measures: Mapping[str, Mapping[str, Column]],
+    label: str,
+    total: str | None = None,
+    rows: Column | None = None,
 ) -> DataFrame:
-    """Aggregates every measure of every entry in one pass and returns one row per entry."""
+    """Aggregates every measure of every entry in one pass and returns one row per entry; ``rows`` is the total."""
     aggregates = [m.alias(f"_{i}_{j}") for i, e in enumerate(measures.values()) for j, m in enumerate(e.values())]
-    aggregates += [F.count(F.lit(1)).alias("_total")]
+    aggregates += [(F.count(F.lit(1)) if rows is None else rows).alias("_total")]
     entries = [
         F.struct(
             F.lit(name).alias(label),
@@ -113,9 +120,15 @@ def range_profile(
     return _rows_from(df, measures, "columna")
 
 
-def condition_profile(df: DataFrame, conditions: Mapping[str, Column], label: str = "indicador") -> DataFrame:
-    """How many rows meet each condition, and their share of all rows."""
-    counted = _rows_from(df, {n: {"cantidad": F.count_if(c)} for n, c in conditions.items()}, label, "total")
+def condition_profile(
+    df: DataFrame, conditions: Mapping[str, Column], label: str = "indicador", weight: str | None = None
+) -> DataFrame:
+    """How many rows meet each condition, and their share of all rows; ``weight`` says how many rows a row stands for."""
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, col(weight))), F.lit(0).cast("bigint")) if weight else F.count_if(condition)
+
+    counted = _rows_from(df, {n: {"cantidad": rows(c)} for n, c in conditions.items()}, label, "total", rows(F.lit(True)))
     return counted.withColumn("porcentaje", percent(F.col("cantidad"), F.col("total")))
 
 

@@ -261,12 +261,15 @@ def raise_if_any(findings: DataFrame, title: str, condition: Column | None = Non
 # ---- summaries ---------------------------------------------------------------------------------
 
 
-def flag_summary(df: DataFrame, flags: Sequence[str], modality: str) -> DataFrame:
-    """Rows, share per flag and distribution by contract type in one table (grupo, valor, cantidad, porcentaje)."""
-    marked = condition_profile(df, {"total": F.lit(True), **{f: col(f) for f in flags}})
+def flag_summary(df: DataFrame, flags: Sequence[str], modality: str, weight: str | None = None) -> DataFrame:
+    """Rows, share per flag and distribution by contract type in one table (grupo, valor, cantidad, porcentaje).
+
+    ``weight`` names a column that says how many rows each row stands for.
+    """
+    marked = condition_profile(df, {"total": F.lit(True), **{f: col(f) for f in flags}}, weight=weight)
     group = F.when(F.col("indicador") == "total", F.lit("total")).otherwise(F.lit("flag"))
     per_flag = marked.select(group.alias("grupo"), F.col("indicador").alias("valor"), "cantidad", "porcentaje")
-    per_modality = shares(df, modality).select(
+    per_modality = shares(df, modality, weight=weight).select(
         F.lit("modalidad").alias("grupo"), col(modality).alias("valor"), "cantidad", "porcentaje"
     )
     return per_flag.unionByName(per_modality)

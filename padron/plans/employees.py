@@ -142,4 +142,6 @@ def run(
 
 
 def summary(flagged: DataFrame) -> DataFrame:
-    return quality.flag_summary(flagged, FLAGS, MODALITY)
+    """Counts and shares of the joined form; merged rows count as often as it repeats them."""
+    weight = "repeticiones" if "repeticiones" in flagged.columns else None
+    return quality.flag_summary(flagged, FLAGS, MODALITY, weight)

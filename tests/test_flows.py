@@ -87,6 +87,15 @@ def test_repeated_documents_fan_out_like_the_plain_joins(spark):
     assert unknown["tiempo_servicio_texto"] is None and unknown["cumple_65_esteaño"] is None
 
 
+def test_summary_of_repeated_documents_counts_the_joined_rows(spark):
+    columns = "`NUMERO DE DOC` string, `FECHA DE NAC.` date, `FECH_INGR.` date, `Fecha de Termino` date, `Modalidad de Contrato` string"
+    people = [("1", None, date(2015, 1, 1), None, "a"), ("1", date(1935, 1, 1), None, None, "b"), ("2", None, None, None, "c")]
+    out = employees.flags(spark.createDataFrame(people, columns), "2000-01-01")
+    told = {(r["grupo"], r["valor"]): (r["cantidad"], r["porcentaje"]) for r in employees.summary(out).collect()}
+    assert told["total", "total"] == (17, 100.0)
+    assert told["modalidad", "a"] == told["modalidad", "b"] == (8, 47.06) and told["modalidad", "c"] == (1, 5.88)
+
+
 def test_cost_centre_flow(spark, grid_of, tmp_path):
     silver = employees.clean(_master(grid_of))
     paths = cost_centres.run(silver, str(tmp_path))
