@@ -11,7 +11,7 @@ other bigrams are joined by shards of a hash: texts send theirs, packed per batc
 and the model its bonuses; a shard adds up the matches per text, and the sums of all shards meet per batch.
 
 Counts cover all trusted rows outside one fifth, which is held out to set the thresholds: the quantile of its
-perplexities in each language.
+perplexities in each language, shrunk towards that of all languages, the less the more texts a language has.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ LONGEST_TOKEN = 64
 SHARD = 500_000
 LEAST_SHARDS = 24
 QUANTILE = 0.99
-#: A language with fewer held-out trusted texts uses the threshold of all languages together.
+#: A language with so many held-out trusted texts has a threshold halfway between its own quantile and that of all.
 LEAST_TEXTS = 40
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -330,9 +330,10 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE)
     scored = stored(score(rows, model), "perplexity-scores")
     held = scored.join(trusted.filter(fold == 0), "doc_id", "left_semi").filter("perplexity is not null")
     cut = F.percentile_approx("perplexity", quantile, 10_000)
-    by_lang = held.groupBy("lang").agg(cut.alias("own"), F.count(F.lit(1)).alias("rows")).filter(F.col("rows") >= LEAST_TEXTS)
+    by_lang = held.groupBy("lang").agg(cut.alias("own"), (F.count(F.lit(1)) / (F.count(F.lit(1)) + LEAST_TEXTS)).alias("share"))
     overall = held.agg(cut.alias("all")).first()["all"]
-    joined = scored.join(by_lang.select(F.col("lang").alias("_l"), "own"), F.col("lang").eqNullSafe(F.col("_l")), "left")
-    threshold = F.coalesce("own", F.lit(overall).cast("double"))
+    joined = scored.join(by_lang.select(F.col("lang").alias("_l"), "own", "share"), F.col("lang").eqNullSafe(F.col("_l")), "left")
+    all_ = F.lit(overall).cast("double")
+    threshold = F.coalesce(all_ + F.col("share") * (F.col("own") - all_), all_)
     kept = F.coalesce(F.col("perplexity") <= F.coalesce(threshold, F.lit(math.inf)), F.lit(False))
     return joined.select("doc_id", "lang", "n_tokens", "perplexity", threshold.alias("threshold"), kept.alias("kept"))

@@ -95,6 +95,13 @@ def test_languages_have_thresholds_of_their_own_and_null_is_one(documents, label
     assert len({r["threshold"] for r in found}) == 3
 
 
+def test_languages_with_few_texts_have_thresholds_of_their_own_too(documents, labels):
+    rng = random.Random(8)
+    docs = documents([text(rng) for _ in range(120)]).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "x").when(F.col("doc_id") % 3 == 1, "y"))
+    found = model.classify(docs, labels([(i, 1, 0) for i in range(120)])).collect()
+    assert len({r["threshold"] for r in found}) == 3
+
+
 def test_without_trusted_rows_and_empty(documents, labels):
     assert [r["kept"] for r in sorted(model.classify(documents(["a b", ""]), labels([])).collect())] == [True, False]
     assert model.classify(documents([]), labels([])).collect() == []
