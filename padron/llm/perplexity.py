@@ -247,7 +247,7 @@ def _packed(batch: pa.RecordBatch, model: Model, ids: Ids, shards: int, number:
     for s, a, b in _runs(shard):
         new = np.r_[True, key[a + 1 : b] != key[a : b - 1]] if b > a else np.zeros(0, bool)
         at = np.flatnonzero(new)
-        body = _squeezed(np.diff(key[a:b][at], prepend=0), np.diff(np.r_[at, b - a]).astype(np.uint16), row[a:b], np.minimum(count[a:b], 65535).astype(np.uint16))
+        body = _squeezed(np.diff(key[a:b][at], prepend=0), np.diff(np.r_[at, b - a]).astype(np.uint16), row[a:b], count[a:b].astype(np.uint32))
         out.append((s, 1, number, body, batch.num_rows.to_bytes(4, "little")))
     return out
 
@@ -297,7 +297,7 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sums(body: bytes, rows: int, keys: np.ndarray, bonus: np.ndarray) -> bytes:
-    key, times, row, count = _widened(body, (np.int64, np.uint16, np.uint16, np.uint16))
+    key, times, row, count = _widened(body, (np.int64, np.uint16, np.uint16, np.uint32))
     key = np.cumsum(key)
     place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
     value = np.where(keys[place] == key, bonus[place], 0.0)

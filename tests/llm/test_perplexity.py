@@ -75,6 +75,15 @@ def test_same_as_a_plain_model(spark, documents, monkeypatch, frequent):
         assert (rows[i]["perplexity"] is None) == (rows[i]["n_tokens"] == 0)
 
 
+def test_a_bigram_counts_as_often_as_a_text_has_it():
+    fitted = model.Model([], model.np.zeros(8), model.np.zeros(8), model.np.zeros(0, int), model.np.zeros(0), None, 1)
+    batch = model.pa.RecordBatch.from_pydict({"doc_id": [1], "lang": ["x"], "text": ["a " * 70_001]})
+    body, rows = next((b, e) for _, kind, _, b, e in model._packed(batch, fitted, model.Ids([]), 1, 1) if kind == 1)
+    key = (1 << model._SHIFT) | 1
+    sums = model._sums(body, int.from_bytes(rows, "little"), model.np.array([key]), model.np.array([0.5]))
+    assert model.np.frombuffer(sums).tolist() == [35_000.0]
+
+
 def test_junk_goes_and_trusted_stays(documents, labels):
     rng = random.Random(7)
     rows = [(i, text(rng, junk=i % 5 == 0), "s") for i in range(400)] + [(1000, None, "s"), (None, "w1 w2", "s"), (3, text(rng), "s")]
