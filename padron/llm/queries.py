@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from padron.llm import line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
+from padron.llm import interactions, line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return interactions.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 OP1_SQL = r"""
 WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 l AS (
@@ -108,6 +112,51 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), f AS (
+  SELECT doc_id, part,
+         len(words) < 50 AS a,
+         100 * len(list_distinct(words)) < 65 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM t
+), k AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), n AS (
+  SELECT part,
+         list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: (x = 'A' AND a) OR (x = 'B' AND b) OR (x = 'C' AND c) OR (x = 'D' AND d) OR (x = 'E' AND e)) AS bad,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN k USING (doc_id) GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (
+  SELECT p.f || q.f || r.f || s.f || u.f AS filter_order
+  FROM x p, x q, x r, x s, x u
+  WHERE len(list_distinct([p.f, q.f, r.f, s.f, u.f])) = 5
+), s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, string_split(left(filter_order, step - 1), '') AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (NOT list_has_any(bad, before) AND NOT list_contains(bad, f)), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT list_has_any(bad, before) AND list_contains(bad, f)), 0) AS removed,
+         coalesce(sum(n) FILTER (list_has_any(bad, before) AND list_contains(bad, f)), 0) AS redundant,
+         coalesce(sum(n) FILTER (bad = [f]), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT list_has_any(bad, before) AND list_contains(bad, f)), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT list_has_any(bad, before) AND list_contains(bad, f)), 0) AS toxic_lost
+  FROM n, s GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_topk": op2_topk,
@@ -119,9 +168,10 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_interactions": op11_filter_interactions,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL}
+ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL, "op11_filter_interactions": OP11_SQL}
 
 
 def queries() -> dict[str, Query]:
