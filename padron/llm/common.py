@@ -64,6 +64,16 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
 
 
+def portions(batch: pa.RecordBatch, at: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts in column ``at`` have about ``size`` bytes; a longer text is a slice by itself."""
+    offs = in_order(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+    first, rows = 0, batch.num_rows
+    while first < rows:
+        to = max(first + 1, int(np.searchsorted(offs, offs[first] + size, side="right")) - 1)
+        yield batch.slice(first, to - first)
+        first = to
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the offsets of its rows; null is empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from padron.llm import interactions, line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
+from padron.llm import interactions, language, line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,12 @@ def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return interactions.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = read(spark, folder, "documents"), language.held_out(F.col("doc_id"))
+    found = language.identify(docs, language.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 OP1_SQL = r"""
 WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 l AS (
@@ -169,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_filter_interactions": op11_filter_interactions,
+    "op13_language_id": op13_language_id,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL, "op11_filter_interactions": OP11_SQL}
