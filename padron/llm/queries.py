@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from padron.llm import interactions, language, line_dedup, mixing, near_duplicates, passages, perplexity, pieces, rules, topk, toxicity, wrappers
+from padron.llm import interactions, language, line_dedup, mixing, near_duplicates, passages, perplexity, pieces, repair, rules, topk, toxicity, wrappers
 from padron.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,19 @@ def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return interactions.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = read(spark, folder, "conversations")
+    found = repair.summaries(repair.repair(repair.damaged(given)))
+    every = given.select(F.col("conv_id").alias("_id")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_id").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = read(spark, folder, "documents"), language.held_out(F.col("doc_id"))
     found = language.identify(docs, language.fit(docs.filter(~held_out)))
@@ -163,6 +176,73 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM r
 """
 
+#: ``z``, ``s``, ``u`` and ``a`` are the lightest edits so far that end before any turn, after a system, user or assistant turn.
+OP12_SQL = r"""
+WITH RECURSIVE g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), k AS (
+  SELECT *, xor(list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda z: 0::BIGINT)),
+                                    lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS kind
+  FROM g
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN CAST([] AS INTEGER[]) WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM k
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM d
+), t AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS r,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM n
+), l AS (
+  SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM t
+), f AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS turns
+  FROM l GROUP BY conv_id
+), w AS (
+  SELECT conv_id, 0::BIGINT AS i, turns, {'c': 0, 'e': '', 'o': ''} AS z, {'c': 1000000000, 'e': '', 'o': ''} AS s,
+         {'c': 2, 'e': 'I', 'o': chr(10) || 'user:'} AS u, {'c': 4, 'e': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'} AS a
+  FROM f
+  UNION ALL
+  SELECT conv_id, i, turns, z, s, u,
+         least(a, {'c': u.c + 2, 'e': u.e || 'I', 'o': u.o || chr(10) || 'assistant:'}) AS a
+  FROM (
+    SELECT conv_id, i, turns, z, s, a,
+           least(u, {'c': z.c + 2, 'e': z.e || 'I', 'o': z.o || chr(10) || 'user:'},
+                 {'c': s.c + 2, 'e': s.e || 'I', 'o': s.o || chr(10) || 'user:'},
+                 {'c': a.c + 2, 'e': a.e || 'I', 'o': a.o || chr(10) || 'user:'}) AS u
+    FROM (
+      SELECT w.conv_id, t.i, w.turns,
+             {'c': z.c + 3, 'e': z.e || 'D', 'o': z.o} AS z,
+             least({'c': s.c + 3, 'e': s.e || 'D', 'o': s.o}, {'c': z.c + p.k + if(r = 's', 0, 1000000000), 'e': z.e || 'K', 'o': z.o || p.line}) AS s,
+             least({'c': u.c + 3, 'e': u.e || 'D', 'o': u.o}, {'c': y.c + p.k + if(r = 'u', 0, 1000000000), 'e': y.e || 'K', 'o': y.o || p.line},
+                   {'c': y.c + p.k + 2, 'e': y.e || 'R', 'o': y.o || chr(10) || 'user:' || text}) AS u,
+             least({'c': a.c + 3, 'e': a.e || 'D', 'o': a.o}, {'c': u.c + p.k + if(r = 'a', 0, 1000000000), 'e': u.e || 'K', 'o': u.o || p.line},
+                   {'c': u.c + p.k + 2, 'e': u.e || 'R', 'o': u.o || chr(10) || 'assistant:' || text}) AS a
+      FROM (SELECT *, least(z, s, a) AS y FROM w) w
+      JOIN (SELECT *, {'k': CASE fault WHEN 'truncated' THEN 1 WHEN '' THEN 0 ELSE 1000000000 END, 'line': chr(10) || role || ':' || text} AS p FROM t) t
+        ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+    )
+  )
+), b AS (SELECT conv_id, least(z, a) AS best FROM w WHERE i = turns)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.e, '') AS audit, sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_topk": op2_topk,
@@ -175,10 +255,16 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_filter_interactions": op11_filter_interactions,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_language_id": op13_language_id,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_topk": OP2_SQL, "op11_filter_interactions": OP11_SQL}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op2_topk": OP2_SQL,
+    "op11_filter_interactions": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
