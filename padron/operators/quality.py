@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from padron.functions import cells
-from padron.operators.aggregates import condition_profile, duplicate_keys, invalid_values, null_profile, shares
+from padron.operators.aggregates import condition_profile, duplicate_keys, invalid_values, null_profile, percent, shares
 from padron.session import col
 from padron.sources.contracts import HEADER_END_BLANKS, SheetContract, SourceContract
 from padron.sources.grid import base_name
@@ -292,3 +292,56 @@ def stage_report(before: DataFrame, after: DataFrame) -> DataFrame:
     return rows.unionByName(
         nulls.select(F.concat(F.lit("nulos: "), "columna").alias("medida"), F.col("nulos").alias("valor"), "porcentaje")
     )
+
+
+# ---- reports from what was observed while a table was written ------------------------------------
+
+NULLS = "nulos: "
+FLAG = "flag: "
+
+
+def null_measures(columns: Sequence[str]) -> dict[str, Column]:
+    """What to observe for :func:`observed_nulls` and :func:`observed_stage`."""
+    return {f"{NULLS}{c}": F.count_if(col(c).isNull()) for c in columns}
+
+
+def flag_measures(flags: Sequence[str], weight: str | None = None) -> dict[str, Column]:
+    """What to observe for :func:`observed_flag_summary`: rows in all, and rows per flag."""
+
+    def rows(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, col(weight))), F.lit(0).cast("bigint")) if weight else F.count_if(test)
+
+    return {f"{FLAG}total": rows(F.lit(True)), **{f"{FLAG}{f}": rows(col(f)) for f in flags}}
+
+
+def _counted(spark: SparkSession, rows: Sequence[tuple[str, int]], label: str, value: str, whole: int) -> DataFrame:
+    shape = f"`{label}` string, `{value}` bigint, total bigint"
+    counted = spark.createDataFrame([(name, n, whole) for name, n in rows], shape)
+    return counted.withColumn("porcentaje", percent(F.col(value), F.col("total")))
+
+
+def observed_nulls(spark: SparkSession, metrics: Mapping[str, int]) -> DataFrame:
+    """The null profile of a stored table, without reading it."""
+    found = [(name.removeprefix(NULLS), n) for name, n in metrics.items() if name.startswith(NULLS)]
+    return _counted(spark, found, "columna", "nulos", metrics["filas"]).select("columna", "nulos", "total", "porcentaje")
+
+
+def observed_stage(spark: SparkSession, rows_in: int, metrics: Mapping[str, int]) -> DataFrame:
+    """The stage report of a table whose input rows were observed in the same write."""
+    rows = _counted(spark, [("filas_entrada", rows_in), ("filas_salida", metrics["filas"])], "medida", "valor", rows_in)
+    whole = F.when(F.col("medida") == "filas_entrada", F.lit(100.0)).otherwise(F.col("porcentaje"))
+    nulls = [(name, n) for name, n in metrics.items() if name.startswith(NULLS) and n]
+    below = _counted(spark, nulls, "medida", "valor", metrics["filas"])
+    columns = ["medida", "valor", "porcentaje"]
+    return rows.withColumn("porcentaje", whole).select(columns).unionByName(below.select(columns))
+
+
+def observed_flag_summary(stored: DataFrame, metrics: Mapping[str, int], modality: str, weight: str | None = None) -> DataFrame:
+    """The flag summary of a stored table: totals from its write, only the distribution from its one narrow column."""
+    found = [(name.removeprefix(FLAG), n) for name, n in metrics.items() if name.startswith(FLAG)]
+    group = F.when(F.col("valor") == "total", F.lit("total")).otherwise(F.lit("flag")).alias("grupo")
+    counted = _counted(stored.sparkSession, found, "valor", "cantidad", metrics[f"{FLAG}total"])
+    per_modality = shares(stored, modality, weight=weight).select(
+        F.lit("modalidad").alias("grupo"), col(modality).alias("valor"), "cantidad", "porcentaje"
+    )
+    return counted.select(group, "valor", "cantidad", "porcentaje").unionByName(per_modality)

@@ -12,7 +12,7 @@ from padron.operators.joins import lookup_join
 from padron.plans.tables import EMPLOYEES, INTERN_MODALITY
 from padron.session import col
 from padron.sources import grid as grids
-from padron.sources import sinks
+from padron.sources import sinks, tables
 from padron.sources.contracts import SourceContract
 
 HEADER = grids.HeaderRule(row=10)
@@ -56,12 +56,25 @@ def _is_document(header: Column) -> Column:
 
 def gold(silver: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """(employees, interns, missing columns): known columns, dates typed, split by contract type."""
-    known, missing = shape.select_known(silver, EMPLOYEES)
-    dated = shape.tolerant_cast(known, EMPLOYEES)
+    dated, missing = typed(silver)
     interns, employees = rows.split_by_text(dated, MODALITY, INTERN_MODALITY)
     return employees, interns, missing
 
 
+def typed(silver: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(known columns with dates typed, missing columns)."""
+    known, missing = shape.select_known(silver, EMPLOYEES)
+    return shape.tolerant_cast(known, EMPLOYEES), missing
+
+
+def branches(dated: DataFrame) -> dict[str, Column]:
+    """Which of the two gold tables a row goes to, by its contract type; one without a contract type goes to neither."""
+    if MODALITY not in dated.columns:
+        raise ValueError(f"column '{MODALITY}' is missing")
+    intern = col(MODALITY).contains(INTERN_MODALITY)
+    return {"bd_empleados_gold": ~intern, "bd_practicantes_gold": intern}
+
+
 def flag_columns(as_of: Column) -> dict[str, Column]:
     years = calendar.service_years(col(HIRED), col(ENDED), as_of)
     return {
@@ -126,22 +139,28 @@ def run(
     """Checked sources, silver, both gold tables, the flags table and its summary, each stored; returns their paths."""
     quality.preflight(grid, contract)
     silver = sinks.write_current(clean(grid, sheet), f"{base}/silver/bd_silver")
-    employees, interns, _ = gold(silver)
-    stamp = sinks.run_stamp()
+    spark, stamp = grid.sparkSession, sinks.run_stamp()
     paths: dict[str, object] = {"silver": f"{base}/silver/bd_silver"}
-    branches = {"bd_empleados_gold": employees, "bd_practicantes_gold": interns}
-    paths |= sinks.write_split(branches, f"{base}/gold", stamp)
+    dated, _ = typed(silver)
+    paths |= sinks.write_branches(dated, branches(dated), f"{base}/gold", stamp)
     if "bd_empleados_gold" in paths:
-        stored = grid.sparkSession.read.parquet(paths["bd_empleados_gold"]["actual"])
+        stored = tables.read(spark, paths["bd_empleados_gold"]["actual"])
         flagged = flags(stored, as_of, mode)
-        paths["flags"] = sinks.write_versioned(flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp)
-        done = grid.sparkSession.read.parquet(paths["flags"]["actual"])
-        paths["reportes"] = sinks.write_reports({"resumen": summary(done)}, base, "empleados")
-        sinks.missing_outputs(grid.sparkSession, {**paths["flags"], **paths["reportes"]})
+        weight = _weight(flagged)
+        paths["flags"] = sinks.write_versioned(
+            flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp, observe=quality.flag_measures(FLAGS, weight)
+        )
+        done = tables.read(spark, paths["flags"]["actual"])
+        told = quality.observed_flag_summary(done, tables.metrics(spark, paths["flags"]["actual"]), MODALITY, weight)
+        paths["reportes"] = sinks.write_reports({"resumen": told}, base, "empleados")
+    sinks.missing_outputs(spark, sinks.flat_outputs(paths))
     return paths
 
 
+def _weight(flagged: DataFrame) -> str | None:
+    return "repeticiones" if "repeticiones" in flagged.columns else None
+
+
 def summary(flagged: DataFrame) -> DataFrame:
     """Counts and shares of the joined form; merged rows count as often as it repeats them."""
-    weight = "repeticiones" if "repeticiones" in flagged.columns else None
-    return quality.flag_summary(flagged, FLAGS, MODALITY, weight)
+    return quality.flag_summary(flagged, FLAGS, MODALITY, _weight(flagged))

@@ -12,7 +12,7 @@ from padron.operators.joins import BROADCAST_ROWS
 from padron.plans.tables import COST_CENTRES, EXAM_DATES, EXAMS
 from padron.session import col
 from padron.sources import grid as grids
-from padron.sources import sinks
+from padron.sources import sinks, tables
 from padron.sources.contracts import SourceContract
 
 SHEET = "DATA"
@@ -105,13 +105,13 @@ def run(
     paths: dict[str, object] = {"silver": f"{base}/silver/examenes_retiro_silver"}
     paths["gold"] = sinks.write_versioned(typed, f"{base}/gold", "examenes_retiro_gold", stamp)
     spark = grid.sparkSession
-    stored = spark.read.parquet(paths["gold"]["actual"])
+    stored = tables.read(spark, paths["gold"]["actual"])
     sinks.write_review(stored, f"{base}/gold/revision/examenes_retiro_gold")
     enriched = enrich(stored, unified_catalogue(current, older, order))
     paths["enriched"] = sinks.write_versioned(
-        enriched.orderBy(*order_of(enriched)), f"{base}/gold", "examenes_retiro_gold_enriquecido", stamp
+        enriched, f"{base}/gold", "examenes_retiro_gold_enriquecido", stamp, order=order_of(enriched)
     )
-    done = spark.read.parquet(paths["enriched"]["actual"])
+    done = tables.read(spark, paths["enriched"]["actual"])
     paths["reportes"] = sinks.write_reports({"estado": status_summary(done)}, base, "examenes")
-    sinks.missing_outputs(spark, {"silver": paths["silver"], **paths["gold"], **paths["reportes"]})
+    sinks.missing_outputs(spark, sinks.flat_outputs(paths))
     return paths

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from padron.functions import calendar, cells
@@ -11,7 +11,7 @@ from padron.operators.aggregates import distinct_values, null_profile, value_cou
 from padron.plans.tables import INCOME_EMPLOYEES, INCOME_INTERNS
 from padron.session import col
 from padron.sources import grid as grids
-from padron.sources import sinks
+from padron.sources import sinks, tables
 from padron.sources.contracts import SourceContract
 
 HEADERS = {
@@ -58,11 +58,12 @@ def interns_gold(silver: DataFrame) -> DataFrame:
 
 def reports(before: DataFrame, after: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
     """Cleaning report of a sheet, periods, nulls, and interns per university where the column exists."""
-    out = {
-        "etapa": quality.stage_report(before, after),
-        "periodos": distinct_values(gold, "PERIODO"),
-        "nulos": null_profile(gold),
-    }
+    return {"etapa": quality.stage_report(before, after), "nulos": null_profile(gold), **groups(gold)}
+
+
+def groups(gold: DataFrame) -> dict[str, DataFrame]:
+    """Reports that group the rows: periods, and interns per university where the column exists."""
+    out = {"periodos": distinct_values(gold, "PERIODO")}
     if UNIVERSITY in gold.columns:
         out["universidades"] = value_counts(gold, UNIVERSITY)
     return out
@@ -73,15 +74,23 @@ def run(grid: DataFrame, base: str, contract: SourceContract | None = None) -> d
     quality.preflight(grid, contract)
     paths: dict[str, object] = {}
     stamp = sinks.run_stamp()
+    spark = grid.sparkSession
     for sheet, to_gold in (("EMPLEADOS", employees_gold), ("PRACTICANTES", interns_gold)):
-        path = f"{base}/silver/relacion_ingresos_{sheet.lower()}"
-        raw = read_sheet(grid, sheet)
-        silver = sinks.write_current(clean(raw), path)
+        path, flow = f"{base}/silver/relacion_ingresos_{sheet.lower()}", f"ingresos_{sheet.lower()}"
+        # Rows ahead of the cleaning are counted by the write that follows, not by a pass of their own.
+        read = Observation(f"read-{flow}-{stamp}")
+        cleaned = clean(read_sheet(grid, sheet).observe(read, F.count(F.lit(1)).alias("filas")))
+        silver = sinks.write_current(cleaned, path, observe=quality.null_measures(cleaned.columns))
         paths[f"silver_{sheet.lower()}"] = path
         name = f"relacion_ingresos_{sheet.lower()}_gold"
-        paths[name] = sinks.write_versioned(to_gold(silver), f"{base}/gold", name, stamp)
-        gold = grid.sparkSession.read.parquet(paths[name]["actual"])
-        flow = f"ingresos_{sheet.lower()}"
-        paths[f"reportes_{sheet.lower()}"] = sinks.write_reports(reports(raw, silver, gold), base, flow)
-        sinks.missing_outputs(grid.sparkSession, {"silver": path, **paths[name], **paths[f"reportes_{sheet.lower()}"]})
+        typed = to_gold(silver)
+        paths[name] = sinks.write_versioned(typed, f"{base}/gold", name, stamp, observe=quality.null_measures(typed.columns))
+        gold = tables.read(spark, paths[name]["actual"])
+        told = {
+            "etapa": quality.observed_stage(spark, read.get["filas"], tables.metrics(spark, path)),
+            "nulos": quality.observed_nulls(spark, tables.metrics(spark, paths[name]["actual"])),
+            **groups(gold),
+        }
+        paths[f"reportes_{sheet.lower()}"] = sinks.write_reports(told, base, flow)
+    sinks.missing_outputs(spark, sinks.flat_outputs(paths))
     return paths

@@ -81,7 +81,8 @@ def run(grid: DataFrame, base: str, contract: SourceContract | None = None) -> d
     quality.preflight(grid, contract)
     silver = sinks.write_current(clean(grid), f"{base}/silver/control_practicantes_silver")
     path = f"{base}/gold/actual/control_practicantes_gold"
-    stored = sinks.write_current(gold(silver), path)
+    done = tenure(silver)
+    stored = sinks.write_current(done, path, order=order_of(done))
     remarks = grid.sparkSession.createDataFrame([(f,) for f in findings(silver)], "observacion string")
     reports = sinks.write_reports({"indicadores": flag_counts(stored), "esquema": remarks}, base, "practicantes")
     paths = {"silver": f"{base}/silver/control_practicantes_silver", "gold": path, **reports}

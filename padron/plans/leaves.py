@@ -12,7 +12,7 @@ from padron.operators.joins import lookup_join
 from padron.plans.tables import LEAVE_OUTPUTS, LEAVE_SHEETS, LEAVES
 from padron.session import col
 from padron.sources import grid as grids
-from padron.sources import sinks
+from padron.sources import sinks, tables
 from padron.sources.contracts import SourceContract
 
 HEADER = grids.HeaderRule(row=2, stop="skip_blank")
@@ -77,17 +77,15 @@ def run(
     """
     quality.preflight(grid, contract)
     spark, silver = grid.sparkSession, f"{base}/silver/licencias_consolidadas"
-    beside = sinks.beside_path(silver)
-    staged = sinks.write_current(consolidate(grid, check="report"), beside)
-    sinks.write_reports({"hallazgos": findings(staged)}, base, "licencias")
-    report = spark.read.parquet(f"{base}/reportes/licencias/hallazgos")
+    staged = sinks.stage(consolidate(grid, check="report"), silver)
+    sinks.write_reports({"hallazgos": findings(staged.read())}, base, "licencias")
+    report = tables.read(spark, f"{base}/reportes/licencias/hallazgos")
     try:
         quality.raise_if_any(report, FAILED)
     except quality.QualityError:
-        sinks.discard(spark, beside)
+        staged.discard()
         raise
-    sinks.publish(spark, beside, silver)
-    leaves = spark.read.schema(staged.schema).parquet(silver)
+    leaves = staged.publish()
     path = f"{base}/gold/actual/nomina_licencias_gold"
     gold = sinks.write_current(enrich(payroll, leaves, payroll_unique), path, partition_by=[PERIOD])
     paths = {"silver": silver, "gold": path, "hallazgos": f"{base}/reportes/licencias/hallazgos"}

@@ -4,83 +4,118 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
+from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from padron.session import col
+from padron.sources import tables
 
 CODEC = "snappy"
 
 
+class OrderError(RuntimeError):
+    """A table that should be stored in order is not."""
+
+
 def run_stamp() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H-%M-%S")
 
 
 def write_current(
-    df: DataFrame, path: str, compression: str = CODEC, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    compression: str = CODEC,
+    partition_by: Sequence[str] = (),
+    order: Sequence[Column] = (),
+    observe: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Replaces one Parquet table and returns it as stored; until the new one is complete, the old one stays.
 
     A partitioned table is rebalanced by its partition columns first: few files per partition, and a
-    partition that holds much of the data is split over several tasks.
+    partition that holds much of the data is split over several tasks. With an ``order`` the files follow it, which
+    is checked before the table counts. The number of rows (``filas``) and what ``observe`` names are taken up while
+    the rows are written and stay with the table (:func:`padron.sources.tables.metrics`).
     """
-    if partition_by:
-        df = df.hint("rebalance", *[col(c) for c in partition_by])
-    spark, beside = df.sparkSession, beside_path(path)
-    df.write.option("compression", compression).partitionBy(*partition_by).parquet(beside)
-    publish(spark, beside, path)
-    return spark.read.schema(_stored_schema(df, partition_by)).parquet(path)
+    return stage(df, path, compression, partition_by, order, observe).publish()
 
 
-def beside_path(path: str) -> str:
-    """A fresh name in the folder of ``path``, for a table that is published there later."""
-    return f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+@dataclass(frozen=True)
+class Staged:
+    """A complete table beside its place, with what was observed while it was written."""
 
+    spark: SparkSession
+    folder: str
+    path: str
+    schema: T.StructType
+    metrics: Mapping[str, Any]
 
-def publish(spark: SparkSession, written: str, path: str) -> None:
-    """Puts a complete table under its stable name by renaming; its predecessor goes only once the new one is there.
+    def read(self, folder: str | None = None) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(folder or self.folder)
 
-    A run that fails before leaves the predecessor as it was. If the renaming itself fails, the predecessor is
-    put back.
-    """
-    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
-    had = _rename(spark, path, old)
-    try:
-        if not _rename(spark, written, path):
-            raise FileNotFoundError(f"nothing to publish at {written}")
-    except Exception:
-        if had:
-            _rename(spark, old, path)
-        raise
-    if had:
-        discard(spark, old)
+    def publish(self) -> DataFrame:
+        """Makes the table the current one at its path, and returns it from there."""
+        tables.publish(self.spark, self.folder, self.path, self.schema, self.metrics)
+        return self.read(self.path)
 
+    def discard(self) -> None:
+        discard(self.spark, self.folder)
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a table that was written beside its place and is not needed."""
-    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
+def stage(
+    df: DataFrame,
+    path: str,
+    compression: str = CODEC,
+    partition_by: Sequence[str] = (),
+    order: Sequence[Column] = (),
+    observe: Mapping[str, Column] | None = None,
+) -> Staged:
+    """Writes a table beside ``path`` without making it current."""
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    elif partition_by:
+        df = df.hint("rebalance", *[col(c) for c in partition_by])
+    spark, beside = df.sparkSession, tables.beside_path(path)
+    # Taken up in the stage that writes, where each partition counts once however often it is tried.
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    measures = {"filas": F.count(F.lit(1)), **(observe or {})}
+    watched = df.observe(seen, *[m.alias(f"m{i}") for i, m in enumerate(measures.values())])
+    watched.write.option("compression", compression).partitionBy(*partition_by).parquet(beside)
+    metrics = {name: seen.get[f"m{i}"] for i, name in enumerate(measures)}
+    if order:
+        check_order(spark, beside, order)
+    return Staged(spark, beside, path, _stored_schema(df, partition_by), metrics)
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Makes a complete table the current one at ``path``."""
+    tables.publish(spark, written, path)
 
-def _file_system(spark: SparkSession, path: str):
-    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table that was written beside its place and is not needed."""
+    tables.Files(spark, path).delete(path)
 
-def _rename(spark: SparkSession, old: str, new: str) -> bool:
-    """Whether ``old`` was there and now is ``new``."""
-    files = _file_system(spark, old)
-    if not files.exists(_hadoop_path(spark, old)):
-        return False
-    if not files.rename(_hadoop_path(spark, old), _hadoop_path(spark, new)):
-        raise OSError(f"cannot rename {old} to {new}")
-    return True
+
+def check_order(spark: SparkSession, folder: str, order: Sequence[Column]) -> None:
+    """Raises unless each file's last row is at most the next file's first row; compares two rows a file."""
+    stored = spark.read.parquet(folder)
+    own, at = F.struct(*[col(c) for c in stored.columns]), F.col("_metadata.row_index")
+    ends = stored.groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.min_by(own, at).alias("_first"), F.max_by(own, at).alias("_last"))
+    rows = ends.select("_file", F.posexplode(F.array("_first", "_last")).alias("_end", "_row")).select("_file", "_end", "_row.*")
+    place = ["_file", "_end"]
+    ranked = rows.select(
+        F.row_number().over(Window.orderBy(*place)).alias("_by_file"),
+        F.row_number().over(Window.orderBy(*order, *place)).alias("_by_key"),
+    )
+    if not ranked.filter("_by_file <> _by_key").isEmpty():
+        raise OrderError(f"files of {folder} are not in order")
 
 
 def write_reports(reports: Mapping[str, DataFrame], base: str, flow: str) -> dict[str, str]:
@@ -104,20 +139,34 @@ def write_versioned(
     run_ts: str | None = None,
     compression: str = CODEC,
     partition_by: Sequence[str] = (),
+    order: Sequence[Column] = (),
+    observe: Mapping[str, Column] | None = None,
 ) -> dict[str, str]:
     """``historico/<name>/run_ts=…`` for this run, and the same rows under ``actual/<name>``.
 
-    The plan runs once: the dated copy is written first and the stable copy is made from it, so both agree.
-    The stable copy is written beside the previous one and takes its name when complete, so a failed run leaves
-    the previous one in place.
+    The plan runs once: the dated copy is written first and the stable copy is made from it, so both agree, also in
+    their ``order``. The stable name's manifest points to the dated copy as soon as that is complete; the stable copy
+    for plain readers is then written beside the previous one and takes its place.
     """
-    dated = f"{base}/historico/{name}/run_ts={run_ts or run_stamp()}"
-    stable = f"{base}/actual/{name}"
-    stored = write_current(df, dated, compression, partition_by)
-    write_current(stored, stable, compression, partition_by)
+    dated, stable = f"{base}/historico/{name}/run_ts={run_ts or run_stamp()}", f"{base}/actual/{name}"
+    staged = stage(df, dated, compression, partition_by, order, observe)
+    staged.publish()
+    _make_current(staged, dated, stable, compression, partition_by, order)
     return {"actual": stable, "historico": dated}
 
 
+def _make_current(
+    staged: Staged, dated: str, stable: str, compression: str, partition_by: Sequence[str] = (), order: Sequence[Column] = ()
+) -> None:
+    """The dated copy becomes the current rows of the stable name, and is copied there for plain readers."""
+    spark = staged.spark
+    place = tables.Files(spark, dated).place(dated)
+    tables.recover(spark, stable)
+    tables.commit(spark, stable, [place], staged.schema, metrics=staged.metrics)
+    copy = stage(staged.read(dated), stable, compression, partition_by, order)
+    tables.publish(spark, copy.folder, stable, staged.schema, staged.metrics, also=[place])
+
+
 def write_split(branches: Mapping[str, DataFrame], base: str, run_ts: str | None = None) -> dict[str, dict[str, str]]:
     """Versioned output per branch; an empty branch is not written."""
     stamp = run_ts or run_stamp()
@@ -126,6 +175,42 @@ def write_split(branches: Mapping[str, DataFrame], base: str, run_ts: str | None
     }
 
 
+BRANCH = "_rama"
+
+
+def write_branches(
+    df: DataFrame, conditions: Mapping[str, Column], base: str, run_ts: str | None = None, compression: str = CODEC
+) -> dict[str, dict[str, str]]:
+    """Versioned output per branch from one pass over ``df``; a branch without rows is not published.
+
+    A row goes to every branch whose condition it meets, and to none if it meets none. All branches are one write
+    with a branch column; each branch's folder then becomes its dated copy. Counts are observed while writing.
+    """
+    if BRANCH in df.columns:
+        raise ValueError(f"column '{BRANCH}' is taken")
+    stamp, spark = run_ts or run_stamp(), df.sparkSession
+    tags = {name: F.coalesce(c, F.lit(False)) for name, c in conditions.items()}
+    rows = df.filter(reduce(or_, tags.values())).select(
+        *[col(c) for c in df.columns],
+        F.explode(F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(tags.values())]), lambda t: t.isNotNull())).alias(BRANCH),
+    )
+    counts = {name: F.count_if(F.col(BRANCH) == i) for i, name in enumerate(tags)}
+    staged = stage(rows, f"{base}/historico/{BRANCH}", compression, [BRANCH], observe=counts)
+    files, paths = tables.Files(spark, base), {}
+    for i, name in enumerate(tags):
+        if not staged.metrics[name]:
+            continue
+        dated, stable = f"{base}/historico/{name}/run_ts={stamp}", f"{base}/actual/{name}"
+        files.make_folder(f"{base}/historico/{name}")
+        metrics = {"filas": staged.metrics[name]}
+        branch = Staged(spark, f"{staged.folder}/{BRANCH}={i}", dated, df.schema, metrics)
+        branch.publish()
+        _make_current(branch, dated, stable, compression)
+        paths[name] = {"actual": stable, "historico": dated}
+    staged.discard()
+    return paths
+
+
 def review_frame(df: DataFrame) -> DataFrame:
     """Dates as text, for people who open the extract in a spreadsheet."""
     dates = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
@@ -136,17 +221,19 @@ def write_review(df: DataFrame, path: str) -> None:
     review_frame(df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def flat_outputs(paths: Mapping[str, Any], ahead: str = "") -> dict[str, str]:
+    """Every path of a run under a name of its own, whatever is nested where: ``flags.actual``, ``flags.historico``."""
+    found: dict[str, str] = {}
+    for name, path in paths.items():
+        found |= flat_outputs(path, f"{ahead}{name}.") if isinstance(path, Mapping) else {f"{ahead}{name}": path}
+    return found
+
+
 def missing_outputs(spark: SparkSession, required: Mapping[str, str], optional: Mapping[str, str] | None = None) -> list[str]:
     """Names of optional outputs that are absent; an absent required output is an error."""
 
     def absent(paths: Mapping[str, str]) -> list[str]:
-        out = []
-        for name, path in paths.items():
-            try:
-                spark.read.parquet(path)
-            except AnalysisException:
-                out.append(name)
-        return out
+        return [name for name, path in paths.items() if not tables.exists(spark, path)]
 
     lacking = absent(required)
     if lacking:
