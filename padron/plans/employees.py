@@ -40,7 +40,7 @@ def clean(grid: DataFrame, sheet: str | None = None, stop_rule: str = "first_bla
     """
     if sheet is not None:
         grid = grids.pick_sheet(grid, sheet)
-    table, names = grids.promote_header(grid, HEADER, key=_is_document)
+    table, names = grids.promote_header(grid, HEADER, key=_is_document, require_header=True)
     if stop_rule == "none":
         kept = table.filter(~grids.row_is_blank())
         return kept.select(*grids.GRID_COLUMNS, *[cells.null_words_to_null(col(n)).alias(n) for n in names])

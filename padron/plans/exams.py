@@ -34,7 +34,7 @@ def clean(grid: DataFrame, strict_dates: bool = False) -> DataFrame:
 
     Dates are read with or without a time; ``strict_dates`` admits only the form with a time.
     """
-    table, names = grids.promote_header(grids.pick_sheet(grid, SHEET), HEADER)
+    table, names = grids.promote_header(grids.pick_sheet(grid, SHEET), HEADER, require_header=True)
     kept = rows.stop_at_first(table, cells.is_blank(F.get("_row", F.lit(0))))
 
     def tidy(name: str):

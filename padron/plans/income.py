@@ -23,7 +23,7 @@ UNIVERSITY = "Universidad de Procedencia"
 
 def read_sheet(grid: DataFrame, sheet: str) -> DataFrame:
     """The sheet as text, up to its first blank row."""
-    table, names = grids.promote_header(grids.pick_sheet(grid, sheet), HEADERS[sheet])
+    table, names = grids.promote_header(grids.pick_sheet(grid, sheet), HEADERS[sheet], require_header=True)
     kept = rows.stop_at_first(table, grids.row_is_blank())
     return kept.select(*[col(n) for n in names])
 

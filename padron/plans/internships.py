@@ -35,7 +35,7 @@ CARRIED = {
 def clean(grid: DataFrame) -> DataFrame:
     """Silver: target columns only, rows with a document up to the first run of 1000 rows without one."""
     sheet = grids.pick_sheet(grid, SHEET)
-    table, names = grids.promote_header(sheet, HEADER, targets=INTERNSHIPS.columns)
+    table, names = grids.promote_header(sheet, HEADER, targets=INTERNSHIPS.columns, require_header=True)
     kept = rows.stop_after_blank_run(table, col("DNI"), BLANK_RUN)
     tidy = [
         (cells.sheet_date(col(n)) if n in DATES else cells.number_cell_text(col(n))).alias(n) for n in names

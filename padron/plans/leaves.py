@@ -27,7 +27,7 @@ def read_sheet(grid: DataFrame, sheet: str, kind: str) -> DataFrame | None:
     if body.isEmpty():
         return None
     keyed = body.filter((F.col("row_idx") <= HEADER.row) | cells.has_text(F.get("cells", F.lit(0))))
-    table, names = grids.promote_header(keyed, HEADER, keep=())
+    table, names = grids.promote_header(keyed, HEADER, keep=(), require_header=True)
     table = shape.rename_any(table.select(*[col(n) for n in names]), LEAVES.rename)
     table = table.withColumn(DOCUMENT, cells.strip_dot_zero(col(DOCUMENT)))
     for required in (REASON, DOCUMENT, PERIOD):

@@ -25,7 +25,7 @@ def consolidate(
 ) -> tuple[DataFrame, DataFrame]:
     """(silver text table, rejected files). Columns are matched by name over all files, values by position."""
     usable = grids.usable_files(grid, own_outputs)
-    body, rejected = grids.with_period(usable, SHEET)
+    body, rejected = grids.triage(usable, SHEET, HEADER, lambda name: name == KEY)
     data = body.filter((F.col("row_idx") <= HEADER.row) | rows.is_data_row(F.get("cells", F.lit(0)), footer_length))
     table, names = grids.promote_header(data, HEADER, keep=("PERIODO",))
     names = [n for n in names if n not in ("PERIODO", "AÑO", "MES")]
@@ -77,8 +77,13 @@ def run(
     mining: bool = False,
     own_outputs: tuple[str, ...] = (),
     contract: SourceContract | None = None,
+    unreadable: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Checked sources, silver with its rejected files, gold with its constraint report and casting notes."""
+    """Checked sources, silver with its rejected files, gold with its constraint report and casting notes.
+
+    ``unreadable`` are files that :func:`padron.sources.grid.read_grid_files` could not open; they are reported with
+    the rejected ones.
+    """
     quality.preflight(grids.usable_files(grid, own_outputs), contract)
     name = "nomina_regimen_minero" if mining else "nomina"
     silver, rejected = consolidate(grid, own_outputs)
@@ -88,7 +93,7 @@ def run(
     spec = MINING_PAYROLL if mining else PAYROLL
     noted = [(kind, column) for kind, columns in notes.items() for column in columns]
     reports = {
-        "rechazados": rejected,
+        "rechazados": rejected if unreadable is None else rejected.unionByName(unreadable),
         "hallazgos": quality.constraint_findings(done, spec),
         "notas": grid.sparkSession.createDataFrame(noted, "nota string, columna string"),
     }

@@ -7,6 +7,7 @@ then pick cells by position, so files with drifting headers share one projection
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -18,6 +19,10 @@ from padron.functions.calendar import period_from_name
 from padron.operators.joins import BROADCAST_BYTES, bounded_copy, lookup_join
 
 GRID_COLUMNS = ("file", "sheet", "row_idx")
+GRID_SCHEMA = "file string, sheet string, row_idx bigint, cells array<string>"
+# Files that could not be used, with the reason.
+REJECTED = "file string, motivo string"
+UNREADABLE = "ilegible"
 # More columns than any sheet can have; a header set beyond it means the header row is wrong.
 MAX_COLUMNS = 16_384
 # Absent headers an error message names; it gives their number as well.
@@ -56,6 +61,28 @@ def read_grid(spark: SparkSession, path: str, pattern: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def read_grid_files(spark: SparkSession, path: str, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of all readable files, the others with the reason): one broken file does not stop the rest.
+
+    A file counts as readable if its footer can be read, which a count without columns finds out; the others are
+    left out of the scan by name. Damage inside a readable file still stops the job, so no file is read in part.
+    """
+    reader = spark.read.schema(GRID_SCHEMA)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    found = reader.parquet(path)
+    name = F.col("_metadata.file_path")
+    opened = reader.option("ignoreCorruptFiles", "true").parquet(path).groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    # Local files are listed with three slashes and read with one.
+    listed = spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in found.inputFiles()], "file string")
+    broken = listed.join(opened, "file", "left_anti").withColumn("motivo", F.lit(UNREADABLE))
+    # No more names than the driver's own file index holds.
+    names = [r["file"] for r in broken.collect()]
+    reader = reader.option("ignoreCorruptFiles", "false")
+    good = reader.parquet(path)
+    return good.filter(~name.isin(*names)) if names else good, spark.createDataFrame([(n, UNREADABLE) for n in names], REJECTED)
+
+
 def usable_files(grid: DataFrame, own_outputs: Sequence[str] = ()) -> DataFrame:
     """Without lock files and the job's own earlier outputs, both known by prefix."""
     for prefix in (LOCK_PREFIX, *own_outputs):
@@ -97,6 +124,40 @@ def with_period(grid: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
     return rows, files.filter(F.col("motivo").isNotNull()).select("file", "motivo")
 
 
+def triage(
+    grid: DataFrame, sheet: str, rule: HeaderRule, key: Callable[[Column], Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of the sheet in the files that can be used, with PERIODO; rejected files with the first reason).
+
+    A file is rejected without a period in its name, without the sheet, without a header in the header row, or, if
+    other files have a header that passes ``key``, without such a one. The reasons come from narrow columns and the
+    header rows, one line a file; the rows of the other files are not read for it. No good file is an error.
+    """
+    periods = period_from_name(base_name(F.col("file")))
+    named = F.col("names")
+    heads = header_layout(grid.filter(F.col("sheet") == sheet), rule).groupBy("file").agg(
+        F.max(F.exists(named, lambda n: n.isNotNull())).alias("has_header"),
+        F.max(F.exists(named, lambda n: F.coalesce(key(n), F.lit(False))) if key else F.lit(True)).alias("has_key"),
+    )
+    files = grid.groupBy("file").agg(F.max(F.col("sheet") == sheet).alias("has_sheet")).join(heads, "file", "left")
+    reason = (
+        F.when(periods.isNull(), F.lit("sin periodo")).when(~F.col("has_sheet"), F.lit("sin hoja " + sheet))
+        .when(~F.coalesce("has_header", F.lit(False)), F.lit("sin cabecera"))
+        .when(~F.col("has_key"), F.lit("sin columna clave"))
+    )
+    judged = files.select("file", reason.alias("motivo"))
+    if key is not None and judged.filter("motivo IS NULL").isEmpty():
+        judged = judged.withColumn("motivo", F.when(F.col("motivo") != "sin columna clave", F.col("motivo")))
+    rejected = judged.filter("motivo IS NOT NULL")
+    small = bounded_copy(rejected)
+    rejected = rejected if small is None else small
+    rows = lookup_join(grid.filter(F.col("sheet") == sheet), rejected, ["file"]).filter("motivo IS NULL").drop("motivo")
+    rows = rows.withColumn("PERIODO", periods)
+    if rows.isEmpty():
+        raise SheetError("no file could be processed")
+    return rows, rejected.select("file", "motivo")
+
+
 # ---- headers -----------------------------------------------------------------------------------
 
 
@@ -148,6 +209,7 @@ def promote_header(
     targets: Sequence[str] | None = None,
     keep: Sequence[str] = GRID_COLUMNS,
     key: Callable[[Column], Column] | None = None,
+    require_header: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Data rows below the header as named text columns, and the names.
 
@@ -155,11 +217,17 @@ def promote_header(
     only those are read and every sheet must have them. When a name repeats, its last column counts.
     ``width`` is the end of the sheet's header, for rules that look at whole rows. ``key`` is a test of header
     names: the cell below each sheet's first column that passes it becomes ``_key``, wherever that column is and
-    whatever it is called there; every sheet must have one.
+    whatever it is called there; every sheet must have one. A sheet without a header gives no
+    rows; with ``require_header`` one that has rows is an error that names it.
     """
     layout = header_layout(grid, rule)
     small = bounded_copy(layout)
     layout = layout if small is None else small
+    if require_header:
+        headed = layout.filter(F.exists("names", lambda n: n.isNotNull())).select("file", "sheet")
+        below = grid.filter(F.col("row_idx") > rule.row).select("file", "sheet").distinct()
+        headless = below.join(headed, ["file", "sheet"], "left_anti")
+        _raise_for(headless.withColumn("column", F.lit(f"row {rule.row}")), "no header")
     if targets is not None:
         _raise_for(missing_headers(layout, targets), "missing headers")
     if key is not None:

@@ -101,3 +101,51 @@ def test_lock_files_and_own_outputs_are_left_out(grid_of):
 def test_read_grid_with_pattern(spark, grid_of, tmp_path):
     grid_of({("f", "s"): {1: ["A"]}}).write.parquet(str(tmp_path / "g"))
     assert grids.read_grid(spark, str(tmp_path / "g"), "*.parquet").count() == 1
+
+
+def test_a_sheet_without_header_is_named(grid_of):
+    grid = grid_of({("f1", "s"): {1: ["A"], 2: ["a"]}, ("f2", "s"): {2: ["lost"]}, ("f3", "s"): {1: [" ", None], 2: ["lost"]}, ("f4", "s"): {1: ["A"]}})
+    with pytest.raises(SheetError, match=r"no header \(2 in total\): f2/s: row 1; f3/s: row 1"):
+        grids.promote_header(grid, HeaderRule(1), require_header=True)
+    grids.promote_header(grid.filter("file IN ('f1', 'f4')"), HeaderRule(1), require_header=True)
+
+
+def test_triage_names_every_file_that_cannot_be_used(grid_of):
+    head, line = ["N°", None, " DNI "], ["1", "x", "7"]
+    grid = grid_of(
+        {
+            ("P 2024-01.xlsx", "S"): {6: head, 7: line},
+            ("P 2024-02.xlsx", "S"): {7: line},
+            ("P 2024-03.xlsx", "S"): {6: [None, " "], 7: line},
+            ("P 2024-04.xlsx", "S"): {6: ["N°", "OTRO"], 7: line},
+            ("P 2024-05.xlsx", "T"): {6: head, 7: line},
+            ("P.xlsx", "S"): {6: head, 7: line},
+        }
+    )
+    rule = HeaderRule(6, stop="gap")
+    rows, rejected = grids.triage(grid, "S", rule, lambda n: n == "DNI")
+    assert {(r["file"], r["PERIODO"]) for r in rows.collect()} == {("P 2024-01.xlsx", "2024-01")}
+    assert dict(map(tuple, rejected.collect())) == {
+        "P 2024-02.xlsx": "sin cabecera", "P 2024-03.xlsx": "sin cabecera", "P 2024-04.xlsx": "sin columna clave",
+        "P 2024-05.xlsx": "sin hoja S", "P.xlsx": "sin periodo",
+    }
+    keyless, rejected = grids.triage(grid.filter("file LIKE '%-04%' OR file LIKE '%-02%'"), "S", rule, lambda n: n == "DNI")
+    assert keyless.count() == 2 and [r["motivo"] for r in rejected.collect()] == ["sin cabecera"]
+    with pytest.raises(SheetError):
+        grids.triage(grid.filter("file = 'P.xlsx'"), "S", rule)
+
+
+def test_broken_files_are_rows_of_the_report(spark, tmp_path):
+    folder = tmp_path / "raw data"
+    for i in range(4):
+        rows = spark.createDataFrame([(f"f{i}", "s", 1, ["A"]), (f"f{i}", "s", 2, [str(i)])], grids.GRID_SCHEMA)
+        rows.coalesce(1).write.parquet(str(folder / f"part {i}"))
+    files = sorted(p for p in folder.rglob("*.parquet"))
+    files[1].write_bytes(b"no table at all")
+    files[2].write_bytes(b"")
+    grid, broken = grids.read_grid_files(spark, str(folder / "*"))
+    assert sorted(r["file"] for r in grid.select("file").distinct().collect()) == ["f0", "f3"]
+    found = broken.collect()
+    assert {r["motivo"] for r in found} == {grids.UNREADABLE} and len(found) == 2
+    clean, none = grids.read_grid_files(spark, str(folder / "part 0"))
+    assert clean.count() == 2 and none.count() == 0
