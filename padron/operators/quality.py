@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from padron.functions import cells
 from padron.operators.aggregates import condition_profile, duplicate_keys, invalid_values, null_profile, percent, shares
+from padron.operators.row_rules import broken_tests
 from padron.session import col
 from padron.sources.contracts import HEADER_END_BLANKS, SheetContract, SourceContract
 from padron.sources.grid import base_name
@@ -30,51 +31,76 @@ class QualityError(ValueError):
 
 def check_sources(grid: DataFrame, contract: SourceContract) -> DataFrame:
     """(file, sheet, rule, detail) for every breach of the contract; a file of a wrong type gets no other check."""
-    sheets = grid.select("file", "sheet").distinct()
-    files = sheets.select("file").distinct()
-    accepted = F.lower(F.regexp_extract("file", r"(\.[^./\\]+)$", 1)).isin(*contract.extensions)
+    return check_contracts(grid, [contract]).drop("contract")
+
+
+def check_contracts(grid: DataFrame, contracts: Sequence[SourceContract]) -> DataFrame:
+    """(file, sheet, rule, detail, contract) for every breach of any contract, whatever their number, from one pass.
 
-    def finding(df: DataFrame, rule: str, detail: Column, sheet: Column | None = None) -> DataFrame:
+    The pass gives one line per file: its sheets, and the header rows that some contract speaks of. Cells are read for
+    those rows only. All rules of all contracts are then worked out on that line.
+    """
+    rows = sorted({s.header_row for c in contracts for s in c.sheets})
+    wanted = [(s.sheet, s.header_row) for c in contracts for s in c.sheets]
+    sheets = grid.groupBy("file", "sheet").agg(F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("array<string>").alias("cells"))
+    heads = grid.filter(F.col("row_idx").isin(*rows)) if rows else grid.limit(0)
+    if wanted:
+        # Pairs of sheet and row as plain comparisons, which the scan can prune by.
+        heads = heads.filter(reduce(or_, [(F.col("sheet") == s) & (F.col("row_idx") == r) for s, r in dict.fromkeys(wanted)]))
+    lines = sheets.unionByName(heads.select("file", "sheet", F.col("row_idx").cast("bigint").alias("row"), "cells"))
+    files = lines.groupBy("file").agg(
+        F.collect_set("sheet").alias("sheets"),
+        F.collect_list(F.when(F.col("row").isNotNull(), F.struct("sheet", "row", "cells"))).alias("heads"),
+    )
+    found = F.flatten(F.array(*[_breaches(c) for c in contracts]))
+    return files.select("file", F.inline(found))
+
+
+def _breaches(contract: SourceContract) -> Column:
+    """All breaches of one contract by a file, as a list of (sheet, rule, detail, contract)."""
+
+    def finding(rule: str, detail: Column, sheet: Column | None = None) -> Column:
         no_sheet = F.lit(None).cast("string")
-        return df.select(
-            "file",
-            (no_sheet if sheet is None else sheet).alias("sheet"),
-            F.lit(rule).alias("rule"),
-            detail.cast("string").alias("detail"),
-        )
+        return F.struct(
+            (no_sheet if sheet is None else sheet).alias("sheet"), F.lit(rule).alias("rule"),
+            detail.cast("string").alias("detail"), F.lit(contract.id).alias("contract"),
+        )
 
-    wrong_type = files.filter(~accepted)
-    findings = [finding(wrong_type, "extension", F.lit(", ".join(contract.extensions)))]
-    files, sheets = files.filter(accepted), sheets.filter(accepted)
+    def if_any(test: Column, one: Column) -> Column:
+        return F.filter(F.array(F.when(test, one)), lambda f: f.isNotNull())
 
-    if contract.file_name_pattern:
-        misnamed = files.filter(~base_name(F.col("file")).rlike(contract.file_name_pattern))
-        findings.append(finding(misnamed, "file_name", F.lit(contract.file_name_pattern)))
+    def names(values: Sequence[str]) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
+    accepted = F.lower(F.regexp_extract("file", r"(\.[^./\\]+)$", 1)).isin(*contract.extensions)
+    parts = []
+    if contract.file_name_pattern:
+        misnamed = ~base_name(F.col("file")).rlike(contract.file_name_pattern)
+        parts.append(if_any(misnamed, finding("file_name", F.lit(contract.file_name_pattern))))
     if contract.must_exist:
-        wanted = files.withColumn("sheet", F.explode(F.array(*[F.lit(s) for s in contract.must_exist])))
-        absent = wanted.join(sheets, ["file", "sheet"], "left_anti")
-        findings.append(finding(absent, "missing_sheet", F.col("sheet"), F.col("sheet")))
-
+        absent = F.array_except(names(contract.must_exist), F.col("sheets"))
+        parts.append(F.transform(absent, lambda s: finding("missing_sheet", s, s)))
     if contract.enforce_allowed:
-        surplus = sheets.filter(~F.col("sheet").isin(*contract.may_exist))
-        findings.append(finding(surplus, "unexpected_sheet", F.col("sheet"), F.col("sheet")))
-
-    if contract.sheets:
-        headers = _headers(grid, sheets, contract.sheets)
-        shifted = headers.filter(cells.is_blank(F.get("cells", F.col("start") - 1)))
-        place = F.concat_ws(":", F.col("row"), F.col("start"))
-        findings.append(finding(shifted, "shifted_header", place, F.col("sheet")))
-        present = F.transform(_header_names(), cells.header_key)
-        lacking = headers.withColumn(
-            "lacking", F.filter("required", lambda r: ~F.array_contains(present, cells.header_key(r)))
-        ).filter(F.size("lacking") > 0)
-        findings.append(finding(lacking, "missing_columns", F.array_join("lacking", ", "), F.col("sheet")))
-
-    report = findings[0]
-    for f in findings[1:]:
-        report = report.unionByName(f)
-    return report
+        surplus = F.array_except(F.col("sheets"), names(contract.may_exist))
+        parts.append(F.transform(surplus, lambda s: finding("unexpected_sheet", s, s)))
+
+    def header_breaches(s: SheetContract) -> list[Column]:
+        head = F.filter("heads", lambda h: (h["sheet"] == s.sheet) & (h["row"] == s.header_row))
+        row = F.coalesce(F.get(head, F.lit(0))["cells"], F.array().cast("array<string>"))
+        there, sheet = F.array_contains("sheets", s.sheet), F.lit(s.sheet)
+        shifted = there & cells.is_blank(F.get(row, F.lit(s.start_col - 1)))
+        found = [if_any(shifted, finding("shifted_header", F.lit(f"{s.header_row}:{s.start_col}"), sheet))]
+        if s.required:
+            present = F.transform(_header_names(row, s), cells.header_key)
+            lacking = F.filter(names(s.required), lambda r: ~F.array_contains(present, cells.header_key(r)))
+            found.append(if_any(there & (F.size(lacking) > 0), finding("missing_columns", F.array_join(lacking, ", "), sheet)))
+        return found
+
+    for sheet_contract in contract.sheets:
+        parts += header_breaches(sheet_contract)
+    wrong_type = F.array(finding("extension", F.lit(", ".join(contract.extensions))))
+    none = F.filter(wrong_type, lambda f: F.lit(False))
+    return F.when(accepted, F.concat(*parts) if parts else none).otherwise(wrong_type)
 
 
 def preflight(grid: DataFrame, *contracts: SourceContract | None) -> None:
@@ -84,46 +110,13 @@ def preflight(grid: DataFrame, *contracts: SourceContract | None) -> None:
         return
     if grid.isEmpty():
         raise QualityError("no source files given")
-    report = check_sources(grid, given[0]).withColumn("contract", F.lit(given[0].id))
-    for c in given[1:]:
-        report = report.unionByName(check_sources(grid, c).withColumn("contract", F.lit(c.id)))
-    raise_if_any(report.distinct(), "sources do not meet their contract")
-
-
-def _headers(grid: DataFrame, sheets: DataFrame, contracts: Sequence[SheetContract]) -> DataFrame:
-    """Sheets under contract with their header row (null when the sheet is too short) and its rules."""
-
-    def by_sheet(pick) -> Column:
-        out = F.lit(None)
-        for c in contracts:
-            out = F.when(F.col("sheet") == c.sheet, pick(c)).otherwise(out)
-        return out
+    raise_if_any(check_contracts(grid, given), "sources do not meet their contract")
 
-    def names(c: SheetContract) -> Column:
-        return F.array(*[F.lit(r) for r in c.required]).cast("array<string>")
 
-    # Pairs of sheet and row as plain comparisons, which the scan can prune by.
-    header_rows = grid.filter(
-        reduce(or_, [(F.col("sheet") == c.sheet) & (F.col("row_idx") == c.header_row) for c in contracts])
-    )
-    return (
-        sheets.filter(F.col("sheet").isin(*[c.sheet for c in contracts]))
-        .join(header_rows.select("file", "sheet", "cells"), ["file", "sheet"], "left")
-        .withColumns(
-            {
-                "cells": F.coalesce("cells", F.array().cast("array<string>")),
-                "row": by_sheet(lambda c: F.lit(c.header_row)),
-                "start": by_sheet(lambda c: F.lit(c.start_col)),
-                "width": by_sheet(lambda c: F.lit(c.max_cells + 1 if c.max_cells else None)).cast("int"),
-                "required": by_sheet(names),
-            }
-        )
-    )
-
-
-def _header_names() -> Column:
+def _header_names(row: Column, contract: SheetContract) -> Column:
     """Non-blank header cells from the start column, up to three blanks in a row after the first name."""
-    scanned = F.slice("cells", F.col("start"), F.coalesce("width", F.size("cells") + 1))
+    width = F.lit(contract.max_cells + 1) if contract.max_cells else F.size(row) + 1
+    scanned = F.slice(row, F.lit(contract.start_col), width)
     start = F.struct(F.array().cast("array<string>").alias("names"), F.lit(0).alias("blanks"))
 
     def step(state: Column, cell: Column) -> Column:
@@ -151,6 +144,25 @@ def schema_findings(df: DataFrame, spec: TableSpec, types: Sequence[str] = ("str
     return found
 
 
+def schema_report(df: DataFrame, spec: TableSpec, types: Sequence[str] = ()) -> DataFrame:
+    """(motivo, columna, filas): what :func:`schema_findings` says, undeclared columns, and columns with nulls.
+
+    Schema remarks concern every row; their counts and the nulls come from one pass.
+    """
+    remarks = []
+    for text in schema_findings(df, spec, types):
+        reason, _, rest = text.partition(": ")
+        remarks.append((reason, rest) if reason == "missing column" else (rest, reason.split("'")[1]))
+    remarks += [("unexpected column", c) for c in df.columns if c not in spec.columns]
+    profile = null_profile(df)
+    nulls = profile.filter("nulos > 0").select(F.lit("nulls").alias("motivo"), "columna", F.col("nulos").alias("filas"))
+    if not remarks:
+        return nulls
+    listed = F.array(*[F.struct(F.lit(r).alias("motivo"), F.lit(c).alias("columna")) for r, c in remarks])
+    total = profile.agg(F.coalesce(F.max("total"), F.lit(0).cast("bigint")).alias("filas"))
+    return total.select(F.inline(listed), "filas").select("motivo", "columna", "filas").unionByName(nulls)
+
+
 def _fits(actual: T.DataType, declared: str) -> bool:
     families = {
         "string": (T.StringType,),
@@ -172,7 +184,9 @@ def constraint_findings(
 ) -> DataFrame:
     """(columna, regla, severidad, cantidad, detalle) for every broken rule of the specification.
 
-    Rules: columna (missing), tipo, clave (duplicated primary key), nulo, valores (allowed list), minimo;
+    Rules: columna (missing), tipo, clave (duplicated primary key), unica (a further unique key), nulo, valores
+    (allowed list), minimo, fila (the specification's rules over several columns, with severities of their own;
+    a rule that speaks of an absent column is left out, since the column is reported itself);
     with ``extras`` also maximo and patron, the declared rules that are off by default. ``cross_rules``
     maps a rule name to the condition every row must meet. Row rules share one aggregate; nothing is
     evaluated before an action.
@@ -197,11 +211,19 @@ def constraint_findings(
             tests[f.name, "patron"] = (~c.cast("string").rlike(f.pattern), f.pattern)
     for name, rule in (cross_rules or {}).items():
         tests[name, "regla"] = (~rule, "")
+    detail = {r.name: ", ".join(r.columns) for r in spec.row_rules}
+    for name, broken in broken_tests(spec.row_rules, df.schema).items():
+        tests[name, "fila"] = (broken, detail[name])
+    own_severity = {r.name: r.severity for r in spec.row_rules}
 
     spark = df.sparkSession
 
     def severity(rule: Column) -> Column:
-        return F.when(rule.isin(*warn_on), F.lit("aviso")).otherwise(F.lit("error"))
+        told = F.when(rule.isin(*warn_on), F.lit("aviso"))
+        if own_severity:
+            names = F.create_map(*[F.lit(x) for pair in own_severity.items() for x in pair])
+            told = told.when(rule == "fila", F.try_element_at(names, F.col("columna")))
+        return told.otherwise(F.lit("error"))
 
     parts = []
     if static:
@@ -233,6 +255,13 @@ def constraint_findings(
                 F.lit("").alias("detalle"),
             )
         )
+    for names in spec.unique_keys:
+        if set(names) <= set(df.columns):
+            known = df.filter(F.forall(F.array(*[col(n).isNotNull() for n in names]), lambda c: c))
+            repeated = duplicate_keys(known, names).agg(F.count(F.lit(1)).alias("cantidad")).filter(F.col("cantidad") > 0)
+            parts.append(
+                repeated.select(F.lit(", ".join(names)).alias("columna"), F.lit("unica").alias("regla"), "cantidad", F.lit("").alias("detalle"))
+            )
     if not parts:
         return spark.createDataFrame([], FINDING)
     report = parts[0]
@@ -241,6 +270,33 @@ def constraint_findings(
     return report.select("columna", "regla", severity(F.col("regla")).alias("severidad"), "cantidad", "detalle")
 
 
+def bad_values(df: DataFrame, spec: TableSpec, place: Sequence[str], extras: bool = False) -> DataFrame:
+    """(columna, regla, valor, filas, primero): every distinct value that breaks a rule of its column, however many.
+
+    Rules: valores (allowed list), minimo, and with ``extras`` maximo and patron. ``primero`` is the least ``place`` of
+    such a row, its columns joined by spaces. Values are counted with partial sums and nothing is gathered.
+    """
+    entries = []
+    for f in (f for f in spec.fields if f.name in df.columns):
+        c, rules = col(f.name), {}
+        if f.allowed:
+            rules["valores"] = ~c.isin(*f.allowed)
+        if f.minimum is not None and _comparable(df, f.name):
+            rules["minimo"] = c < F.lit(f.minimum)
+        if extras and f.maximum is not None and _comparable(df, f.name):
+            rules["maximo"] = c > F.lit(f.maximum)
+        if extras and f.pattern:
+            rules["patron"] = ~c.cast("string").rlike(f.pattern)
+        for rule, broken in rules.items():
+            one = F.struct(F.lit(f.name).alias("columna"), F.lit(rule).alias("regla"), c.cast("string").alias("valor"))
+            entries.append(F.when(broken, one))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "columna string, regla string, valor string, filas bigint, primero string")
+    where = F.concat_ws(" ", *[col(p).cast("string") for p in place if p in df.columns])
+    found = df.select(where.alias("_place"), F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
+    return found.groupBy("_e.columna", "_e.regla", "_e.valor").agg(F.count(F.lit(1)).alias("filas"), F.min("_place").alias("primero"))
+
+
 def _comparable(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.NumericType)
 

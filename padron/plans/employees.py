@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from padron.functions import calendar, cells
+from padron.functions import calendar, cells, flag_rules
+from padron.functions.flag_rules import DEFAULT, FlagRules
 from padron.operators import quality, rows, shape
 from padron.operators.aggregates import duplicate_keys
 from padron.operators.joins import lookup_join
@@ -23,14 +24,7 @@ KEY, HIRED, ENDED, BORN, MODALITY = (
     "FECHA DE NAC.",
     "Modalidad de Contrato",
 )
-FLAGS = (
-    "cumple_65_esteaño",
-    "cumple_65_proximoaño",
-    "cumple_70_esteaño",
-    "cumple_70_proximoaño",
-    "alerta_contrato_obra",
-    "alerta_contrato_incremento",
-)
+FLAGS = tuple(DEFAULT.columns)
 
 
 def clean(grid: DataFrame, sheet: str | None = None, stop_rule: str = "first_blank_key") -> DataFrame:
@@ -75,17 +69,18 @@ def branches(dated: DataFrame) -> dict[str, Column]:
     return {"bd_empleados_gold": ~intern, "bd_practicantes_gold": intern}
 
 
-def flag_columns(as_of: Column) -> dict[str, Column]:
+def flag_columns(as_of: Column, rules: FlagRules = DEFAULT) -> list[dict[str, Column]]:
+    """The three calculations by document: service text, age flags, contract alerts."""
     years = calendar.service_years(col(HIRED), col(ENDED), as_of)
-    return {
-        "tiempo_servicio_texto": calendar.service_text(col(HIRED), col(ENDED), as_of),
-        **calendar.age_flags(col(BORN), as_of),
-        **calendar.contract_alerts(col(MODALITY), years),
-    }
+    return [
+        {"tiempo_servicio_texto": calendar.service_text(col(HIRED), col(ENDED), as_of)},
+        flag_rules.age_columns(rules, col(BORN), col(MODALITY), as_of),
+        flag_rules.contract_columns(rules, col(MODALITY), years, as_of),
+    ]
 
 
-def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto") -> DataFrame:
-    """Employees with service text, age flags and contract alerts.
+def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto", rules: FlagRules = DEFAULT) -> DataFrame:
+    """Employees with service text and the age flags and contract alerts of the rules.
 
     The result is defined as the table joined three times to its own calculations by document number. With
     unique documents that is a projection (rows without a document get nulls), which needs no shuffle.
@@ -99,21 +94,21 @@ def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto") ->
     if mode == "auto":
         known = employees.filter(col(KEY).isNotNull())
         mode = "projection" if duplicate_keys(known, [KEY]).isEmpty() else "counted"
-    computed = flag_columns(calendar.as_of_date(as_of))
+    parts = flag_columns(calendar.as_of_date(as_of), rules)
     if mode == "projection":
         has_key = col(KEY).isNotNull()
-        return employees.withColumns({name: F.when(has_key, c) for name, c in computed.items()})
-    return _counted_flags(employees, computed)
+        return employees.withColumns({name: F.when(has_key, c) for part in parts for name, c in part.items()})
+    return _counted_flags(employees, parts)
 
 
-def _counted_flags(employees: DataFrame, computed: dict[str, Column]) -> DataFrame:
+def _counted_flags(employees: DataFrame, calculations: list[dict[str, Column]]) -> DataFrame:
     """The three joins with equal calculations of a document merged and counted beforehand.
 
     A document's calculations become one lookup row of three short lists: texts of whole years and months, and
     combinations of flags. The lookup spreads hot documents, and rows without a document, over many tasks.
     """
-    parts = (list(computed)[:1], list(computed)[1:5], list(computed)[5:])
-    known = employees.filter(col(KEY).isNotNull()).withColumns(computed)
+    parts = [list(c) for c in calculations]
+    known = employees.filter(col(KEY).isNotNull()).withColumns({n: c for part in calculations for n, c in part.items()})
     lookup = None
     for i, names in enumerate(parts):
         side = known.groupBy(col(KEY), *[col(n) for n in names]).agg(F.count(F.lit(1)).alias("_times"))
@@ -135,6 +130,7 @@ def run(
     as_of: str | None = None,
     mode: str = "auto",
     contract: SourceContract | None = None,
+    rules: FlagRules = DEFAULT,
 ) -> dict[str, object]:
     """Checked sources, silver, both gold tables, the flags table and its summary, each stored; returns their paths."""
     quality.preflight(grid, contract)
@@ -145,10 +141,10 @@ def run(
     paths |= sinks.write_branches(dated, branches(dated), f"{base}/gold", stamp)
     if "bd_empleados_gold" in paths:
         stored = tables.read(spark, paths["bd_empleados_gold"]["actual"])
-        flagged = flags(stored, as_of, mode)
+        flagged = flags(stored, as_of, mode, rules)
         weight = _weight(flagged)
         paths["flags"] = sinks.write_versioned(
-            flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp, observe=quality.flag_measures(FLAGS, weight)
+            flagged, f"{base}/gold", "bd_empleados_flags_gold", stamp, observe=quality.flag_measures(rules.columns, weight)
         )
         done = tables.read(spark, paths["flags"]["actual"])
         told = quality.observed_flag_summary(done, tables.metrics(spark, paths["flags"]["actual"]), MODALITY, weight)
@@ -161,6 +157,6 @@ def _weight(flagged: DataFrame) -> str | None:
     return "repeticiones" if "repeticiones" in flagged.columns else None
 
 
-def summary(flagged: DataFrame) -> DataFrame:
+def summary(flagged: DataFrame, rules: FlagRules = DEFAULT) -> DataFrame:
     """Counts and shares of the joined form; merged rows count as often as it repeats them."""
-    return quality.flag_summary(flagged, FLAGS, MODALITY, _weight(flagged))
+    return quality.flag_summary(flagged, rules.columns, MODALITY, _weight(flagged))

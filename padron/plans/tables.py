@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from padron.operators.row_rules import RowRule
 from padron.sources.contracts import SheetContract, SourceContract
 from padron.sources.specs import FieldSpec, FilterSpec, TableSpec
 
@@ -9,6 +10,8 @@ from padron.sources.specs import FieldSpec, FilterSpec, TableSpec
 SEXES = ("M", "F")
 LEAVE_KINDS = ("CON_GOCE", "SIN_GOCE")
 PERIOD_PATTERN = r"^\d{4}-\d{2}$"
+# How far net pay may be from income less deductions: one cent, and what floating point adds.
+NET_TOLERANCE = 0.0101
 
 
 def _texts(*names: str, nullable: bool = True) -> list[FieldSpec]:
@@ -81,6 +84,10 @@ PAYROLL = TableSpec(
         *_amounts("SUBS. POR ENFERMEDAD", "SUBS. POR ACCIDENTE"),
     ),
     primary_key=("PERIODO", "DNI/CEX"),
+    row_rules=(
+        RowRule("cese posterior al ingreso", {"compare": ["FECHA CESE", ">", "FECHA DE INGRESO"]}),
+        RowRule("motivo solo con cese", {"if": {"set": "MOTIVO CESE"}, "then": {"set": "FECHA CESE"}}),
+    ),
 )
 
 MINING_PAYROLL = TableSpec(
@@ -112,6 +119,16 @@ MINING_PAYROLL = TableSpec(
         FieldSpec("NETO", "float"),
     ),
     primary_key=("PERIODO", "DNI/CEX"),
+    row_rules=(
+        RowRule(
+            "neto cuadra",
+            {"sum": {"TOTAL INGRESOS": 1, "TOTAL DESCUENTOS": -1}, "equals": "NETO", "tolerance": NET_TOLERANCE},
+            "aviso",
+        ),
+        RowRule("dias trabajados en rango", {"between": ["DIAS TRABAJADOS", 0, 31]}),
+        RowRule("ingreso anterior al periodo", {"compare": ["FECHA DE INGRESO", "<=", {"period_end": "PERIODO"}]}),
+        RowRule("neto no negativo", {"compare": ["NETO", ">=", 0]}, "aviso"),
+    ),
 )
 
 LEAVES = TableSpec(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from padron.functions.calendar import MONTHS
 from padron.operators import quality
-from padron.operators.aggregates import null_profile
 from padron.operators.rows import numbered
 from padron.operators.shape import select_required
 from padron.plans import cost_centres, employees, exams, income, internships, leaves, payroll
@@ -183,15 +182,7 @@ def schema_report(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 3 != 0, F.lit("U")).alias("UNIVERSIDAD"),
         F.lit("x").alias("EXTRA"),
     )
-    lacking = [c for c in INTERNSHIPS.columns if c not in silver.columns]
-    surplus = [c for c in silver.columns if c not in INTERNSHIPS.columns]
-    count = F.count(F.lit(1)).alias("filas")
-    parts = [
-        silver.agg(count).select(F.lit(reason).alias("motivo"), F.lit(c).alias("columna"), "filas")
-        for reason, names in (("missing column", lacking), ("unexpected column", surplus)) for c in names
-    ]
-    nulls = null_profile(silver).filter("nulos > 0").select(F.lit("nulls").alias("motivo"), "columna", F.col("nulos").alias("filas"))
-    return reduce(DataFrame.unionByName, parts).unionByName(nulls)
+    return quality.schema_report(silver, INTERNSHIPS)
 
 
 @query(
@@ -214,6 +205,8 @@ def preflight_report(spark: SparkSession, folder: str) -> DataFrame:
         quality.preflight(grid, contract)
     except quality.QualityError as stopped:
         assert "missing_sheet" in str(stopped) and "missing_columns" in str(stopped)
+    else:
+        raise AssertionError("the contract is broken and the job was not stopped")
     return quality.check_sources(grid, contract).withColumn("contract", F.lit(contract.id))
 
 

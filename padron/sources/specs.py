@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import types as T
 
+from padron.operators.row_rules import RowRule, rule_from_json
+
 SPARK_TYPES = {
     "string": T.StringType(),
     "integer": T.LongType(),
@@ -48,6 +50,9 @@ class TableSpec:
     primary_key: tuple[str, ...] = ()
     filters: tuple[FilterSpec, ...] = ()
     rename: Mapping[str, str] = field(default_factory=dict)
+    #: Further column sets of which no two rows may share all values; a row that lacks one is free.
+    unique_keys: tuple[tuple[str, ...], ...] = ()
+    row_rules: tuple[RowRule, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -107,4 +112,7 @@ def spec_from_json(document: Mapping[str, Any], name: str, sheet: str | None = N
     filters = tuple(
         FilterSpec(f["columna"], f["condicion"], f.get("valor")) for f in document.get("filtros", ())
     )
-    return TableSpec(name, fields, key, filters, dict(document.get("column_mapping", {})))
+    constraints = section.get("constraints", {})
+    unique = tuple((k,) if isinstance(k, str) else tuple(k) for k in constraints.get("unique_keys", ()))
+    rules = tuple(rule_from_json(r) for r in constraints.get("row_rules", ()))
+    return TableSpec(name, fields, key, filters, dict(document.get("column_mapping", {})), unique, rules)
