@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from padron.registry import cells, enrichment, jobs, quality, shaping, sheets
+from padron.registry import cells, enrichment, jobs, quality, runs, shaping, sheets
 from padron.registry.common import Query
 
-REGISTRIES = [m.query for m in (enrichment, shaping, cells, quality, sheets, jobs)]
+REGISTRIES = [m.query for m in (enrichment, shaping, cells, quality, sheets, jobs, runs)]
 
 
 def queries() -> dict[str, Query]:

@@ -114,6 +114,65 @@ def payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
     return grid(rows, 6, header, cells)
 
 
+# ---- payroll with files that cannot be used --------------------------------------------------------
+
+# Months whose file has no header row, and whose file calls the key column otherwise.
+HEADLESS, KEYLESS = "1996-05", "1996-06"
+
+
+def damaged_payroll_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    sheets = payroll_sheets(spark, folder).filter(f"NOT (file LIKE '%{HEADLESS}%' AND row_idx = 6)")
+    renamed = F.transform("cells", lambda c: F.when(F.trim(c) == "DNI/CEX", F.lit("DOCUMENTO")).otherwise(c))
+    return sheets.withColumn("cells", F.when(F.expr(f"file LIKE '%{KEYLESS}%' AND row_idx = 6"), renamed).otherwise(F.col("cells")))
+
+
+# ---- payroll with ends of employment, and mining payroll with its own columns -----------------------------
+
+LEAVER_HEADER = (
+    "N°", "DNI/CEX", "APELLIDO PATERNO", "NOMBRES", "TIPO DE DOCUMENTO", "FECHA DE INGRESO", "FECHA CESE", "MOTIVO CESE",
+)
+
+
+@stored("leavers")
+def leaver_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "orders").selectExpr(
+        "concat('Planilla ', date_format(o_orderdate, 'yyyy-MM'), ' Cese.xlsx') AS file", "'Planilla' AS sheet",
+        "o_orderkey + 7 AS row_idx", "cast(o_orderkey AS string) AS n", "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS ingreso",
+        """date_format(CASE o_orderkey % 4 WHEN 1 THEN date_add(o_orderdate, 30) WHEN 2 THEN date_add(o_orderdate, -1)
+           WHEN 3 THEN cast(o_orderdate AS date) END, 'yyyy-MM-dd HH:mm:ss') AS cese""",
+        "CASE o_orderkey % 3 WHEN 0 THEN 'RENUNCIA' WHEN 1 THEN ' ' END AS motivo",
+    )
+    return grid(rows, 6, LEAVER_HEADER, ["n", "n", "'P'", "'N'", "'DNI'", "ingreso", "cese", "motivo"])
+
+
+MINING_HEADER = (
+    "N°", "CÓDIGO CORPORATIVO", "DNI/CEX", "SEXO", "F. NACIMIENTO", "PUESTO", "SEDE", "ÁREA", "CENTRO DE COSTOS",
+    "DESC. CENTRO DE COSTO", "FECHA DE INGRESO", "DIAS TRABAJADOS", "DIAS DESC MEDICO (P)", "# HRS EXTRAS SIMP.25%",
+    "# HRS EXTRAS SIMP.35%", "HORAS EXTRAS 25%", "HORAS EXTRAS 35%", "#HRS EXTRAS DOBLES", "HORAS EXTRAS 100%",
+    "DESCANSO MEDICO", "TOTAL INGRESOS", "TOTAL DESCUENTOS", "TOTAL APORTACIONES", "NETO",
+)
+
+
+@stored("mining")
+def mining_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "orders").selectExpr(
+        "concat('Mina ', date_format(o_orderdate, 'yyyy-MM'), '.xlsx') AS file", "'Planilla' AS sheet",
+        "o_orderkey + 7 AS row_idx", "cast(o_orderkey AS string) AS n", "o_custkey", "o_orderkey",
+        """date_format(CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN date_add(last_day(o_orderdate), 1)
+           ELSE cast(o_orderdate AS date) END, 'yyyy-MM-dd HH:mm:ss') AS ingreso""",
+        "CASE WHEN o_orderkey % 19 <> 0 THEN cast(o_custkey % 100 AS string) END AS descuentos",
+        """CASE WHEN o_orderkey % 31 = 0 THEN '-5' ELSE cast(cast(o_custkey + 1000 - o_custkey % 100 + CASE
+           WHEN o_orderkey % 29 = 0 THEN 2 WHEN o_orderkey % 5 = 0 THEN 0.01 ELSE 0 END AS decimal(14, 2)) AS string) END AS neto""",
+    )
+    zero = ["'0'"] * 8
+    cells = [
+        "n", "concat('C', o_custkey)", "n", "CASE WHEN o_orderkey % 2 = 0 THEN 'M' ELSE 'F' END", "'1980-01-02 00:00:00'",
+        "'OPERARIO'", "'S1'", "'A1'", "concat('CC', o_custkey % 7)", "'desc'", "ingreso", "cast(o_orderkey % 35 AS string)",
+        *zero, "cast(o_custkey + 1000 AS string)", "descuentos", "cast(o_custkey % 9 AS string)", "neto",
+    ]
+    return grid(rows, 6, MINING_HEADER, cells)
+
+
 # ---- employee master, from orders ------------------------------------------------------------------
 
 MASTER_HEADER = ("NUMERO DE DOC", "NOMBRE", "FECH_INGR.", "Modalidad de Contrato", None, "IGNORADA")

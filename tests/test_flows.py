@@ -4,9 +4,12 @@ from datetime import date
 
 import pytest
 
+from padron.operators import quality
+from padron.operators.aggregates import null_profile
 from padron.operators.quality import QualityError, check_sources
 from padron.plans import cost_centres, employees, exams, income, internships, leaves, payroll
 from padron.plans import tables as t
+from padron.sources import sinks, tables
 from padron.sources.grid import SheetError
 
 
@@ -317,3 +320,38 @@ def test_fixed_contracts_fit_their_sheets(grid_of):
     assert check_sources(_master(grid_of), t.employee_contract("BD")).count() == 0
     rules = {r.rule for r in check_sources(_payroll(grid_of), t.PAYROLL_CONTRACT).collect()}
     assert rules == {"missing_sheet", "missing_columns"}
+
+
+# ---- reports and outputs of whole runs ---------------------------------------------------------
+
+
+def test_reports_from_a_write_equal_those_from_passes(spark, tmp_path):
+    rows = [(None, "a", True, 2), ("x", None, False, 1), ("y", "a", None, 5), ("z", "b", True, 1)]
+    frame = spark.createDataFrame(rows, "`k.k` string, m string, f boolean, n int")
+    kept = frame.filter("m IS NOT NULL")
+    measures = {**quality.null_measures(kept.columns), **quality.flag_measures(["f"], "n")}
+    stored = sinks.write_current(kept, str(tmp_path / "t"), observe=measures)
+    told = tables.metrics(spark, str(tmp_path / "t"))
+
+    def same(a, b):
+        return a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+    assert same(quality.observed_stage(spark, 4, told), quality.stage_report(frame, kept))
+    assert same(quality.observed_nulls(spark, told), null_profile(kept).select("columna", "nulos", "total", "porcentaje"))
+    assert same(quality.observed_flag_summary(stored, told, "m", "n"), quality.flag_summary(kept, ["f"], "m", "n"))
+    empty = sinks.write_current(kept.limit(0), str(tmp_path / "e"), observe=quality.null_measures(kept.columns))
+    assert same(quality.observed_stage(spark, 4, tables.metrics(spark, str(tmp_path / "e"))), quality.stage_report(frame, empty))
+
+
+def test_outputs_keep_names_of_their_own(spark, tmp_path):
+    paths = {"silver": "s", "gold": {"actual": "a", "historico": "h"}, "enriched": {"actual": "b", "historico": "i"}}
+    assert sinks.flat_outputs(paths) == {"silver": "s", "gold.actual": "a", "gold.historico": "h", "enriched.actual": "b", "enriched.historico": "i"}
+    with pytest.raises(FileNotFoundError, match="enriched.actual"):
+        sinks.missing_outputs(spark, {f"{n}": f"{tmp_path}/{p}" for n, p in sinks.flat_outputs(paths).items()})
+
+
+def test_a_payroll_run_reports_every_file_it_left_out(spark, grid_of, tmp_path):
+    broken = spark.createDataFrame([("file:/raw/x.parquet", "ilegible")], "file string, motivo string")
+    paths = payroll.run(_payroll(grid_of), str(tmp_path), unreadable=broken)
+    told = {r["file"]: r["motivo"] for r in tables.read(spark, paths["rechazados"]).collect()}
+    assert told["file:/raw/x.parquet"] == "ilegible" and told["Planilla.xlsx"] == "sin periodo"
