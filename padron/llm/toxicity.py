@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import texts
+from padron.llm.common import portions, texts
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -255,21 +255,25 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     return docs.select(id_col, text_col).mapInArrow(work, f"`{id_col}` {kind}, score double, evidence double, passages array<{passage}>")
 
 
+def _one_by_one(column: pa.Array) -> Iterator[str]:
+    """Texts of a column, null as the empty text; only one is a Python string at a time."""
+    return (t.as_py() or "" for t in column)
+
+
 def held_out(doc_id):
     """Whether a row's label may not be learned from; a row without an id is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-
-
 def keep(docs: DataFrame, model: Model, *, below: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose probability is under ``below``, with all their columns; rows are judged one by one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            clean = [model.probability(scorer(t)[0]) < below for t in texts(batch.column(at))]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for whole in batches:
+            at = whole.schema.get_field_index(text_col)
+            for batch in portions(whole, at):
+                clean = [model.probability(scorer(t)[0]) < below for t in _one_by_one(batch.column(at))]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
