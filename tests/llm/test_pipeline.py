@@ -23,5 +23,5 @@ def test_every_stage_keeps_the_columns_and_takes_effect(spark):
 def test_names():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "line_dedup", "near_dedup", "mixing", "encoding"]
-    assert {n.split("_")[0] for n in queries()} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in queries()} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(oracle_sql()) <= set(queries())
