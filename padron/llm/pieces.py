@@ -21,11 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from padron.llm.common import texts
+from padron.llm.common import portions, texts
 
 MARK = "▁"
 #: New parts after which a task forgets those not met lately. It only saves work: a forgotten part is encoded again.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+#: Characters of texts whose parts are held at once.
+GROUP = 500_000
 _NO_RANK = np.iinfo(np.int64).max
 _PLACE_BITS = 19
 
@@ -325,19 +327,11 @@ def _plain(words: Vocabulary, parts: list[str]) -> str:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[tuple[pa.Array, Vocabulary, list[list[str]]]]:
-    """Groups of rows of a few MB: their ids, the vocabulary that knows all their parts, and the parts of each text."""
-    for batch in batches:
-        own = texts(batch.column(1))
-        at = 0
-        while at < len(own):
-            to, size = at, 0
-            while to < len(own) and size < 4_000_000:
-                size += len(own[to])
-                to += 1
-            parts = [words.split(t) for t in own[at:to]]
-            words.learn(set().union(*parts))
-            yield batch.column(0).slice(at, to - at), words, parts
-            at = to
+    """Groups of rows of half a MB: their ids, the vocabulary that knows all their parts, and the parts of each text."""
+    for batch in (part for whole in batches for part in portions(whole, 1, GROUP)):
+        parts = [words.split(t) for t in texts(batch.column(1))]
+        words.learn(set().union(*parts))
+        yield batch.column(0), words, parts
 
 
 def path_of(name: str = "piece_bpe_32k.model") -> str:
