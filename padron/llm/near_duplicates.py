@@ -6,11 +6,12 @@
    similarity given the agreements so far, it is ``THRESHOLD`` similar with a probability below ``MISS``.
 4. Survivors are verified on their full sets.
 
-A bucket's members are compared with its smallest node first. Members that the links found so far have joined need
-no comparison among themselves, since only components are asked for. Where a bucket still holds several components,
-8, 64, ... of its members, those of the largest components first, are compared with all members of other components,
-until every pair of the bucket across components has been. So no link between components is lost, and a group of
-copies costs a few pairs a member.
+Only components are asked for, so members that links have joined need no comparison among themselves. In a few rounds
+every node meets one leader: the first member of the largest component in any of its buckets that is not its own. That
+joins a group of copies for a pair a member and round. The nodes of buckets that then still hold several components
+have all their remaining pairs compared, of those that a prefix filter leaves: ordered by rarity, the shingles of two
+similar sets agree among the first ``n - ceil(0.8 n) + 1``, and their sizes are alike. The filter loses no pair, so no
+link between components is lost, and a frequent shingle brings nobody together who has rarer ones.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from padron.llm.common import chunks, mix, narrowed, shingle_hashes, stored, text_bytes, word_hashes
@@ -32,7 +33,10 @@ PERCENT = 80
 BANDS, ROWS = 40, 6
 BATCH = 24
 MISS = 1e-6
-LEADERS = 8
+#: Rounds in which every node meets one leader; they save work and change no result.
+ROUNDS = 3
+#: Counters of how common shingles are: 4 MB that every task gets. Shingles that share one count as equally common.
+COUNTERS = 1 << 20
 
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BANDS * ROWS, dtype=np.uint64))
 _TIMES = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -138,39 +142,123 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(texts: DataFrame, nodes: DataFrame, bands: DataFrame, width: int, percent: int) -> DataFrame:
     """``node, component`` of all nodes with a link."""
-    buckets = stored(
-        bands.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).filter("members > 1"), "near-buckets"
-    )
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     shared = stored(bands.join(buckets, "band"), "near-shared")
-    pairs = shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    likely = _likely_pairs(pairs.distinct(), nodes, percent)
-    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
-    groups = _groups(_verified(likely, _sets_of(texts, wanted, width), percent))
-    open_, sets, compared = shared.select("band", "node", "members"), None, 1
-    while True:
-        # Groups only grow, so a bucket that lies in one group needs no look again.
-        named = (
-            open_.filter(F.col("members") > compared).join(groups, "node", "left")
-            .select("band", "node", "members", F.coalesce("component", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size"))
-        )
-        several = named.groupBy("band").agg(F.min("group").alias("_l"), F.max("group").alias("_h")).filter("_l != _h").select("band")
-        open_ = stored(named.join(several, "band"), "near-open")
-        if open_.isEmpty():
-            return groups.select("node", "component")
+    groups, sets, tried = None, None, None
+    for _ in range(ROUNDS):
+        shared = _several(shared, groups)
+        pairs = _one_leader_each(shared, tried)
+        likely = _likely_pairs(pairs, nodes, percent)
         if sets is None:
-            sets = _sets_of(texts, stored(open_.select(F.col("node").alias("id")).distinct(), "near-wanted"), width)
-        compared *= LEADERS
-        # Members of the largest groups lead: each has only those to meet who have not found a group, or another one.
-        order = Window.partitionBy("band").orderBy(F.desc("size"), "node")
-        leads = open_.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= compared)
-        leads = leads.select("band", F.col("node").alias("_a"), F.col("group").alias("_g"))
-        met = open_.join(leads, "band").filter("group != _g")
-        pairs = met.select(F.least("_a", "node").alias("a"), F.greatest("_a", "node").alias("b")).distinct()
-        found = stored(_verified(_likely_pairs(pairs, nodes, percent), sets, percent), "near-edges")
-        open_ = open_.select("band", "node", "members")
+            wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
+            sets = _sets_of(texts, wanted, width)
+        else:
+            missing = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(sets.select("id"), "id", "left_anti")
+            sets = sets.unionAll(_sets_of(texts, stored(missing, "near-wanted"), width))
+        found = stored(_verified(likely, sets, percent), "near-edges")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        if found.isEmpty():
+            break
+        groups = _merged(groups, found)
+    shared = _several(shared, groups)
+    open_ = stored(shared.select("node", "group").distinct(), "near-open")
+    if not open_.isEmpty():
+        missing = open_.select(F.col("node").alias("id")).join(sets.select("id"), "id", "left_anti")
+        sets = sets.unionAll(_sets_of(texts, stored(missing, "near-wanted"), width))
+        mine = stored(sets.join(open_.select(F.col("node").alias("id")), "id", "left_semi"), "near-open-sets")
+        pairs = _prefix_pairs(mine, open_, percent).join(tried, ["a", "b"], "left_anti")
+        found = stored(_verified(_likely_pairs(pairs, nodes, percent), mine, percent), "near-edges")
         if not found.isEmpty():
-            # What is known is carried on as one link per node.
-            groups = _groups(found.unionAll(groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            groups = _merged(groups, found)
+    return nodes.limit(0).select("node", F.col("node").alias("component")) if groups is None else groups.select("node", "component")
+
+
+def _several(shared: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``band, node, group, size`` of the buckets that hold several groups. Groups only grow, so others never do again."""
+    rows = shared.select("band", "node")
+    if groups is None:
+        return rows.select("band", "node", F.col("node").alias("group"), F.lit(1).cast("bigint").alias("size"))
+    named = rows.join(groups, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size")
+    )
+    several = named.groupBy("band").agg(F.min("group").alias("_l"), F.max("group").alias("_h")).filter("_l != _h").select("band")
+    return stored(named.join(several, "band"), "near-several")
+
+
+def _one_leader_each(shared: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """(a, b): every node with one leader of another group, that of the largest group, which it has not met before."""
+    first = F.min(F.struct((-F.col("size")).alias("size"), F.col("node").alias("leader"), F.col("group").alias("of"))).alias("l")
+    leaders = shared.groupBy("band").agg(first).select("band", "l.leader", "l.of", F.col("l.size").alias("rank"))
+    met = shared.join(leaders, "band").filter(F.col("group") != F.col("of"))
+    met = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node", "rank", "leader")
+    if tried is not None:
+        met = met.join(tried, ["a", "b"], "left_anti")
+    best = met.groupBy("node").agg(F.min(F.struct("rank", "leader", "a", "b")).alias("p"))
+    return stored(best.select("p.a", "p.b").distinct(), "near-pairs")
+
+
+def _merged(groups: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The groups with further links; what is known is carried on as one link per node."""
+    if groups is not None:
+        found = found.unionAll(groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return _groups(found)
+
+
+# ---- prefix filter ----------------------------------------------------------------------------------------------
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles, the rarest first, of which two sets that are similar enough share at least one."""
+    return n - -(-percent * n // 100) + 1
+
+
+def _prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different groups whose prefixes share a shingle and whose sizes allow the similarity."""
+    counted = sets.select("shingles").mapInArrow(_counters, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    common = np.zeros(COUNTERS, np.uint32)
+    common[counted.column("place").to_numpy()] = np.minimum(counted.column("n").to_numpy(), np.iinfo(np.uint32).max)
+    shared = sets.sparkSession.sparkContext.broadcast(common)
+    rows = sets.mapInArrow(lambda it: _prefixes(it, shared.value, percent), "id bigint, n bigint, token bigint")
+    rows = rows.join(groups.select(F.col("node").alias("id"), "group"), "id")
+    met = rows.groupBy("token").agg(F.min("group").alias("_l"), F.max("group").alias("_h")).filter("_l != _h").select("token")
+    rows = stored(rows.join(met, "token"), "near-prefixes")
+    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "group")])
+    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "group")])
+    alike = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    pairs = left.join(right, "token").filter((F.col("id_a") < F.col("id_b")) & (F.col("group_a") != F.col("group_b")) & alike)
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+_PLACE = np.uint64(64 - COUNTERS.bit_length() + 1)
+
+
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of all sets of a task fall on each counter."""
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            held = [np.frombuffer(one.as_buffer(), np.uint64) for one in batch.column(0).slice(at, 256)]
+            total += np.bincount((np.concatenate(held) >> _PLACE).astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["place", "n"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Each set's prefix: its rarest shingles, equally common ones by their hash. Those nobody else has are left out."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ids, sizes, tokens = [], [], []
+            for key, one in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                own = np.frombuffer(one.as_buffer(), np.uint64)
+                n = common[(own >> _PLACE).astype(np.int64)]
+                first = np.lexsort((own, n))[: prefix_length(len(own), percent)]
+                own = own[first][n[first] > 1]
+                ids.append(np.full(len(own), key, np.int64))
+                sizes.append(np.full(len(own), len(n), np.int64))
+                tokens.append(own.view(np.int64))
+            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, sizes, tokens)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "n", "token"])
 
 
 def _groups(edges: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def test_components_are_those_of_all_pairs(documents, width):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found} == brute(texts, width)
 
 
-def test_later_leaders_find_what_the_first_one_misses(documents, monkeypatch):
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_the_prefix_filter_finds_what_the_leaders_miss(documents, monkeypatch, rounds):
     # All share a bucket in every band, though many pairs are not similar: every signature is the same.
     texts = corpus(9, groups=6, copies=5)
     docs = documents([(i, t, "s") for i, t in texts.items()])
@@ -74,7 +75,7 @@ def test_later_leaders_find_what_the_first_one_misses(documents, monkeypatch):
             yield b.set_column(4, "signature", same)
 
     monkeypatch.setattr(near, "_signatures", constant)
-    monkeypatch.setattr(near, "LEADERS", 2)
+    monkeypatch.setattr(near, "ROUNDS", rounds)
     found = near.near_duplicates(docs, width=4).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: v[1] for i, v in brute(texts, 4).items()}
 
@@ -90,6 +91,22 @@ def test_nulls_repeated_rows_and_other_columns(documents):
     assert near.near_duplicates(documents([])).collect() == []
 
 
+def test_prefixes_of_similar_sets_meet():
+    rng = random.Random(6)
+    for _ in range(400):
+        n = rng.randint(1, 60)
+        one = set(rng.sample(range(200), n))
+        two = set(one)
+        for _ in range(rng.randint(0, 12)):
+            two.discard(rng.choice(sorted(two)) if len(two) > 1 else None)
+            two.add(rng.randint(0, 400))
+        for percent in (50, 80, 95):
+            if 100 * len(one & two) >= percent * len(one | two):
+                a, b = (set(sorted(x)[: near.prefix_length(len(x), percent)]) for x in (one, two))
+                assert a & b
+                assert 100 * len(one) >= percent * len(two) and 100 * len(two) >= percent * len(one)
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     least = near.least_agreements(240, 80)
     assert len(least) == 10 and all(a < b for a, b in zip(least, least[1:], strict=False))
