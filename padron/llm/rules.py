@@ -1,7 +1,8 @@
 """Quality rules with an isolation forest on their statistics.
 
-Every text gives counts (words, symbols, repeated lines and words). Their ratios are points; an isolation forest cuts
-a bounded sample of them by random splits, and a document whose point is reached after few splits is unusual. The
+Every text gives counts (words, symbols, repeated lines and words). Their ratios are points; each tree of an isolation
+forest cuts its own sub-sample of them by random splits, and a document whose point is reached after few splits is
+unusual. The sub-samples are drawn by a hash from the points of all documents that pass the base rules. The
 score above which a document goes is calibrated on all labelled rows: it is where the share of good rows kept and
 the share of bad rows found, together, are highest.
 """
@@ -20,14 +21,15 @@ from padron.llm.common import SPACE_BYTES, stored, texts
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
-#: Rows the forest is fitted on, rows per tree, trees: the bounds of the model.
-SAMPLE_ROWS = 8192
+#: Rows per tree, and trees: the sub-samples of the method, which no tree shares with another one.
 TREE_ROWS = 256
+#: Shares of repeated lines and words up to this are found in ordinary text; splits there would tell nothing.
+TOLERATED = 0.2
 TREES = 150
 BINS = 2000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_upper",)
+EXTRA = ("n_upper", "n_lines")
 
 
 def statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,15 +56,16 @@ def _counts(text: str) -> tuple[int, ...]:
     n = len(words)
     codes = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     chars = len(text) - int(codes[list(SPACE_BYTES)].sum())
-    lines, seen, dup = raw.split(b"\n"), set(), 0
-    for line in lines:
+    seen, dup, solid = set(), 0, 0
+    for line in raw.split(b"\n"):
         if line and not line.isspace():
+            solid += 1
             dup += line in seen
             seen.add(line)
     number = {w: i for i, w in enumerate(dict.fromkeys(words))}
     return (
         n, chars, int(codes[_SYMBOL_BYTES].sum()), dup, _repeated(np.array([number[w] for w in words], np.int64)),
-        int(codes[65:91].sum()),
+        int(codes[65:91].sum()), solid,
     )
 
 
@@ -86,15 +89,22 @@ def base_failed(n_words, n_repeat_words):
 
 
 def _points(table: dict[str, np.ndarray]) -> np.ndarray:
-    """Mean word length, symbols per word and the share of capitals: what the base rules don't judge themselves."""
+    """Of a text: mean word length and symbols per word as logarithms, the share of capitals among characters, and by
+    how much the shares of repeated lines among lines and of words in repeated windows exceed what is usual."""
     words = np.maximum(table["n_words"], 1).astype(float)
     chars = np.maximum(table["word_chars"], 1).astype(float)
-    length, symbols = table["word_chars"] / words, table["n_symbols"] / words
-    return np.column_stack([np.minimum(length, 40), np.minimum(symbols, 3), table["n_upper"] / chars])
+    lines = np.maximum(table["n_lines"], 1).astype(float)
+    return np.column_stack(
+        [np.log1p(table["word_chars"] / words), np.log1p(table["n_symbols"] / words), table["n_upper"] / chars,
+         np.maximum(table["n_dup_lines"] / lines - TOLERATED, 0), np.maximum(table["n_repeat_words"] / words - TOLERATED, 0)]
+    )
 
 
 class Forest:
-    """Random split trees over points; arrays of nodes, so all points walk a tree together."""
+    """Random split trees over points in the order they were drawn; arrays of nodes, so all points walk a tree together.
+
+    Each tree takes the next ``rows`` points. Where there are too few for all trees, each draws among all of them.
+    """
 
     def __init__(self, points: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -105,7 +115,10 @@ class Forest:
         self.cut = np.full((trees, size), np.inf)
         self.length = np.zeros((trees, size))
         for t in range(trees):
-            own = points[rng.choice(len(points), self.rows, replace=False)] if len(points) else points
+            if len(points) >= trees * self.rows:
+                own = points[t * self.rows : (t + 1) * self.rows]
+            else:
+                own = points[rng.choice(len(points), self.rows, replace=False)] if len(points) else points
             self._grow(t, 0, own, 0, rng)
 
     def _grow(self, t: int, node: int, points: np.ndarray, depth: int, rng: np.random.Generator) -> None:
@@ -150,21 +163,20 @@ def judge(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    sample_rows: int = SAMPLE_ROWS,
     trees: int = TREES,
     tree_rows: int = TREE_ROWS,
 ) -> DataFrame:
     """``doc_id``, the counts, ``base_failed, anomaly, threshold, kept`` of every document.
 
     ``labels`` (doc_id, quality 0/1) calibrates the threshold; without usable labels every document that passes the
-    base rules is kept. The forest is fitted on at most ``sample_rows`` documents, chosen by a hash of the id among
-    those that pass the base rules. A null text counts as empty, so it fails; a null id is kept in the result.
+    base rules is kept. Each of ``trees`` trees is grown on ``tree_rows`` documents of its own, drawn by a hash of id
+    and counts among all that pass the base rules. A null text counts as empty, so it fails; a null id is kept in the result.
     Repeated rows are judged alike. An empty table gives an empty one.
     """
     stats = stored(
         statistics(docs).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))), "rules-counts"
     )
-    forest = Forest(_sample(stats, sample_rows), trees, tree_rows)
+    forest = Forest(_sample(stats, trees * tree_rows), trees, tree_rows)
     scored = _scored(stats, forest)
     threshold = _threshold(scored, labels)
     return scored.withColumn("threshold", F.lit(threshold)).withColumn(
@@ -173,7 +185,7 @@ def judge(
 
 
 def _sample(stats: DataFrame, rows: int) -> np.ndarray:
-    """Points of a bounded sample, the same on every run."""
+    """Points of the rows that hash lowest, in that order: the trees' draws, the same on every run."""
     fit = stats.filter("not base_failed").orderBy(F.xxhash64("doc_id", F.lit("forest")), *COUNTS).limit(rows)
     table = fit.select(*COUNTS, *EXTRA).toPandas()
     return _points({c: table[c].to_numpy() for c in table.columns})

@@ -13,15 +13,17 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import portions, texts
+from padron.llm.common import portions, stored
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -33,8 +35,10 @@ MIN_GAP = 1.5
 MIN_TOXIC = 3
 #: The most labelled rows a model is fitted on: with 16 bytes each, the bound on what their join broadcasts.
 LABELLED = 200_000
-#: The most entries a lexicon has, those of the highest z: the bound on what is sent to every executor.
-LEXICON = 20_000
+#: Folds of the labelled rows, each of which is scored with a lexicon of the others to learn the table.
+FOLDS = 5
+#: A lexicon beyond this is an error: it goes to every task. Each entry stands in three labelled toxic texts at least.
+MAX_LEXICON_BYTES = 64 << 20
 #: What a word outside the lexicon takes from the running score.
 DRIFT = 0.15
 SIGNIFICANT = 0.05
@@ -99,62 +103,89 @@ def segments(places: list[int], values: list[float], drift: float = DRIFT) -> li
     return [(int(a), int(b), high - low) for a, b, low, high in kept]
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, lexicon: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED) -> Model:
     """The model from the labelled rows given; ``labels`` has doc_id and toxic (0/1, anything else is unlabelled).
 
     At most ``labelled`` labelled rows are used, chosen by a hash of the id, so that their ids fit in every task; token
-    counts and the table cover all of those. Without toxic or without clean rows every probability is
-    the share of toxic rows (0 if there are no labels).
+    counts and the table cover all of those. The lexicon comes from all of them. The table that turns evidence into a
+    probability must not be learned from texts the lexicon has seen: the rows are dealt into folds by a hash, and each
+    fold is scored with a lexicon of the others. A document with several labels is toxic if any says so. Without toxic or
+    without clean rows every probability is the share of toxic rows (0 if there are no labels).
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
-    counts = (
-        rows.mapInArrow(_token_counts, "token string, toxic bigint, clean bigint, clean_words bigint")
-        .groupBy("token").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "clean_words")])
-    )
-    # The row of the null token has the totals; a token that no toxic text holds can't enter the lexicon.
-    totals = counts.filter("token is null").first()
-    if totals is None:
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic", fold)
+    measures = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}_{f}") for c in _COUNTED for f in range(FOLDS)]
+    counts = stored(
+        rows.mapInArrow(_token_counts, "token string, fold int, toxic bigint, clean bigint, clean_words bigint").groupBy("token").agg(*measures),
+        "toxicity-counts",
+    )
+    # All folds, and all but one, for each.
+    whole, *parts = _lexicons(counts, [range(FOLDS), *[[f for f in range(FOLDS) if f != left] for left in range(FOLDS)]])
+    if whole is None:
         return Model({}, 1.0)
-    n_toxic, n_clean = float(totals["toxic"]), float(totals["clean"])
-    prior = F.lit(PRIOR_TEXTS) * (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean + 1)
-
-    def log_odds(count, n):
-        return F.log((count + prior) / (F.lit(n + PRIOR_TEXTS) - count - prior))
-
-    gap = log_odds(F.col("toxic"), n_toxic) - log_odds(F.col("clean"), n_clean)
-    z = gap / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    entries = (
-        counts.filter(f"token is not null and toxic >= {MIN_TOXIC}")
-        .select("token", "clean", gap.alias("gap"), z.alias("z")).filter(f"z >= {MIN_Z} and gap >= {MIN_GAP}")
-        .orderBy(F.desc("z"), "token").limit(lexicon).collect()
-    )
-    model = Model({r["token"]: round(r["gap"], 6) for r in entries}, 1.0)
-    model.rate = _rate([(r["gap"], r["clean"]) for r in entries], float(totals["clean_words"]))
-    model.table = _table(rows, model)
-    return model
+    whole.table = _table(rows, [p or whole for p in parts])
+    return whole
+
+
+_COUNTED = ("toxic", "clean", "clean_words")
+
+
+def _lexicons(counts: DataFrame, folds: list[Sequence[int]]) -> list[Model | None]:
+    """A model without its table from each set of folds, all from one pass; None for a set that holds no text."""
+    # The row of the null token has the totals; a token that no toxic text holds can't enter a lexicon.
+    row = counts.filter("token is null").first()
+    if row is None:
+        return [None] * len(folds)
+    totals = [{c: float(sum(row[f"{c}_{f}"] for f in own)) for c in _COUNTED} for own in folds]
+    columns: list[Column] = []
+    for own, total in zip(folds, totals, strict=True):
+        toxic, clean = (sum((F.col(f"{c}_{f}") for f in own), start=F.lit(0)) for c in _COUNTED[:2])
+        prior = F.lit(PRIOR_TEXTS) * (toxic + clean) / (total["toxic"] + total["clean"] + 1)
+
+        def log_odds(count: Column, n: float, prior: Column = prior) -> Column:
+            return F.log((count + prior) / (F.lit(n + PRIOR_TEXTS) - count - prior))
+
+        gap = log_odds(toxic, total["toxic"]) - log_odds(clean, total["clean"])
+        z = gap / F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+        significant = (toxic >= MIN_TOXIC) & (z >= MIN_Z) & (gap >= MIN_GAP)
+        columns.append(F.when(significant, F.struct(gap.alias("gap"), clean.alias("clean"))).alias(f"e{len(columns)}"))
+    enough = reduce(or_, [F.col(c).isNotNull() for c in (f"e{i}" for i in range(len(folds)))])
+    entries = counts.filter("token is not null").select("token", *columns).filter(enough)
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("token") + 64), F.lit(0))).first()[0]
+    if size > MAX_LEXICON_BYTES:
+        raise ValueError(f"a lexicon of {size} bytes; the labels tell apart more than words")
+    found = sorted(entries.collect(), key=lambda r: r["token"])
+    models: list[Model | None] = []
+    for i, total in enumerate(totals):
+        own = [(r["token"], *r[f"e{i}"]) for r in found if r[f"e{i}"] is not None]
+        model = Model({token: round(gap, 6) for token, gap, _ in own}, 1.0)
+        model.rate = _rate([(gap, clean) for _, gap, clean in own], total["clean_words"])
+        models.append(model if total["toxic"] + total["clean"] else None)
+    return models
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Toxic and clean texts that hold each token; a null token carries the totals. Combined per batch."""
-    for batch in batches:
-        found: dict[str | None, list[int]] = {None: [0, 0]}
-        clean_words = 0
-        for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+    """Toxic and clean texts that hold each token, per fold; a null token carries the totals. Combined per batch."""
+    for batch in (part for whole in batches for part in portions(whole, 0)):
+        found: dict[tuple[str | None, int], list[int]] = {(None, f): [0, 0] for f in range(FOLDS)}
+        clean_words = [0] * FOLDS
+        for text, toxic, fold in zip(_one_by_one(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             words = TOKEN.findall(text.lower())
-            clean_words += len(words) * (1 - toxic)
+            clean_words[fold] += len(words) * (1 - toxic)
             held = set(words)
             for k in PREFIXES:
                 held.update([f"{w[:k]}*" for w in held if len(w) > k and w[-1] != "*"])
             for token in (None, *held):
-                found.setdefault(token, [0, 0])[1 - toxic] += 1
+                found.setdefault((token, fold), [0, 0])[1 - toxic] += 1
         rows = list(found.values())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.string()), pa.array([v[0] for v in rows], pa.int64()), pa.array([v[1] for v in rows], pa.int64()),
-             pa.array([clean_words] + [0] * (len(rows) - 1), pa.int64())],
-            names=["token", "toxic", "clean", "clean_words"],
+            [pa.array([t for t, _ in found], pa.string()), pa.array([f for _, f in found], pa.int32()),
+             pa.array([v[0] for v in rows], pa.int64()), pa.array([v[1] for v in rows], pa.int64()),
+             pa.array(clean_words + [0] * (len(rows) - FOLDS), pa.int64())],
+            names=["token", "fold", *_COUNTED],
         )
 
 
@@ -174,15 +205,15 @@ def _rate(entries: list[tuple[float, int]], clean_words: float) -> float:
     return low
 
 
-def _table(rows: DataFrame, model: Model) -> list[float]:
-    """Toxic share by bin of evidence, made to rise by pooling neighbours; from a histogram of all rows."""
+def _table(rows: DataFrame, models: list[Model]) -> list[float]:
+    """Toxic share by bin of evidence, made to rise by pooling neighbours; the rows of each fold have their own model."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _Scorer(model)
-        for batch in batches:
+        score = [_Scorer(m) for m in models]
+        for batch in (part for whole in batches for part in portions(whole, 0)):
             bins = Counter(
-                (min(int(score(t)[0] / BIN), TOP_BIN), y)
-                for t, y in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True)
+                (min(int(score[f](t)[0] / BIN), TOP_BIN), y)
+                for t, y, f in zip(_one_by_one(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             )
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in bins], pa.int32()), pa.array([y for _, y in bins], pa.int32()), pa.array(bins.values(), pa.int64())],
@@ -239,9 +270,9 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         shape = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32()), ("score", pa.float64()), ("p_value", pa.float64())]))
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole, 1)):
             evidence, passages = [], []
-            for t in texts(batch.column(1)):
+            for t in _one_by_one(batch.column(1)):
                 e, found, n = scorer(t)
                 evidence.append(e)
                 judged = [(a, b - 1, s, model.p_value(s, n)) for a, b, s in found]

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from padron.llm import rules
@@ -64,3 +65,30 @@ def test_reruns_agree_and_small_tables(documents, labels):
     assert sorted(map(str, rules.judge(docs, none).collect())) == sorted(map(str, rules.judge(docs.repartition(5), none).collect()))
     assert rules.judge(documents([]), none).collect() == []
     assert [r["kept"] for r in rules.judge(documents([None, (None, "a", "s")]), none).collect()] == [False, False]
+
+
+def test_repeats_count_as_unusual(documents, labels):
+    rng = random.Random(9)
+
+    def page(again):
+        lines = [" ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(9)) for _ in range(20)]
+        return "\n".join([*lines, *([lines[0]] * again)])
+
+    own = [page(0) for _ in range(190)] + [page(12) for _ in range(10)]
+    found = {r["doc_id"]: r for r in rules.judge(documents(own), labels([(i, int(i < 190), 0) for i in range(200)])).collect()}
+    assert not any(found[i]["base_failed"] for i in range(200))
+    assert min(found[i]["anomaly"] for i in range(190, 200)) > np.median([found[i]["anomaly"] for i in range(190)])
+    assert sum(not found[i]["kept"] for i in range(190, 200)) >= 8 and sum(found[i]["kept"] for i in range(190)) >= 150
+
+
+def test_each_tree_has_rows_of_its_own():
+    points = np.arange(40, dtype=float).reshape(-1, 1)
+    forest = rules.Forest(points, trees=4, rows=10)
+    assert all(10 * t <= forest.cut[t, 0] < 10 * t + 10 for t in range(4))
+    small = rules.Forest(points[:7], trees=4, rows=10)
+    assert small.rows == 7 and (small.scores(points[:7]) > 0).all()
+
+
+def test_very_long_texts(documents):
+    long = " ".join(random.Random(1).choices(["ab", "c", "d#"], k=200_000))
+    assert tuple(rules.statistics(documents([long])).first()[c] for c in rules.COUNTS)[:3] == (200_000, len(long) - 199_999, long.count("#"))

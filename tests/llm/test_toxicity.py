@@ -82,3 +82,13 @@ def test_nulls_repeats_and_no_labels(documents, labels):
 
 def test_rising_shares():
     assert tox.rising(np.array([0, 2, 1, 0, 9.0]), np.array([10, 4, 10, 0, 10.0])) == [0.0, 3 / 14, 3 / 14, 3 / 14, 0.9]
+
+
+def test_very_long_texts_and_documents_with_two_labels(documents, labels):
+    rows, known = corpus(300)
+    long = " ".join(random.Random(2).choices([f"w{i}" for i in range(300)], k=150_000))
+    docs = documents([*rows, (9000, long, "s"), (9001, long + " scoundrel rascal vermin", "s")])
+    model = tox.fit(docs, labels([*known, (1, 1, 1), (1, 1, 0)]))
+    assert model.scores == tox.fit(docs, labels([(1, 1, 1), *[k for k in known if k[0] != 1]])).scores
+    found = {r["doc_id"]: r for r in tox.score(docs, model).filter("doc_id >= 9000").collect()}
+    assert found[9000]["passages"] == [] and found[9001]["passages"][0]["first_word"] >= 149_000
