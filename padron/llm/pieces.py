@@ -332,6 +332,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[t
         parts = [words.split(t) for t in texts(batch.column(1))]
         words.learn(set().union(*parts))
         yield batch.column(0), words, parts
+    # The worker may go on to other work; what its next task of this kind needs is learned again.
+    words.known, words.earlier = {}, {}
 
 
 def path_of(name: str = "piece_bpe_32k.model") -> str:

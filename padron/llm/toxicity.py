@@ -44,7 +44,9 @@ DRIFT = 0.15
 SIGNIFICANT = 0.05
 #: Evidence (minus the log of the p-value) is put into bins of this width, up to a highest bin.
 BIN, TOP_BIN = 0.5, 120
-REMEMBERED = 200_000
+REMEMBERED = 50_000
+#: Bytes of texts whose tokens are counted before they are handed on.
+COUNTED_BYTES = 2 << 20
 
 
 @dataclass
@@ -169,7 +171,7 @@ def _lexicons(counts: DataFrame, folds: list[Sequence[int]]) -> list[Model | Non
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Toxic and clean texts that hold each token, per fold; a null token carries the totals. Combined per batch."""
-    for batch in (part for whole in batches for part in portions(whole, 0)):
+    for batch in (part for whole in batches for part in portions(whole, 0, COUNTED_BYTES)):
         found: dict[tuple[str | None, int], list[int]] = {(None, f): [0, 0] for f in range(FOLDS)}
         clean_words = [0] * FOLDS
         for text, toxic, fold in zip(_one_by_one(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
