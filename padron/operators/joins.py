@@ -7,13 +7,15 @@ repeated. Every left row is kept, whatever the path.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padron.session import col
+from padron.session import col, has_shared_folder, shared_folder
 
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -25,17 +27,39 @@ SALT_COLUMNS = 8
 def bounded_copy(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame | None:
-    """The table as a local relation when it is within both bounds, otherwise None.
+    """The table evaluated once, when it is within both bounds, otherwise None.
 
-    Rows and bytes are summed on the cluster first, and rows move only when both fit: nothing that is larger than
-    the bounds meets in one task, however wide its rows are.
+    Nothing that is larger than the bounds meets in one task, however wide its rows are.
     """
     if max_rows <= 0:
         return None
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
-    if rows > max_rows or size > max_bytes:
-        return None
-    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
+    once = evaluated_once(df)
+    return once.rows if once.within(max_rows, max_bytes) else None
+
+
+@dataclass(frozen=True)
+class Evaluated:
+    """A table that has been worked out, with the number of its rows and their size."""
+
+    rows: DataFrame
+    count: int
+    size: int
+
+    def within(self, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+        return self.count <= max_rows and self.size <= max_bytes
+
+
+def evaluated_once(df: DataFrame) -> Evaluated:
+    """The table stored in the shared folder; its rows and bytes are taken up by the write itself.
+
+    Without a shared folder the rows stay a plan, and counting them is a pass of its own.
+    """
+    spark, measures = df.sparkSession, [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("size")]
+    if not has_shared_folder(spark):
+        return Evaluated(df, *df.agg(*measures).first())
+    path, seen = shared_folder(spark, "lookup"), Observation(f"lookup-{uuid.uuid4().hex}")
+    df.observe(seen, *measures).write.parquet(path)
+    return Evaluated(spark.read.schema(df.schema).parquet(path), seen.get["n"], seen.get["size"])
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -82,9 +106,11 @@ def lookup_join(
     output = [col(c) for c in [*left.columns, *values]]
     lookup = lookup.filter(_all_known(on))
 
-    small = bounded_copy(lookup, max_rows) if check_size else None
-    if small is not None:
-        return left.join(F.broadcast(small), on, "left").select(*output)
+    if check_size and max_rows > 0:
+        once = evaluated_once(lookup)
+        lookup = once.rows
+        if once.within(max_rows):
+            return left.join(F.broadcast(lookup), on, "left").select(*output)
     if not spread_hot_keys:
         return left.join(lookup, on, "left").select(*output)
 

@@ -35,16 +35,23 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     The folder is named by ``spark.checkpoint.dir``, or by ``spark.padron.shared_folder`` where that is unset.
     Without either there is no safe place for intermediate tables, so this raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    base = _shared_base(spark)
     if not base:
         raise RuntimeError(f"set spark.checkpoint.dir or {SHARED} to a folder that all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def has_shared_folder(spark: SparkSession) -> bool:
+    return bool(_shared_base(spark))
+
+
+def _shared_base(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+
+
 def use_local_folder(spark: SparkSession) -> SparkSession:
     """Names a temporary shared folder for a session in one JVM that has none, as in tests and local runs."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
-    if not named and re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not _shared_base(spark) and re.match(r"local(\[|$)", spark.sparkContext.master):
         spark.conf.set(SHARED, f"file://{tempfile.mkdtemp(prefix='padron-')}")
     return spark
 

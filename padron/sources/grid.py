@@ -221,13 +221,17 @@ def promote_header(
     rows; with ``require_header`` one that has rows is an error that names it.
     """
     layout = header_layout(grid, rule)
+    if require_header:
+        last = grid.groupBy("file", "sheet").agg(F.max("row_idx").alias("_last"))
+        layout = last.join(layout, ["file", "sheet"], "left")
     small = bounded_copy(layout)
     layout = layout if small is None else small
     if require_header:
-        headed = layout.filter(F.exists("names", lambda n: n.isNotNull())).select("file", "sheet")
-        below = grid.filter(F.col("row_idx") > rule.row).select("file", "sheet").distinct()
-        headless = below.join(headed, ["file", "sheet"], "left_anti")
-        _raise_for(headless.withColumn("column", F.lit(f"row {rule.row}")), "no header")
+        named = F.exists("names", lambda n: n.isNotNull())
+        headless = layout.filter((F.col("_last") > rule.row) & ~F.coalesce(named, F.lit(False)))
+        _raise_for(headless.select("file", "sheet", F.lit(f"row {rule.row}").alias("column")), "no header")
+        layout = layout.filter("names IS NOT NULL").drop("_last")
+        small = None if small is None else layout
     if targets is not None:
         _raise_for(missing_headers(layout, targets), "missing headers")
     if key is not None:
