@@ -9,8 +9,8 @@
 Only components are asked for, so members that links have joined need no comparison among themselves. In a few rounds
 every node meets one leader: the first member of the largest component in any of its buckets that is not its own. That
 joins a group of copies for a pair a member and round. The nodes of buckets that then still hold several components
-have all their remaining pairs compared, of those that a prefix filter leaves: ordered by rarity, the shingles of two
-similar sets agree among the first ``n - ceil(0.8 n) + 1``, and their sizes are alike. The filter loses no pair, so no
+have all their remaining pairs compared, of those that a prefix filter leaves: in one order for all, the shingles of
+two similar sets meet among the first ``n - ceil(0.8 n) + 1``, with enough of both sets behind. No pair is lost, so no
 link between components is lost, and a frequent shingle brings nobody together who has rarer ones.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from padron.llm.common import chunks, mix, narrowed, shingle_hashes, stored, text_bytes, word_hashes
@@ -35,8 +35,6 @@ BATCH = 24
 MISS = 1e-6
 #: Rounds in which every node meets one leader; they save work and change no result.
 ROUNDS = 3
-#: Counters of how common shingles are: 4 MB that every task gets. Shingles that share one count as equally common.
-COUNTERS = 1 << 20
 
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BANDS * ROWS, dtype=np.uint64))
 _TIMES = (_SEEDS[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -208,57 +206,43 @@ def _merged(groups: DataFrame | None, found: DataFrame) -> DataFrame:
 
 
 def prefix_length(n: int, percent: int) -> int:
-    """Shingles, the rarest first, of which two sets that are similar enough share at least one."""
+    """Shingles, in one order for all sets, of which two sets that are similar enough share at least one."""
     return n - -(-percent * n // 100) + 1
 
 
 def _prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different groups whose prefixes share a shingle and whose sizes allow the similarity."""
-    counted = sets.select("shingles").mapInArrow(_counters, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    common = np.zeros(COUNTERS, np.uint32)
-    common[counted.column("place").to_numpy()] = np.minimum(counted.column("n").to_numpy(), np.iinfo(np.uint32).max)
-    shared = sets.sparkSession.sparkContext.broadcast(common)
-    rows = sets.mapInArrow(lambda it: _prefixes(it, shared.value, percent), "id bigint, n bigint, token bigint")
-    rows = rows.join(groups.select(F.col("node").alias("id"), "group"), "id")
-    met = rows.groupBy("token").agg(F.min("group").alias("_l"), F.max("group").alias("_h")).filter("_l != _h").select("token")
-    rows = stored(rows.join(met, "token"), "near-prefixes")
-    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "group")])
-    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "group")])
-    alike = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    pairs = left.join(right, "token").filter((F.col("id_a") < F.col("id_b")) & (F.col("group_a") != F.col("group_b")) & alike)
-    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-
-
-_PLACE = np.uint64(64 - COUNTERS.bit_length() + 1)
-
+    """(a, b) of different groups whose prefixes share a shingle from which on both have enough to be similar.
 
-def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles of all sets of a task fall on each counter."""
-    total = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            held = [np.frombuffer(one.as_buffer(), np.uint64) for one in batch.column(0).slice(at, 256)]
-            total += np.bincount((np.concatenate(held) >> _PLACE).astype(np.int64), minlength=COUNTERS)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["place", "n"])
+    The order has those shingles first that only one group has, since they bring no groups together, then the others
+    by the number of their nodes. So a node whose own shingles fill its prefix meets nobody.
+    """
+    tokens = sets.mapInArrow(_tokens, "id bigint, n bigint, token bigint").join(groups.select(F.col("node").alias("id"), "group"), "id")
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("group").alias("_l"), F.max("group").alias("_h"))
+    across = tokens.join(counted.filter("_l != _h").select("token", "df"), "token")
+    mine = Window.partitionBy("id")
+    ranked = across.withColumn("_m", F.count(F.lit(1)).over(mine)).withColumn("_r", F.row_number().over(mine.orderBy("df", "token")))
+    length = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    # Shingles of the set that are ahead of this one, and those from here on.
+    rest = (F.col("_m") - F.col("_r") + 1).alias("rest")
+    within = F.col("_r") <= length - (F.col("n") - F.col("_m"))
+    rows = stored(ranked.filter(within).select("token", "id", "n", "group", rest), "near-prefixes")
+    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "group", "rest")])
+    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "group", "rest")])
+    # All that two similar sets have in common is behind the first shingle they share; at least so much must be left.
+    enough = F.least("rest_a", "rest_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    pairs = left.join(right, "token").filter((F.col("id_a") < F.col("id_b")) & (F.col("group_a") != F.col("group_b")) & enough)
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    """Each set's prefix: its rarest shingles, equally common ones by their hash. Those nobody else has are left out."""
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All shingles of each set, with the number of them."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            ids, sizes, tokens = [], [], []
-            for key, one in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                own = np.frombuffer(one.as_buffer(), np.uint64)
-                n = common[(own >> _PLACE).astype(np.int64)]
-                first = np.lexsort((own, n))[: prefix_length(len(own), percent)]
-                own = own[first][n[first] > 1]
-                ids.append(np.full(len(own), key, np.int64))
-                sizes.append(np.full(len(own), len(n), np.int64))
-                tokens.append(own.view(np.int64))
-            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, sizes, tokens)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "n", "token"])
+            held = [np.frombuffer(one.as_buffer(), np.int64) for one in part.column(1)]
+            size = np.array([len(x) for x in held])
+            columns = [np.repeat(part.column(0).to_numpy(), size), np.repeat(size, size), np.concatenate(held)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "n", "token"])
 
 
 def _groups(edges: DataFrame) -> DataFrame:
