@@ -1,14 +1,18 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and thresholds on perplexity.
 
 Tokens are words and runs of punctuation. The vocabulary is the ``VOCABULARY`` most frequent tokens of the trusted
-training text; any other token is one of a few classes by its shape. The bigram model's probabilities split into
+training text; any other token is one of a few classes by its shape, whose probability it shares with all other words
+there are: it is spelled out by a model of the bytes of the training text's tokens. The bigram model's probabilities
+split into
 
     log P(w | v) = log gamma(v) + log P1(w) + bonus(v, w),        bonus = 0 for bigrams that training didn't see,
 
-so the score of a text is a sum of look-ups. What belongs to one token is bounded by the vocabulary and goes to
+so the score of a text is a sum of look-ups, and of the spellings. What belongs to one token is bounded by the vocabulary and goes to
 every task, and so do the bonuses of the ``FREQUENT`` most frequent bigrams, which would crowd single shards. All
 other bigrams are joined by shards of a hash: texts send theirs, packed per batch as sorted keys and text numbers,
-and the model its bonuses; a shard adds up the matches per text, and the sums of all shards meet per batch.
+and the model its bonuses; a shard adds up the matches per text, and the sums of all shards meet per batch. The texts
+of a shard are dealt over salts by their batch, with the model's part of the shard repeated, so that no shard grows with
+the corpus.
 
 Counts cover all trusted rows outside one fifth, which is held out to set the thresholds: the quantile of its
 perplexities in each language, shrunk towards that of all languages, the less the more texts a language has.
@@ -21,7 +25,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,8 @@ LONGEST_TOKEN = 64
 #: Bigrams of the model in a shard.
 SHARD = 500_000
 LEAST_SHARDS = 24
+#: Texts whose bigrams of one shard meet in one task. Of a text, about a thousand bigrams are dealt over all shards.
+TEXTS_A_SALT = 1_000_000
 QUANTILE = 0.99
 #: A language with so many held-out trusted texts has a threshold halfway between its own quantile and that of all.
 LEAST_TEXTS = 40
@@ -60,22 +66,47 @@ def _shape(token: str) -> int:
     return 5 if any(c.isdigit() or c.isupper() for c in token) else 7
 
 
+_START = _END = 256
+#: Added to the count of every pair of bytes.
+_SMOOTHING = 0.05
+
+
+def _spelled(token: str) -> np.ndarray:
+    """The bytes of a token between a start and an end."""
+    return np.array([_START, *token.encode("utf-8", "surrogatepass"), _END])
+
+
+def spelling(counts: np.ndarray) -> np.ndarray:
+    """Log-probability of each byte (or the end) after each byte (or the start), from counts of types of tokens."""
+    counts = counts + _SMOOTHING
+    return np.log(counts / counts.sum(axis=1, keepdims=True))
+
+
 class Ids:
-    """Token ids: shapes first, then the vocabulary. Remembers the shapes of tokens met lately."""
+    """Token ids: shapes first, then the vocabulary. Remembers the shapes and spellings of tokens met lately."""
 
-    def __init__(self, vocabulary: list[str]):
+    def __init__(self, vocabulary: list[str], letters: np.ndarray | None = None):
         self.base = {t: i + len(SHAPES) for i, t in enumerate(vocabulary)}
-        self.known = dict(self.base)
+        self.letters = letters
+        self.known, self.cost = dict(self.base), dict.fromkeys(self.base, 0.0)
 
     def of(self, text: str) -> np.ndarray:
         """Ids of a text with the start in front."""
+        return self.read(text)[0]
+
+    def read(self, text: str) -> tuple[np.ndarray, float]:
+        """Ids of a text with the start in front, and the log-probability of how its unknown tokens are spelled."""
         tokens = TOKEN.findall(text)
-        known = self.known
+        known, cost = self.known, self.cost
         if len(known) > 400_000:
-            known = self.known = dict(self.base)
+            known, cost = self.known, self.cost = dict(self.base), dict.fromkeys(self.base, 0.0)
         for t in set(tokens).difference(known):
             known[t] = _shape(t)
-        return np.fromiter((0, *(known[t] for t in tokens)), np.int64, len(tokens) + 1)
+            if self.letters is not None:
+                own = _spelled(t)
+                cost[t] = float(self.letters[own[:-1], own[1:]].sum())
+        ids = np.fromiter((0, *(known[t] for t in tokens)), np.int64, len(tokens) + 1)
+        return ids, math.fsum([cost[t] for t in tokens]) if self.letters is not None else 0.0
 
 
 @dataclass
@@ -89,6 +120,7 @@ class Model:
     frequent_bonus: np.ndarray
     bonuses: DataFrame | None
     bigrams: int
+    letters: np.ndarray | None = None  # log-probabilities of spellings, by byte and next byte
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
@@ -100,8 +132,17 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, *, vocabulary: int = VOCABULARY, frequent: int = FREQUENT) -> Model:
-    """A model of all texts of ``docs``; null and empty texts add nothing. An empty table gives a uniform model."""
+    """A model of all texts of ``docs``; null and empty texts add nothing. An empty table gives a uniform model.
+
+    ``vocabulary`` bounds the tokens that are words of the model; all others are spelled out.
+    """
     counted = docs.select("text").mapInArrow(_count_tokens, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "perplexity-tokens")
+    pairs = counted.select("token").mapInArrow(_count_bytes, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    table = np.zeros((_END + 1, _END + 1))
+    for r in pairs.collect():  # at most one row a pair of bytes
+        table[r["a"], r["b"]] = r["n"]
+    letters = spelling(table)
     words = [r["token"] for r in counted.filter("n > 1").orderBy(F.desc("n"), "token").limit(vocabulary).select("token").collect()]
     size = len(words) + len(SHAPES)
     bigrams = stored(
@@ -127,7 +168,7 @@ def train(docs: DataFrame, *, vocabulary: int = VOCABULARY, frequent: int = FREQ
     rest = share.sum() / everything if before.sum() else 1.0
     unigram = np.maximum(before - share, 0) / everything + rest / size
     if not len(v):
-        return Model(words, np.log(unigram), np.log(gamma), np.zeros(0, np.int64), np.zeros(0), None, 0)
+        return Model(words, np.log(unigram), np.log(gamma), np.zeros(0, np.int64), np.zeros(0), None, 0, letters)
 
     def bonuses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +180,7 @@ def train(docs: DataFrame, *, vocabulary: int = VOCABULARY, frequent: int = FREQ
     table = bigrams.mapInArrow(bonuses, "key bigint, n bigint, bonus double")
     top = table.orderBy(F.desc("n"), "key").limit(frequent).toPandas().sort_values("key")
     count = bigrams.count()
-    return Model(words, np.log(unigram), np.log(gamma), top["key"].to_numpy(np.int64), top["bonus"].to_numpy(float), table.select("key", "bonus"), count)
+    return Model(words, np.log(unigram), np.log(gamma), top["key"].to_numpy(np.int64), top["bonus"].to_numpy(float), table.select("key", "bonus"), count, letters)
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +192,18 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(short.keys(), pa.string()), pa.array(short.values(), pa.int64())], names=["token", "n"])
 
 
+def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbouring bytes in all tokens of a task."""
+    total = np.zeros((_END + 1) ** 2, np.int64)
+    for batch in batches:
+        for t in texts(batch.column(0)):
+            own = _spelled(t)
+            np.add.at(total, own[:-1] * (_END + 1) + own[1:], 1)
+    at = np.flatnonzero(total)
+    columns = [pa.array((at // (_END + 1)).astype(np.int32)), pa.array((at % (_END + 1)).astype(np.int32)), pa.array(total[at])]
+    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+
+
 def _count_bigrams(batches: Iterator[pa.RecordBatch], words: list[str]) -> Iterator[pa.RecordBatch]:
     ids = Ids(words)
     for batch in batches:
@@ -162,7 +215,7 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch], words: list[str]) -> Itera
 
 # ---- scoring ------------------------------------------------------------------------------------------------------
 
-_PACKED = "shard int, kind int, batch bigint, body binary, extra binary"
+_PACKED = "shard int, salt int, kind int, batch bigint, body binary, extra binary"
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -171,11 +224,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows are scored alike, null ids and languages stay, and other columns are not read.
     """
     shards = max(LEAST_SHARDS, math.ceil(model.bigrams / SHARD))
-    bounded = Model(model.vocabulary, model.unigram, model.backoff, model.frequent, model.frequent_bonus, None, model.bigrams)
-    packed = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").mapInArrow(lambda it: _pack_texts(it, bounded, shards), _PACKED)
+    salts = max(1, math.ceil(docs.count() / shards * LEAST_SHARDS / TEXTS_A_SALT))
+    bounded = replace(model, bonuses=None)
+    packed = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").mapInArrow(lambda it: _pack_texts(it, bounded, shards, salts), _PACKED)
     if model.bonuses is not None:
-        packed = packed.unionAll(model.bonuses.mapInArrow(lambda it: _pack_model(it, bounded, shards), _PACKED))
-    dealt = packed.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+        of_model = model.bonuses.mapInArrow(lambda it: _pack_model(it, bounded, shards), _PACKED)
+        packed = packed.unionAll(of_model.drop("salt").select("*", every).select(packed.columns))
+    dealt = packed.repartition(shards * salts, "shard", "salt").sortWithinPartitions("shard", "salt", "kind").drop("salt")
     sums = dealt.mapInArrow(_matched, "batch bigint, body binary, extra binary")
     scored = sums.groupBy("batch").applyInArrow(_added, "doc_id bigint, lang string, n_tokens bigint, log_prob double")
     ratio = F.exp(-F.col("log_prob") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")))
@@ -200,30 +256,31 @@ def _widened(body: bytes, kinds: tuple) -> list[np.ndarray]:
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    kinds = [("shard", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()), ("body", pa.binary()), ("extra", pa.binary())]
+    kinds = [("shard", pa.int32()), ("salt", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()), ("body", pa.binary()), ("extra", pa.binary())]
     columns = list(zip(*out, strict=True)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
 
 
-def _pack_texts(batches: Iterator[pa.RecordBatch], model: Model, shards: int) -> Iterator[pa.RecordBatch]:
+def _pack_texts(batches: Iterator[pa.RecordBatch], model: Model, shards: int, salts: int) -> Iterator[pa.RecordBatch]:
     """Per batch: a header with what the task can score itself, and per shard the other bigrams by text number.
 
     The batch's number comes from the partition and its place in it, so a task that runs again gives the same.
     """
-    ids, number = Ids(model.vocabulary), TaskContext.get().partitionId() << 32
+    ids, number = Ids(model.vocabulary, model.letters), TaskContext.get().partitionId() << 32
     for batch in batches:
         for part in range(0, batch.num_rows, 4096):
             own = batch.slice(part, 4096)
             number += 1
-            yield _rows(_packed(own, model, ids, shards, number))
+            salt = int(mix(np.array([number], np.uint64))[0] % np.uint64(salts))
+            yield _rows([(r[0], salt, *r[1:]) for r in _packed(own, model, ids, shards, number)])
 
 
 def _packed(batch: pa.RecordBatch, model: Model, ids: Ids, shards: int, number: int) -> list[tuple]:
     base, size, keys, rows = [], [], [], []
     for i, t in enumerate(texts(batch.column(2))):
-        x = ids.of(t)
+        x, spelled = ids.read(t)
         size.append(len(x) - 1)
-        base.append(float(model.unigram[x[1:]].sum() + model.backoff[x[:-1]].sum()))
+        base.append(float(model.unigram[x[1:]].sum() + model.backoff[x[:-1]].sum()) + spelled)
         keys.append((x[:-1] << _SHIFT) | x[1:])
         rows.append(np.full(len(x) - 1, i, np.int64))
     key, row = np.concatenate(keys), np.concatenate(rows)
@@ -267,7 +324,7 @@ def _pack_model(batches: Iterator[pa.RecordBatch], model: Model, shards: int) ->
         shard = _shard(key, shards)
         order = np.lexsort((key, shard))
         key, bonus, shard = key[order], bonus[order], shard[order]
-        yield _rows([(s, 0, 0, _squeezed(np.diff(key[a:b], prepend=0), bonus[a:b]), None) for s, a, b in _runs(shard)])
+        yield _rows([(s, 0, 0, 0, _squeezed(np.diff(key[a:b], prepend=0), bonus[a:b]), None) for s, a, b in _runs(shard)])
 
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

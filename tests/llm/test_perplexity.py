@@ -70,6 +70,8 @@ def test_same_as_a_plain_model(spark, documents, monkeypatch, frequent):
     assert all(math.isclose(x, 1, rel_tol=1e-9) for x in sums.values())
     rows = {r["doc_id"]: r for r in model.score(documents(tests).repartition(3), fitted).collect()}
     assert len(rows) == len(tests)
+    ids = model.Ids(fitted.vocabulary, fitted.letters)
+    want = [x + ids.read(t or "")[1] for x, t in zip(want, tests, strict=True)]
     for i, x in enumerate(want):
         assert math.isclose(rows[i]["log_prob"], x, rel_tol=1e-5, abs_tol=1e-5)
         assert (rows[i]["perplexity"] is None) == (rows[i]["n_tokens"] == 0)
@@ -114,3 +116,40 @@ def test_languages_with_few_texts_have_thresholds_of_their_own_too(documents, la
 def test_without_trusted_rows_and_empty(documents, labels):
     assert [r["kept"] for r in sorted(model.classify(documents(["a b", ""]), labels([])).collect())] == [True, False]
     assert model.classify(documents([]), labels([])).collect() == []
+
+
+def test_spellings_are_a_distribution_and_unknown_words_pay_for_theirs():
+    counts = model.np.zeros((257, 257))
+    for t in ("the", "then", "hen", "é"):
+        own = model._spelled(t)
+        model.np.add.at(counts, (own[:-1], own[1:]), 1)
+    letters = model.spelling(counts)
+    assert model.np.allclose(model.np.exp(letters).sum(axis=1), 1)
+    ids = model.Ids(["the"], letters)
+    known, spelled = ids.read("the then zzq the")
+    assert known.tolist()[1] == known.tolist()[4] and known.tolist()[2] == known.tolist()[3] == 1
+    costs = [sum(letters[a, b] for a, b in zip(x, x[1:], strict=False)) for x in (model._spelled("then"), model._spelled("zzq"))]
+    assert math.isclose(spelled, sum(costs)) and costs[1] < costs[0] - 5
+
+
+@pytest.mark.parametrize("salted", [1, 7])
+def test_random_letters_go(documents, labels, monkeypatch, salted):
+    monkeypatch.setattr(model, "TEXTS_A_SALT", 400_000 if salted == 1 else 1500)
+    monkeypatch.setattr(model, "LEAST_SHARDS", 4)
+    rng = random.Random(3)
+    parts = ["an", "the", "ing", "er", "tion", "wh", "ou", "ly"]
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(3000)]
+    good = [" ".join(rng.choices(words, k=120)) for _ in range(360)]
+    junk = [" ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(3, 9))) for _ in range(200)) for _ in range(40)]
+    docs = documents([*good, *junk])
+    found = {r["doc_id"]: r["kept"] for r in model.classify(docs, labels([(i, 1, 0) for i in range(300)])).collect()}
+    assert not any(found[i] for i in range(360, 400))
+    assert sum(found[i] for i in range(360)) >= 0.95 * 360
+
+
+def test_very_long_texts(documents, labels):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in ("an", "the", "ing") for b in ("er", "ou", "ly")]
+    docs = documents([" ".join(rng.choices(words, k=60)) for _ in range(80)] + [" ".join(rng.choices(words, k=200_000)), "q" * 100_000])
+    found = {r["doc_id"]: r for r in model.classify(docs, labels([(i, 1, 0) for i in range(80)])).collect()}
+    assert found[80]["n_tokens"] == 200_000 and found[80]["kept"] and not found[81]["kept"]
