@@ -3,12 +3,19 @@
 A rolling hash over the hashes of two neighbouring lines ends a chunk wherever it is divisible by ``DIVISOR``, so an
 inserted or dropped line moves only the boundaries beside it. Chunks of two or more lines that are not blank are
 counted over all documents by hash, without their text; of each repeated chunk the first occurrence stays, by
-document id and place. Before anything is removed, the texts of all occurrences of a repeated hash are compared
-byte by byte; should two texts share a hash, each is deduplicated by itself.
+document id and place. A repeated block seldom begins and ends with a chunk, and a short one may hold none, so the
+smallest pieces of a block, two lines that follow each other with only blank lines between, are counted in the same way:
+they carry a removal from a chunk to the ends of its block. Before anything is removed, the texts of all occurrences of
+a repeated hash are compared byte by byte; should two texts share a hash, each is deduplicated by itself.
+
+So a line goes exactly if it lies in two neighbouring lines that an earlier place has, and the first place that has a
+line keeps it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +28,7 @@ SOLID = r"[^\x20\x09-\x0D]"
 
 
 def line_dedup(docs: DataFrame, *, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """The documents with ``text`` without repeated chunks, and ``n_lines, n_removed`` (lines before, lines removed).
+    """The documents with ``text`` without repeated blocks of lines, and ``n_lines, n_removed`` (lines before, lines removed).
 
     Lines end at line feeds. No document is dropped: one whose chunks are all repeats keeps the empty text. A null
     text stays null (no lines); a document with a null id stays as it is and counts nowhere. Rows that share an id
@@ -44,26 +51,41 @@ def line_dedup(docs: DataFrame, *, divisor: int = DIVISOR, min_lines: int = MIN_
     marked = stored(docs.join(marks, "doc_id", "left").select(*kept, "_marks"), "lines-marked")
 
     lines = F.split("text", BREAK, -1)
-    texts = marked.filter("_marks is not null").select("doc_id", lines.alias("lines"), F.explode("_marks").alias("m"))
-    texts = texts.select("doc_id", "m.start", "m.hash", _joined(F.col("lines"), F.col("m.start"), F.col("m.stop")).alias("chunk"))
+    # Only the chunks' own text goes on from here, not the document beside each of them.
+    own = _bound(
+        F.struct(lines.alias("lines"), F.col("_marks").alias("marks")),
+        lambda r: F.transform(
+            r["marks"],
+            lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["hash"].alias("hash"), _joined(r["lines"], m["start"], m["stop"]).alias("chunk")),
+        ),
+    )
+    texts = marked.filter("_marks is not null").select("doc_id", F.inline(own))
     unlike = texts.groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most")).filter("least != most")
     unlike = stored(unlike.select("hash"), "lines-unlike")
     cut = F.filter("_marks", lambda m: ~m["first"])
     if not unlike.isEmpty():
-        same_text = texts.join(unlike, "hash").groupBy("hash", "chunk").agg(F.min(place).alias("first"))
-        stays = same_text.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set("first.start").alias("_stay"))
+        same_text = texts.join(unlike, "hash").groupBy("hash", "chunk").agg(F.min(F.struct("doc_id", "start", "stop")).alias("first"))
+        stays = same_text.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_set(F.struct("first.start", "first.stop")).alias("_stay"))
         marked = marked.join(stays, "doc_id", "left")
-        cut = F.filter("_marks", lambda m: ~m["first"] & ~F.coalesce(F.array_contains("_stay", m["start"]), F.lit(False)))
+        cut = F.filter("_marks", lambda m: ~m["first"] & ~F.coalesce(F.array_contains("_stay", F.struct(m["start"], m["stop"])), F.lit(False)))
     n = F.coalesce(F.size(lines), F.lit(0))
-    gone = F.flatten(F.transform(cut, lambda m: F.sequence(m["start"], m["stop"])))
+    gone = F.array_distinct(F.flatten(F.transform(cut, lambda m: F.sequence(m["start"], m["stop"]))))
     rest = F.array_except(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), gone)
-    text = F.array_join(F.transform(rest, lambda i: F.element_at(lines, i)), BREAK)
+    text = _bound(
+        F.struct(lines.alias("lines"), rest.alias("rest")),
+        lambda r: F.array(F.array_join(F.transform(r["rest"], lambda i: F.element_at(r["lines"], i)), BREAK)),
+    )[0]
     removed = F.coalesce(F.size(gone), F.lit(0))
     final = F.when(removed > 0, text).otherwise(F.col("text"))
     columns = [final.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept]
     return marked.select(*columns, n.cast("bigint").alias("n_lines"), removed.cast("bigint").alias("n_removed"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """The list that ``use`` makes of a value, which is worked out once and not for each element it is used for."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
 def _chunks(text: Column, divisor: int, min_lines: int) -> Column:
     """Chunks that may be removed, as (start, stop, hash) with lines counted from 1; null for a null text."""
     lines = F.split(text, BREAK, -1)
@@ -78,21 +100,35 @@ def _chunks(text: Column, divisor: int, min_lines: int) -> Column:
             return (i == n) | (F.pmod(before * 31 + F.element_at(hashes, i), F.lit(divisor)) == 0)
 
         stops = F.filter(F.sequence(F.lit(1), n), ends)
-        return F.transform(F.array(stops), lambda stops: _spans(lines, stops, min_lines))
+        solid = F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at(lines, i).rlike(SOLID))
+        bound = F.struct(stops.alias("stops"), solid.alias("solid"))
+        return _bound(bound, lambda b: F.concat(_spans(lines, b["stops"], min_lines), _pairs(lines, b["solid"])))
 
-    # One-element arrays bind a value once for the expressions inside, so that it isn't worked out anew for each.
-    return F.flatten(F.flatten(F.transform(F.array(row), of)))
+    return _bound(row, of)
 
 
 def _spans(lines: Column, stops: Column, min_lines: int) -> Column:
+    """Chunks without the blank lines at their ends."""
+
     def span(stop: Column, j: Column) -> Column:
         start = F.when(j > 0, F.element_at(stops, F.greatest(j, F.lit(1))) + 1).otherwise(F.lit(1))
-        return F.struct(start.alias("start"), stop.alias("stop"))
+        inside = F.filter(F.sequence(start, stop), lambda i: F.element_at(lines, i).rlike(SOLID))
+        # Beyond the least number of lines; a chunk of two is a pair of lines below.
+        return F.when(F.size(inside) > min_lines, F.struct(F.array_min(inside).alias("start"), F.array_max(inside).alias("stop")))
+
+    return _hashed(lines, F.filter(F.transform(stops, span), lambda s: s.isNotNull()))
+
+
+def _pairs(lines: Column, solid: Column) -> Column:
+    """Neighbouring lines that are not blank, with the blank ones between them."""
+    ahead = F.slice(solid, F.lit(2), F.size(solid))
+    both = F.arrays_zip(F.slice(solid, F.lit(1), F.greatest(F.size(solid) - 1, F.lit(0))).alias("start"), ahead.alias("stop"))
+    return _hashed(lines, both)
+
 
-    spans = F.filter(F.transform(stops, span), lambda s: s["stop"] - s["start"] + 1 >= min_lines)
-    solid = F.filter(spans, lambda s: F.size(F.filter(_slice(lines, s["start"], s["stop"]), lambda x: x.rlike(SOLID))) >= min_lines)
+def _hashed(lines: Column, spans: Column) -> Column:
     return F.transform(
-        solid,
+        spans,
         lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), _chunk_hash(_joined(lines, s["start"], s["stop"])).alias("hash")),
     )
 

@@ -89,30 +89,25 @@ def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: A line goes if it lies in two neighbouring lines (blank ones between them aside) that an earlier place has.
 OP1_SQL = r"""
 WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
-l AS (
-  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line,
-         unnest(list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT))) AS h
-  FROM s
-), e AS (
-  SELECT *, CAST((h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 3 = 0 AS BIGINT) AS last FROM l
-), c AS (
-  SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-  FROM e
-), t AS (
-  SELECT doc_id, chunk, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body,
-         count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS solid
-  FROM c GROUP BY doc_id, chunk
+l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM s),
+f AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS solid FROM l),
+p AS (
+  SELECT doc_id, i AS start, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM f WHERE solid
+), b AS (
+  SELECT p.doc_id, start, stop, array_to_string(lines[start:stop], chr(10)) AS body FROM p JOIN s USING (doc_id) WHERE stop IS NOT NULL
 ), r AS (
-  SELECT *, solid >= 2 AND row_number() OVER (PARTITION BY body, solid >= 2 ORDER BY doc_id, start) > 1 AS gone FROM t
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS again FROM b
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS i FROM r WHERE again
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        CAST(coalesce(k.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed
 FROM documents d LEFT JOIN (
-  SELECT doc_id, string_agg(body, chr(10) ORDER BY start) FILTER (NOT gone) AS text, sum(n) AS n_lines,
-         coalesce(sum(n) FILTER (gone), 0) AS n_removed
-  FROM r GROUP BY doc_id
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines, count(g.i) AS n_removed
+  FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
 ) k USING (doc_id)
 """
 

@@ -55,6 +55,37 @@ def test_boundaries_survive_an_inserted_line(documents):
     assert removed[1] == 0 and removed[2] >= 20
 
 
+def test_whole_blocks_go_whatever_surrounds_them(documents):
+    rng = random.Random(8)
+    blocks = [[f"block {b} line {i}" for i in range(n)] for b, n in enumerate([2, 2, 3, 4, 5, 9, 30])]
+    texts = ["\n".join(line for b in blocks for line in [f"head {blocks.index(b)}", *b, "foot"])]
+    for d in range(40):
+        own = [f"own {d} {rng.random()}" for _ in range(rng.randint(0, 3))]
+        picked = rng.sample(blocks, rng.randint(1, 3))
+        texts.append("\n".join([*own, *(line for b in picked for line in [*b, f"gap {d} {rng.random()}"])]))
+    found = {r["doc_id"]: r for r in lines.line_dedup(documents(texts)).collect()}
+    assert found[0]["n_removed"] == 0 and found[0]["text"] == texts[0]
+    for d in range(1, 41):
+        assert not any(line.startswith("block") for line in found[d]["text"].split("\n"))
+        assert [line for line in texts[d].split("\n") if not line.startswith("block")] == found[d]["text"].split("\n")
+
+
+def test_some_copy_of_every_line_stays_and_single_lines_do(documents):
+    rng = random.Random(4)
+    texts = ["\n".join(rng.choice("abcdefg ") for _ in range(rng.randint(1, 9))) for _ in range(120)]
+    found = {r["doc_id"]: r["text"].split("\n") for r in lines.line_dedup(documents(texts)).collect()}
+    kept = {line for text in found.values() for line in text}
+    assert {line for t in texts for line in t.split("\n")} - {" "} <= kept
+    alone = lines.line_dedup(documents([f"same\nown {i}" for i in range(9)])).collect()
+    assert all(r["n_removed"] == 0 for r in alone)
+
+
+def test_very_long_texts(documents):
+    long = "\n".join(f"line {i}" for i in range(30_000))
+    found = {r["doc_id"]: r for r in lines.line_dedup(documents([long, "x\n" + long, "w" * 300_000])).collect()}
+    assert found[1]["text"] == "x" and found[1]["n_removed"] == 30_000 and found[2]["n_removed"] == 0
+
+
 def test_null_ids_repeated_rows_and_clashing_names(documents):
     text = "\n".join(f"line {i}" for i in range(30))
     docs = documents([(1, text, "s"), (1, text, "s"), (2, text, "s"), (None, text, "s")])
