@@ -171,6 +171,28 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM r
 """
 
+#: All pairs of documents that share a shingle, by how many they share, and what is reachable over the links.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+  FROM w
+), n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM s),
+u AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n_shingles + y.n_shingles - both)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS near FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.near)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
+FROM n JOIN (SELECT doc_id, min(near) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""
+
 #: ``z``, ``s``, ``u`` and ``a`` are the lightest edits so far that end before any turn, after a system, user or assistant turn.
 OP12_SQL = r"""
 WITH RECURSIVE g AS (
@@ -257,6 +279,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op2_topk": OP2_SQL,
+    "op5_minhash_dedup": OP5_SQL,
     "op11_filter_interactions": OP11_SQL,
     "op12_conversation_repair": OP12_SQL,
 }
