@@ -184,9 +184,9 @@ WITH RECURSIVE w AS (
 ), n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM s),
 u AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
 c AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
 ), l AS (
-  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n_shingles + y.n_shingles - both)
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n_shingles + y.n_shingles - shared)
 ), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id, doc_id AS near FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.near)
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
