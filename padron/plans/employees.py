@@ -109,11 +109,22 @@ def _counted_flags(employees: DataFrame, calculations: list[dict[str, Column]])
     """
     parts = [list(c) for c in calculations]
     known = employees.filter(col(KEY).isNotNull()).withColumns({n: c for part in calculations for n, c in part.items()})
-    lookup = None
-    for i, names in enumerate(parts):
-        side = known.groupBy(col(KEY), *[col(n) for n in names]).agg(F.count(F.lit(1)).alias("_times"))
-        lists = side.groupBy(col(KEY)).agg(F.collect_list(F.struct(*[col(n) for n in names], "_times")).alias(f"_side{i}"))
-        lookup = lists if lookup is None else lookup.join(lists, KEY)
+    every = [n for names in parts for n in names]
+    shape = {n: known.schema[n].dataType for n in every}
+    # One row per calculation, with the columns of the others empty, so that all three are counted by one grouping.
+    tagged = [
+        F.struct(F.lit(i).alias("_part"), *[(col(n) if n in names else F.lit(None).cast(shape[n])).alias(n) for n in every])
+        for i, names in enumerate(parts)
+    ]
+    counted = (
+        known.select(col(KEY), F.inline(F.array(*tagged)))
+        .groupBy(col(KEY), "_part", *[col(n) for n in every]).agg(F.count(F.lit(1)).alias("_times"))
+    )
+    sides = [
+        F.collect_list(F.when(F.col("_part") == i, F.struct(*[col(n) for n in names], "_times"))).alias(f"_side{i}")
+        for i, names in enumerate(parts)
+    ]
+    lookup = counted.groupBy(col(KEY)).agg(*sides)
     result = lookup_join(employees, lookup, [KEY], check_size=False)
     times = F.lit(1).cast("bigint")
     for i in range(len(parts)):
