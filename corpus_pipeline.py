@@ -1,4 +1,8 @@
-"""A training corpus from raw documents, in five stages; each stage's rows are stored and read again by the next."""
+"""A training corpus from raw documents, in five stages; each stage's rows are stored and read again by the next.
+
+Stages take and give the five columns of documents; others are left out. Rows without a text stay until a stage has a
+reason to drop them, rows without an id are never compared by it, and repeated rows are treated alike.
+"""
 
 from __future__ import annotations
 
