@@ -32,9 +32,14 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates (five words, 0.8)."""
-    groups = near_duplicates.near_duplicates(docs)
-    gone = groups.filter("not kept").select("doc_id").distinct()
+    """One document, that of the smallest id, of each group of near duplicates (five words, 0.8).
+
+    Documents without a word, as those of which the stage before has left nothing, are one group.
+    """
+    groups = stored(near_duplicates.near_duplicates(docs), "pipeline-groups")
+    first = groups.filter("n_shingles = 0").agg(F.min("doc_id")).first()[0]
+    wordless = (F.col("n_shingles") == 0) & (F.col("doc_id") > F.lit(first).cast("bigint"))
+    gone = groups.filter(~F.col("kept") | F.coalesce(wordless, F.lit(False))).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 
