@@ -49,6 +49,9 @@ def test_nulls_repeats_long_texts_and_extra_columns(spark, tmp_path, documents,
         assert after.columns == corpus_pipeline.COLUMNS  # extra columns go
         if name == "line_dedup":  # a whole copy has nothing left of its own
             assert {r["text"] for r in after.filter("doc_id = 44").collect()} == {""}
+        if name == "near_dedup":  # of the documents without a word the first stays
+            left = {r["doc_id"] for r in after.collect()}
+            assert left <= {r[0] for r in rows} and 40 in left and not {41, 42, 44} & left
         before = after
     assert {r["doc_id"] for r in before.collect()} <= {r[0] for r in rows}
     assert len(corpus_pipeline.encoded(spark, before, folder).collect()) == before.count()
