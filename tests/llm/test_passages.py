@@ -115,3 +115,35 @@ def test_null_ids_and_empty_table(documents):
     found = passages.repeated_passages(documents([(1, text, "s"), (1, text, "s"), (None, text, "s")])).collect()
     assert found == []
     assert passages.repeated_passages(documents([])).collect() == []
+
+
+def versions(n, step):
+    """Texts that each differ from the one before by a word, in an order that mixes them."""
+    rng = random.Random(5)
+    now, out = words(rng, 90), []
+    for i in range(n):
+        now = [*now]
+        now[i * step % 90] = f"v{i}"
+        out.append(" ".join(now))
+    rng.shuffle(out)
+    return out
+
+
+def test_versions_of_one_text_are_one_group(documents):
+    texts = versions(60, 37)
+    docs = documents([t for t in texts if t])
+    for batch in (1, 7):
+        found = passages.repeated_passages(docs.repartition(batch)).collect()
+        assert {r["doc_id"] for r in found} == set(range(60))
+        assert {r["group_id"] for r in found} == {0}
+
+
+def test_a_pair_behind_an_unlike_first_is_found(documents):
+    """Twenty texts share a short phrase and its keys; two of them, neither the first, share a passage around it."""
+    rng = random.Random(11)
+    phrase = words(rng, 30)
+    texts = [words(rng, 60) + phrase + words(rng, 60) for _ in range(20)]
+    for k in (4, 9, 15):
+        texts[k][20:60], texts[k][90:110] = texts[4][20:60], texts[4][90:110]
+    found = [r for r in passages.repeated_passages(documents([" ".join(t) for t in texts])).collect()]
+    assert {r["doc_id"] for r in found} == {4, 9, 15} and {r["group_id"] for r in found} == {4}
