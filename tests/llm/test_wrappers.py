@@ -119,3 +119,34 @@ def test_articles_keep_what_all_pages_say():
     pages = [f"<html><body><article><h1>T {i}</h1><p>Said on every page.</p></article></body></html>" for i in range(9)]
     expression, forms, known = wrappers.infer_all(pages)
     assert known and wrappers.extract(pages[2], re.compile(expression), forms, frozenset(known))[0] == "T 2 Said on every page."
+
+
+def _found(spark, pages):
+    rows = [(i, f"https://many.example/{i}", h) for i, h in enumerate(pages)]
+    return {r["page_id"]: r for r in wrappers.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_every_page_of_a_host_is_in_its_wrapper(spark):
+    pages = [
+        f"<html><body><div class='{chr(97 + i // 26)}{chr(97 + i % 26)}'>menu</div><article><h1>T {i}</h1><p>Own {i}</p></article></body></html>"
+        for i in range(60)
+    ]
+    found = _found(spark, pages)
+    assert all(found[i]["wrapped"] and found[i]["text"] == f"T {i} Own {i}" for i in range(60))
+
+
+@pytest.mark.parametrize("often", [35, 36])
+def test_template_texts_are_counted_over_all_pages_of_a_host(spark, often):
+    """36 of 60 pages are the share from which a text is template; each of 12 texts stands on as many, not the same ones."""
+    lines = [[f"Line {k} of some pages" if (i * 7 + k * 5) % 60 < often else f"Line {k} of page {i}" for k in range(12)] for i in range(60)]
+    pages = [f"<html><body><div>{''.join(f'<p>{x}</p>' for x in own)}<h1>Story {i}</h1></div></body></html>" for i, own in enumerate(lines)]
+    found = _found(spark, pages)
+    for i, own in enumerate(lines):
+        kept = [x for x in own if often < 36 or not x.endswith("pages")]
+        assert found[i]["text"] == " ".join([*kept, f"Story {i}"])
+
+
+def test_joined_wrappers_keep_what_both_need():
+    one, two = ("a", ("?", ("x",)), "b", "c"), ("a", ("?", ("x",)), ("?", ("y",)), "c", "d")
+    assert wrappers.joined(one, two) == ("a", ("?", ("x",)), ("?", ("y",)), ("?", ("b",)), "c", ("?", ("d",)))
+    assert wrappers.joined(one, one) == one
