@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,6 +73,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "cantidad")
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
 
 
+#: Keys, about, that one task of :func:`any_repeated` holds.
+KEYS_PER_TASK = 500_000
+
+
+def any_repeated(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key is in several rows; keys with a null do not count.
+
+    Where nearly all keys differ, combining them ahead of the shuffle only fills memory with what a task reads. Here
+    keys go to as many tasks as their number takes, so no task holds more of them as the table grows.
+    """
+    tasks = max(math.ceil(df.count() / KEYS_PER_TASK), 1)
+    known = df.select(*[col(k) for k in keys])
+    for k in keys:
+        known = known.filter(col(k).isNotNull())
+    dealt = known.repartition(tasks, *[col(k) for k in keys])
+    return not duplicate_keys(dealt, keys).isEmpty()
+
+
 # ---- column profiles: one aggregate for all columns, then one row per column -------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from padron.functions import calendar, cells, flag_rules
 from padron.functions.flag_rules import DEFAULT, FlagRules
 from padron.operators import quality, rows, shape
-from padron.operators.aggregates import duplicate_keys
+from padron.operators.aggregates import any_repeated
 from padron.operators.joins import lookup_join
 from padron.plans.tables import EMPLOYEES, INTERN_MODALITY
 from padron.session import col
@@ -92,8 +92,7 @@ def flags(employees: DataFrame, as_of: str | None = None, mode: str = "auto", ru
     if lacking:
         raise ValueError(f"missing columns: {lacking}")
     if mode == "auto":
-        known = employees.filter(col(KEY).isNotNull())
-        mode = "projection" if duplicate_keys(known, [KEY]).isEmpty() else "counted"
+        mode = "counted" if any_repeated(employees, [KEY]) else "projection"
     parts = flag_columns(calendar.as_of_date(as_of), rules)
     if mode == "projection":
         has_key = col(KEY).isNotNull()

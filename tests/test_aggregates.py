@@ -59,3 +59,15 @@ def test_invalid_values_sample_five_but_count_all(spark):
     frame = spark.createDataFrame(rows, "a string, b string")
     got = {r.columna: (r.cantidad, r.distintos, r.ejemplos) for r in agg.invalid_values(frame, {"a": ["ok"], "b": ["ok"]}).collect()}
     assert got == {"a": (90, 9, "v0, v1, v2, v3, v4"), "b": (1, 1, "bad")}
+
+
+def test_any_repeated_deals_keys_to_as_many_tasks_as_they_take(spark, monkeypatch):
+    monkeypatch.setattr(agg, "KEYS_PER_TASK", 10)
+    dealt = []
+    whole = agg.duplicate_keys
+    monkeypatch.setattr(agg, "duplicate_keys", lambda df, keys: dealt.append(df.rdd.getNumPartitions()) or whole(df, keys))
+    frame = spark.range(95).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("a.b"), F.lit(1).alias("x"))
+    assert not agg.any_repeated(frame, ["a.b"])  # null keys repeat, and don't count
+    assert agg.any_repeated(frame.unionAll(frame.limit(2)), ["a.b"])
+    assert dealt == [10, 10]
+    assert not agg.any_repeated(frame.limit(0), ["a.b"])

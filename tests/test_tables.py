@@ -4,6 +4,7 @@ import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from padron.sources import sinks, tables
@@ -199,3 +200,19 @@ def test_branches_are_one_pass_and_empty_ones_are_not_published(spark, tmp_path)
             assert ids(spark, copy) == want and tables.read(spark, copy).columns == ["id", "m"]
         assert tables.metrics(spark, paths[name]["actual"])["filas"] == len(want)
     assert sorted(p.name for p in (tmp_path / "historico").iterdir() if not p.name.startswith(".")) == ["big", "zero"]
+
+
+def test_branches_are_written_without_sorting(spark, tmp_path, monkeypatch):
+    """A task keeps a file of each branch open; the setting that lets it holds for that write only."""
+    seen, write = [], DataFrameWriter.parquet
+
+    def watched(self, path, *args, **more):
+        seen.append(spark.conf.get(sinks.WRITERS))
+        return write(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    before = spark.conf.get(sinks.WRITERS)
+    m = F.col("id") % 2
+    paths = sinks.write_branches(spark.range(100), {"even": m == 0, "odd": m == 1}, str(tmp_path), "s")
+    assert seen[0] == "2" and set(seen[1:]) == {before} and spark.conf.get(sinks.WRITERS) == before
+    assert sorted(r[0] for r in tables.read(spark, paths["odd"]["actual"]).collect()) == list(range(1, 100, 2))
