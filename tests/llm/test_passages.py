@@ -147,3 +147,40 @@ def test_a_pair_behind_an_unlike_first_is_found(documents):
         texts[k][20:60], texts[k][90:110] = texts[4][20:60], texts[4][90:110]
     found = [r for r in passages.repeated_passages(documents([" ".join(t) for t in texts])).collect()]
     assert {r["doc_id"] for r in found} == {4, 9, 15} and {r["group_id"] for r in found} == {4}
+
+
+def test_bounds_never_drop_what_is_similar_enough():
+    """Stretches of 46 tokens or more that are similar enough by their sets pass both bounds, with repeated tokens too."""
+    rng = np.random.default_rng(4)
+    held = 0
+    for kinds in (30, 10**6):
+        for _ in range(60):
+            base = rng.integers(0, kinds, 120)
+            kept = rng.random(120) > 0.12
+            ta, tb = base, np.where(kept, base, rng.integers(0, kinds, 120) + kinds)
+            n, numbers = passages._numbered(ta, tb)
+            one, two = numbers[:120], numbers[120:]
+            at = np.flatnonzero(one == two)
+            likeness = passages._Likeness(one, two, n)
+            if list(passages._dense(one, two, at, at, n)):
+                held += 1
+                assert likeness.anywhere() and likeness.along(at, at)
+    apart = passages._Likeness(np.arange(100), np.arange(100, 200), 200)
+    assert held > 20 and not apart.anywhere()
+
+
+def test_shuffle_files_of_a_stored_table_go_with_its_query(documents, monkeypatch):
+    seen = []
+    plain = passages._stored
+    monkeypatch.setattr(passages, "_stored", lambda df, label: seen.append(df.sparkSession.conf.get(passages.CLEANUP)) or plain(df, label))
+    docs = documents(["a b", "c d"])
+    conf = docs.sparkSession.conf
+    before = conf.get(passages.CLEANUP, None)
+    assert passages.stored(docs.groupBy("doc_id").count(), "test-stored").count() == 2
+    assert seen == ["true"] and conf.get(passages.CLEANUP, None) == before
+
+
+def test_two_zones_meet_once(documents):
+    docs = documents(["a"])
+    pairs = docs.sparkSession.createDataFrame([(1, 5, 2, 6), (2, 6, 1, 5), (1, 5, 1, 9)], "doc bigint, span bigint, twin bigint, twin_span bigint")
+    assert sorted(map(tuple, passages._once(pairs).collect())) == [(1, 9, 1, 5), (2, 6, 1, 5)]
