@@ -184,3 +184,50 @@ def test_two_zones_meet_once(documents):
     docs = documents(["a"])
     pairs = docs.sparkSession.createDataFrame([(1, 5, 2, 6), (2, 6, 1, 5), (1, 5, 1, 9)], "doc bigint, span bigint, twin bigint, twin_span bigint")
     assert sorted(map(tuple, passages._once(pairs).collect())) == [(1, 9, 1, 5), (2, 6, 1, 5)]
+
+
+def test_zones_are_compared_in_parts(documents, monkeypatch):
+    """However many pairs the zones have, no more than some for each zone are shuffled at once; the pairs told are the same."""
+    spark = documents(["a"]).sparkSession
+    rows = [(i, 7, 2, [1, 2, 3, 40 + i] if i % 3 else [1, 2, 30 + i, 60 + i], [i // 6] * 4) for i in range(12)]
+    zones = spark.createDataFrame(rows, "doc bigint, span bigint, spare int, tokens array<bigint>, groups array<bigint>")
+    pairs = spark.createDataFrame([(i, 7, j, 7) for i in range(12) for j in range(i)], "doc bigint, span bigint, twin bigint, twin_span bigint")
+    want = sorted((i, 7, j, 7) for i in range(6, 12) for j in range(6) if i % 3 and j % 3)
+    sizes, plain = [], passages.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        sizes.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(passages, "stored", stored)
+    for per_zone, parts in ((100, 1), (1, 6)):
+        monkeypatch.setattr(passages, "PER_ZONE", per_zone)
+        sizes.clear()
+        assert sorted(map(tuple, passages._alike(pairs, zones).collect())) == want
+        assert [label for label, _ in sizes].count("passages-alike") == parts and sum(n for label, n in sizes if label == "passages-alike") == len(want)
+    assert passages._alike(pairs.limit(0), zones.limit(0)).collect() == []
+
+
+def test_passages_inside_another_one_are_not_held(documents):
+    spark = documents(["a"]).sparkSession
+    rows = [(1, 0, 90, 4), (1, 0, 60, 4), (1, 20, 50, 4), (1, 20, 70, 4), (1, 30, 61, 4), (1, 200, 50, 9), (2, 0, 50, 4)]
+    groups = spark.createDataFrame(rows, "doc bigint, start int, n int, group bigint")
+    held = {r["doc"]: sorted(map(tuple, r["held"])) for r in passages._held(groups).collect()}
+    assert held == {1: [(0, 90, 4), (30, 61, 4), (200, 50, 9)], 2: [(0, 50, 4)]}
+
+
+def test_stretches_around_links_keep_their_places(documents):
+    """Both texts come cut to what lies around the links; places are those of the whole texts, wherever the passage stands."""
+    rng = random.Random(21)
+    common = words(rng, 80)
+    texts = [words(rng, 700) + common + words(rng, 400), words(rng, 3) + common + words(rng, 900), words(rng, 1500) + common]
+    found = passages.repeated_passages(documents([" ".join(t) for t in texts])).collect()
+    assert {(r["doc_id"], r["start_word"], r["n_words"]) for r in found} == {(0, 700, 80), (1, 3, 80), (2, 1500, 80)}
+    # No token comes to the comparison that lies further from the links than it looks.
+    left, right = (np.arange(n, dtype=np.uint64) for n in (1180, 983))
+    right[3:79] = left[700:776]
+    ends = np.array([(700 << 32) | 779]), np.array([(3 << 32) | 82])
+    whole = passages._shared(left, right, *ends)
+    cut = passages._shared(left[636:845], right[:148], ends[0] - ((636 << 32) | 636), ends[1])
+    assert whole == [(x[0] + 636, *x[1:]) for x in cut] == [(700, 80, 3, 80, 1.0)]
