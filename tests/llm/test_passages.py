@@ -201,14 +201,31 @@ def test_zones_are_compared_in_parts(documents, monkeypatch):
         return out
 
     monkeypatch.setattr(passages, "stored", stored)
-    for per_zone, parts in ((100, 1), (1, 6)):
-        monkeypatch.setattr(passages, "PER_ZONE", per_zone)
+    for per_side, parts in ((100, 1), (1, 6)):
+        monkeypatch.setattr(passages, "PER_SIDE", per_side)
         sizes.clear()
         assert sorted(map(tuple, passages._alike(pairs, zones).collect())) == want
         assert [label for label, _ in sizes].count("passages-alike") == parts and sum(n for label, n in sizes if label == "passages-alike") == len(want)
     assert passages._alike(pairs.limit(0), zones.limit(0)).collect() == []
 
 
+def test_texts_are_compared_in_parts(documents, monkeypatch):
+    rng = random.Random(13)
+    common = words(rng, 90)
+    docs = documents([" ".join(words(rng, 30) + common + words(rng, 30)) for _ in range(9)])
+    tokens = docs.select(F.col("doc_id").alias("doc"), "text").mapInArrow(passages._tokens, "doc bigint, tokens binary")
+    span = (30 << 32) | 119
+    links = docs.sparkSession.createDataFrame([(i, span, j, span) for i in range(9) for j in range(i)], "doc bigint, span bigint, twin bigint, twin_span bigint")
+    labels, plain = [], passages.stored
+    monkeypatch.setattr(passages, "stored", lambda df, label: labels.append(label) or plain(df, label))
+    for per_side, parts in ((100, 1), (1, 4)):
+        monkeypatch.setattr(passages, "PER_SIDE", per_side)
+        labels.clear()
+        found = sorted(tuple(r) for r in passages._found(links, tokens).collect())
+        assert found == sorted((i, 30, 90, j, 30, 90, 1.0) for i in range(9) for j in range(i))
+        assert labels.count("passages-found") == parts
+
+
 def test_passages_inside_another_one_are_not_held(documents):
     spark = documents(["a"]).sparkSession
     rows = [(1, 0, 90, 4), (1, 0, 60, 4), (1, 20, 50, 4), (1, 20, 70, 4), (1, 30, 61, 4), (1, 200, 50, 9), (2, 0, 50, 4)]
